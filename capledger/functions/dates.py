@@ -6,13 +6,14 @@ from pyspark.sql import Column, functions as F
 
 # Accepted shapes in order of preference, with the pattern each is read by.
 _YEAR = r"(?!0000)\d{4}"
-_DAY = r"( [1-9]|\d{1,2})"
+_MONTH = r"(0?[1-9]|1[0-2])"
+_DAY = r"([0 ]?[1-9]|[12]\d|3[01])"
 DATE_SHAPES = (
-    (rf"^{_YEAR}-\d{{1,2}}-{_DAY}\z", "yyyy-M-d"),
-    (rf"^{_YEAR}-\d{{1,2}}\z", "yyyy-M"),
+    (rf"^{_YEAR}-{_MONTH}-{_DAY}\z", "yyyy-M-d"),
+    (rf"^{_YEAR}-{_MONTH}\z", "yyyy-M"),
     (rf"^{_YEAR}\z", "yyyy"),
-    (rf"^\d{{1,2}}/{_DAY}/{_YEAR}\z", "M/d/yyyy"),
-    (rf"^{_DAY}/\d{{1,2}}/{_YEAR}\z", "d/M/yyyy"),
+    (rf"^{_MONTH}/{_DAY}/{_YEAR}\z", "M/d/yyyy"),
+    (rf"^{_DAY}/{_MONTH}/{_YEAR}\z", "d/M/yyyy"),
 )
 
 
@@ -20,7 +21,8 @@ def parsed_date(text: Column) -> Column:
     """First reading that gives a valid date of year 1 or later; null if none does.
 
     Partial dates become the first of their month or year, and month-first wins over
-    day-first where both are possible.
+    day-first where both are possible. Shapes are checked before parsing, so that a failed
+    parse (and its exception) is left to days a month does not have.
     """
     compact = F.replace(text, F.lit(" "), F.lit(""))
     return F.coalesce(*[

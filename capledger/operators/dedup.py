@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from capledger.functions.dates import day_number, parsed_date
-from capledger.functions.numbers import amounts_are_similar, comparable_amount, completeness
+from capledger.functions.numbers import comparable_amount, completeness
 from capledger.functions.text import keyword_mask, normalized_name
 from capledger.operators import dense
 from capledger.options import DedupOptions
@@ -35,24 +35,30 @@ def match_features(rounds: DataFrame, options: DedupOptions = DEFAULTS) -> DataF
     ``name_key`` is set where equality of the whole name decides, ``mask`` where keywords do.
     """
     name = normalized_name(F.col("round_name"))
-    mask = keyword_mask(name) if options.enable_fuzzy_matching else F.lit(0)
+    name_mask = keyword_mask(F.col("name")) if options.enable_fuzzy_matching else F.lit(0)
     facts = completeness(
         F.col("amount_raised_usd"), F.col("pre_money_valuation_usd"),
         F.col("post_money_valuation_usd"), F.col("lead_investor"),
     )
     not_high = F.when(F.col("confidence_score") == "HIGH", 0).otherwise(5)
+    day = day_number(parsed_date(F.col("date")))
+    # Exploding one-element arrays keeps the costly expressions out of the filters that the
+    # optimizer derives from joins on them: each is evaluated once per round.
     return (
         rounds.where(~F.col("is_duplicate"))
         .select(
             "id",
             "company_id",
-            day_number(parsed_date(F.col("date"))).alias("day"),
+            F.explode(F.array(day)).alias("day"),
             comparable_amount(F.col("amount_raised_usd")).alias("amount"),
-            mask.alias("mask"),
-            F.when(mask == 0, name).alias("name_key"),
             (not_high + 4 - facts).cast("int").alias("tier"),
+            name.alias("name"),
         )
         .where(F.col("day").isNotNull())
+        .select("*", F.explode(F.array(F.struct(
+            name_mask.alias("mask"), F.when(name_mask == 0, F.col("name")).alias("name_key")
+        ))).alias("names"))
+        .select("id", "company_id", "day", "amount", "names.mask", "names.name_key", "tier")
     )
 
 
@@ -60,9 +66,10 @@ def _rounds_match(options: DedupOptions) -> Column:
     close = F.abs(F.col("a.day") - F.col("b.day")) <= options.date_proximity_days
     keyword = F.col("a.mask").bitwiseAND(F.col("b.mask")) != 0
     name = F.coalesce(F.col("a.name_key") == F.col("b.name_key"), F.lit(False))
-    amount = amounts_are_similar(
-        F.col("a.amount"), F.col("b.amount"), options.amount_similarity_threshold
-    )
+    # Comparable amounts are never zero, and a negative ratio is below any threshold.
+    larger = F.greatest("a.amount", "b.amount")
+    ratio = F.abs(F.col("a.amount") - F.col("b.amount")) / larger
+    amount = F.coalesce(ratio <= options.amount_similarity_threshold, F.lit(False))
     return close & (keyword | name | amount)
 
 
@@ -77,18 +84,20 @@ def _losing_first(pairs: DataFrame) -> DataFrame:
 
 
 def split_by_density(
-    features: DataFrame, options: DedupOptions
+    rounds: DataFrame, options: DedupOptions
 ) -> tuple[DataFrame, DataFrame | None]:
     """(features of ordinary companies, features of dense companies or None if there are none).
 
-    Counts rounds per company in one job. Dense companies are the exception: only when some
-    exist are their features written to the checkpoint folder, as several steps read them.
+    Counts open rounds per company in one job over two columns. Dense companies are the
+    exception: only when some exist are their features written to the checkpoint folder, as
+    several steps read them.
     """
     dense_companies = materialize(
-        features.groupBy("company_id").count()
+        rounds.where(~F.col("is_duplicate")).groupBy("company_id").count()
         .where(F.col("count") > options.dense_company_rows)
         .select("company_id")
     )
+    features = match_features(rounds, options)
     if dense_companies.isEmpty():
         return features, None
     ordinary = features.join(dense_companies, "company_id", "left_anti")
@@ -101,7 +110,8 @@ def _direct_pairs(ordinary: DataFrame, options: DedupOptions) -> DataFrame:
         & (F.col("a.id") < F.col("b.id"))
         & _rounds_match(options)
     )
-    return _losing_first(ordinary.alias("a").join(ordinary.alias("b"), condition))
+    # Both sides need the same shuffle on the company, which is then done once.
+    return _losing_first(ordinary.alias("a").join(ordinary.hint("merge").alias("b"), condition))
 
 
 def matching_pairs(rounds: DataFrame, options: DedupOptions = DEFAULTS) -> DataFrame:
@@ -111,8 +121,7 @@ def matching_pairs(rounds: DataFrame, options: DedupOptions = DEFAULTS) -> DataF
     reads it. Dense companies are joined on (company, shared facet, date block) so that only
     near rounds meet, and a pair sharing several facets is kept once, at the first of them.
     """
-    features = match_features(rounds, options)
-    ordinary, crowded = split_by_density(features, options)
+    ordinary, crowded = split_by_density(rounds, options)
     if crowded is None:
         return _direct_pairs(ordinary, options)
     blocks = dense.blocked(crowded, options)
@@ -131,7 +140,7 @@ def matching_pairs(rounds: DataFrame, options: DedupOptions = DEFAULTS) -> DataF
 
 def losers(rounds: DataFrame, options: DedupOptions = DEFAULTS) -> DataFrame:
     """(round_id, winner_id) of every round that a better round duplicates."""
-    ordinary, crowded = split_by_density(match_features(rounds, options), options)
+    ordinary, crowded = split_by_density(rounds, options)
     direct = _direct_pairs(ordinary, options).select(
         F.col("loser_id").alias("round_id"), "winner_id"
     )
@@ -143,7 +152,7 @@ def losers(rounds: DataFrame, options: DedupOptions = DEFAULTS) -> DataFrame:
 
 def pair_counts(rounds: DataFrame, options: DedupOptions = DEFAULTS) -> DataFrame:
     """(company_id, pairs): number of matching pairs per company that has any."""
-    ordinary, crowded = split_by_density(match_features(rounds, options), options)
+    ordinary, crowded = split_by_density(rounds, options)
     direct = _direct_pairs(ordinary, options).groupBy("company_id").agg(F.count("*").alias("pairs"))
     return direct if crowded is None else direct.unionByName(dense.pair_counts(crowded, options))
 

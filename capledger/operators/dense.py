@@ -52,8 +52,6 @@ class _Grid:
     def __init__(self, options: DedupOptions):
         self.days = options.date_proximity_days
         self.threshold = options.amount_similarity_threshold
-        if self.days < 0 or not 0 <= self.threshold < 1:
-            raise ValueError("date proximity must not be negative, similarity must be in [0, 1)")
         self.block_days = self.days + 1
         self.levels = (self.block_days - 1).bit_length()
         exact = -math.log1p(-self.threshold)

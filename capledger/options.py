@@ -19,6 +19,10 @@ class DedupOptions:
     enable_fuzzy_matching: bool = True
     dense_company_rows: int = 1000
 
+    def __post_init__(self) -> None:
+        if self.date_proximity_days < 0 or not 0 <= self.amount_similarity_threshold < 1:
+            raise ValueError("date proximity must not be negative, similarity must be in [0, 1)")
+
 
 @dataclass(frozen=True)
 class SearchOptions:
