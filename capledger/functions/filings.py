@@ -40,13 +40,17 @@ def offering(document: Column) -> Column:
     parsed = F.from_xml(
         document, "offeringData STRING, _corrupt_record STRING", {"ignoreNamespace": "true"}
     )
-    body = parsed["offeringData"]
     namespaced = document.rlike(rf"""xmlns(:[\w.-]+)?\s*=\s*["']\Q{OFFERING_NAMESPACE}\E["']""")
-    found = body.isNotNull() & parsed["_corrupt_record"].isNull() & namespaced
-    amount = F.regexp_extract(
-        body, r"(?s)<(?:[\w.-]+:)?totalOfferingAmount(?:\s[^>]*)?>([^<]*)<", 1
-    )
-    return F.struct(
-        F.coalesce(found, F.lit(False)).alias("is_offering"),
-        F.when(found, number_from_text(amount)).alias("amount"),
-    )
+
+    def read(p: Column) -> Column:
+        body = p["offeringData"]
+        found = F.coalesce(body.isNotNull() & p["_corrupt_record"].isNull() & namespaced, F.lit(False))
+        amount = F.regexp_extract(
+            body, r"(?s)<(?:[\w.-]+:)?totalOfferingAmount(?:\s[^>]*)?>([^<]*)<", 1
+        )
+        return F.struct(
+            found.alias("is_offering"), F.when(found, number_from_text(amount)).alias("amount")
+        )
+
+    # A one-element transform binds the parsed document, so it is parsed once.
+    return F.get(F.transform(F.array(parsed), read), F.lit(0))

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_SPACE = r"[\s\x1c-\x1f]"
+# The characters that count as white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def has_text(c: Column) -> Column:
@@ -23,9 +27,8 @@ def text_or_null(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    """Remove Unicode white space at both ends (``trim`` removes only spaces)."""
-    left = F.regexp_replace(c, f"(?U)^{_SPACE}+", "")
-    return F.regexp_replace(left, rf"(?U){_SPACE}+\z", "")
+    """Remove Unicode white space at both ends (plain ``trim`` removes only spaces)."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def contains_either_way(a: Column, b: Column) -> Column:
@@ -75,7 +78,7 @@ def masked_account(account: Column) -> Column:
     Only the second white-space token is looked at, and only when it holds exactly one
     ``@``; tokens after it are dropped. Everything else is unchanged.
     """
-    tokens = F.filter(F.split(account, f"(?U){_SPACE}+"), lambda t: t != "")
+    tokens = F.filter(F.split(account, f"[{WHITE_SPACE}]+"), lambda t: t != "")
     mail = F.get(tokens, F.lit(1))
     local, domain = F.get(F.split(mail, "@"), F.lit(0)), F.get(F.split(mail, "@"), F.lit(1))
     single_at = (F.size(tokens) >= 2) & (F.size(F.split(mail, "@")) == 2)
@@ -84,8 +87,12 @@ def masked_account(account: Column) -> Column:
 
 
 def masked_emails(text: Column) -> Column:
-    """Every mail address in a text keeps at most three characters of its local part."""
-    return F.regexp_replace(text, r"([A-Za-z0-9_]{1,3})[A-Za-z0-9_.+-]*@", "$1***@")
+    """Every mail address in a text keeps at most three characters of its local part.
+
+    Texts without an ``@`` are passed on unread, and a match is only tried where a word starts.
+    """
+    address = r"(?<![A-Za-z0-9_])([A-Za-z0-9_]{1,3}+)[A-Za-z0-9_.+-]*+@"
+    return F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, address, "$1***@")).otherwise(text)
 
 
 def masked_url_password(url: Column) -> Column:

@@ -101,7 +101,10 @@ def split_by_density(
     if dense_companies.isEmpty():
         return features, None
     ordinary = features.join(dense_companies, "company_id", "left_anti")
-    return ordinary, materialize(features.join(dense_companies, "company_id", "left_semi"))
+    crowded = features.join(dense_companies, "company_id", "left_semi")
+    # Each of these rounds is expanded many times over: spread them evenly first.
+    tasks = int(rounds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return ordinary, materialize(crowded.repartition(tasks, "id"))
 
 
 def _direct_pairs(ordinary: DataFrame, options: DedupOptions) -> DataFrame:

@@ -41,7 +41,7 @@ from capledger.functions.text import ROUND_KEYWORDS
 from capledger.options import DedupOptions
 
 TIERS = range(9)
-ID_SLICES = 256
+ID_STRIDE = 16
 AMOUNT_SLICES = 64
 _BIG = "decimal(38,0)"
 
@@ -200,6 +200,22 @@ def _better_tier_by_facet(features: DataFrame, grid: _Grid) -> DataFrame:
     )
 
 
+def _with_id_slice(features: DataFrame) -> DataFrame:
+    """Add ``slice``: which of ``ID_STRIDE`` squared id ranges of about equal size holds the id."""
+    n = ID_STRIDE * ID_STRIDE
+    bounds = features.select(
+        F.percentile_approx("id", [i / n for i in range(1, n)], 10 * n)
+    ).scalar()
+    coarse = f"filter(sequence(1, {ID_STRIDE - 1}), i -> bounds[i * {ID_STRIDE} - 1] <= id)"
+    fine = f"slice(bounds, coarse * {ID_STRIDE} + 1, {ID_STRIDE - 1})"
+    return (
+        features.withColumn("bounds", bounds)
+        .withColumn("coarse", F.expr(f"size({coarse})"))
+        .withColumn("slice", F.expr(f"coarse * {ID_STRIDE} + size(filter({fine}, b -> b <= id))"))
+        .drop("bounds", "coarse")
+    )
+
+
 def _cell_visits(features: DataFrame, grid: _Grid) -> DataFrame:
     """Each round once in every cell it belongs to (``own``) or borders on."""
     def visits(facet: Column, own_facet: Column) -> Column:
@@ -219,13 +235,8 @@ def _cell_visits(features: DataFrame, grid: _Grid) -> DataFrame:
     else:
         by_amount = visits(grid.amount_facet(), F.lit(True))
     all_visits = F.when(F.col("positive"), F.concat(by_name, by_amount)).otherwise(by_name)
-    bounds = features.select(
-        F.percentile_approx("id", [i / ID_SLICES for i in range(1, ID_SLICES)], 10000)
-    ).scalar()
-    return features.withColumn("bounds", bounds).select(
-        "company_id", "tier", "id", "day", "amount",
-        F.size(F.filter("bounds", lambda b: b <= F.col("id"))).alias("slice"),
-        F.explode(all_visits).alias("visit"),
+    return _with_id_slice(features).select(
+        "company_id", "tier", "id", "day", "amount", "slice", F.explode(all_visits).alias("visit"),
     ).select("company_id", "tier", "visit.*", "slice", "id", "day", "amount")
 
 
@@ -234,13 +245,11 @@ def _same_tier_previous(features: DataFrame, grid: _Grid) -> DataFrame:
     visits = _cell_visits(features, grid)
     own_id = F.when(F.col("own"), F.col("id"))
     member = F.when(F.col("own"), F.struct("id", "day", "amount"))
-    run = Window.partitionBy(*cell, "slice")
-    before = run.orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
-    after = run.orderBy(F.desc("id")).rowsBetween(Window.unboundedPreceding, -1)
-    seen = visits.select(
-        "*",
-        F.max(own_id).over(before).alias("previous_id"),
-        F.last(member, ignorenulls=True).over(after).alias("next_member"),
+    in_order = f"IGNORE NULLS OVER (PARTITION BY {', '.join(cell)}, slice ORDER BY id)"
+    seen = visits.withColumns({"own_id": own_id, "member": member}).select(
+        *visits.columns,
+        F.expr(f"lag(own_id) {in_order}").alias("previous_id"),
+        F.expr(f"lead(member) {in_order}").alias("next_member"),
     )
 
     carried = Window.partitionBy(*cell)
@@ -304,16 +313,6 @@ def _running(
     return queries.where(F.col("is_query")).join(totals, [*keys, "slice"])
 
 
-def _placed(buckets: Column, nodes: Column, place: Column) -> Column:
-    """One event per bucket and node."""
-    def in_bucket(b: Column) -> Column:
-        return F.transform(
-            nodes, lambda n: F.struct(b.alias("bucket"), n.alias("n"), place.alias("p"))
-        )
-
-    return F.flatten(F.transform(buckets, in_bucket))
-
-
 def _border_events(points: DataFrame, grid: _Grid, keep: list[str], downward: bool) -> DataFrame:
     """Data and queries for amounts similar across a bucket border.
 
@@ -321,23 +320,23 @@ def _border_events(points: DataFrame, grid: _Grid, keep: list[str], downward: bo
     downward (coordinates negated) its lower ones for amounts down to its lower limit.
     """
     low, high = grid.amount_range()
-    sides = [(1, high, F.expr("filter(sequence(bucket, highest), b -> b > bucket)"))]
+    ready = grid.place(points).withColumns({
+        "low": low, "high": high, "own_nodes": grid.own_nodes(), "near_nodes": grid.near_nodes(),
+    }).withColumns({f"{c}_slice": grid.amount_slice(F.col(c)) for c in ("low", "amount", "high")})
+    sides = [(1, "high", "filter(sequence(bucket, highest), b -> b > bucket)")]
     if downward:
-        sides.append((-1, low, F.expr("filter(sequence(lowest, bucket), b -> b < bucket)")))
+        sides.append((-1, "low", "filter(sequence(lowest, bucket), b -> b < bucket)"))
     parts = []
     for sign, limit, neighbours in sides:
-        for is_query, buckets, nodes, amount in (
-            (False, F.array("bucket"), grid.own_nodes(), F.col("amount")),
-            (True, neighbours, grid.near_nodes(), limit),
+        for is_query, buckets, nodes, at in (
+            ("false", "array(bucket)", "own_nodes", "amount"), ("true", neighbours, "near_nodes", limit),
         ):
-            place = F.struct(
-                F.lit(sign).alias("sign"), F.lit(is_query).alias("is_query"),
-                (amount * sign).alias("coord"), (grid.amount_slice(amount) * sign).alias("slice"),
+            parts.append(
+                f"flatten(transform({buckets}, b -> transform({nodes}, n -> named_struct("
+                f"'sign', {sign}, 'bucket', b, 'block', n.block, 'level', n.level, 'node', n.node, "
+                f"'is_query', {is_query}, 'coord', {sign} * {at}, 'slice', {sign} * {at}_slice))))"
             )
-            parts.append(_placed(buckets, nodes, place))
-    return grid.place(points).select(*keep, F.explode(F.concat(*parts)).alias("e")).select(
-        *keep, "e.bucket", "e.n.*", "e.p.*"
-    )
+    return ready.select(*keep, F.expr(f"inline(concat({', '.join(parts)}))"))
 
 
 _NODE = ["sign", "bucket", "block", "level", "node"]

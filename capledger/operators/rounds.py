@@ -29,13 +29,13 @@ def form_d_records(documents: DataFrame) -> DataFrame:
     """
     number = F.lit(None).cast("double")
     return (
-        documents.withColumn("offering", offering(F.col("document")))
-        .where(F.col("offering.is_offering"))
+        documents.select("*", F.inline(F.array(offering(F.col("document")))))
+        .where(F.col("is_offering"))
         .select(
             "company_id", "company_name",
             F.lit(FORM_D_ROUND).alias("round_name"),
             F.col("filing_date").alias("date"),
-            F.col("offering.amount").alias("amount_raised_usd"),
+            F.col("amount").alias("amount_raised_usd"),
             number.alias("pre_money_valuation_usd"),
             number.alias("post_money_valuation_usd"),
             F.lit(None).cast("string").alias("lead_investor"),
