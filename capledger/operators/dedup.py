@@ -25,7 +25,7 @@ from capledger.options import DedupOptions
 from capledger.session import materialize
 
 DEFAULTS = DedupOptions()
-LOSERS = "round_id BIGINT, winner_id BIGINT"
+BROADCAST_COMPANIES = 1_000_000  # ids, some 16 MB; more of them are joined by shuffle
 
 
 def match_features(rounds: DataFrame, options: DedupOptions = DEFAULTS) -> DataFrame:
@@ -90,7 +90,7 @@ def split_by_density(
 
     Counts open rounds per company in one job over two columns. Dense companies are the
     exception: only when some exist are their features written to the checkpoint folder, as
-    several steps read them.
+    several steps read them. The list of dense companies is counted, and broadcast when short.
     """
     dense_companies = materialize(
         rounds.where(~F.col("is_duplicate")).groupBy("company_id").count()
@@ -98,8 +98,11 @@ def split_by_density(
         .select("company_id")
     )
     features = match_features(rounds, options)
-    if dense_companies.isEmpty():
+    how_many = dense_companies.count()
+    if how_many == 0:
         return features, None
+    if how_many <= BROADCAST_COMPANIES:
+        dense_companies = F.broadcast(dense_companies)
     ordinary = features.join(dense_companies, "company_id", "left_anti")
     crowded = features.join(dense_companies, "company_id", "left_semi")
     # Each of these rounds is expanded many times over: spread them evenly first.
