@@ -9,6 +9,7 @@ from capledger.checks.registry import query
 from capledger.checks.shapes import sql, table
 from capledger.operators import dedup, entities, quality, ranking, reporting, resolve
 from capledger.operators import rounds as records, status as stage_status
+from capledger.plans import stages
 from capledger.sources import filings as filing_source, search as search_source
 
 
@@ -212,6 +213,56 @@ def processing_progress(spark, root):
     ])
 
 
+@query(sql("""
+    SELECT CAST(2 AS INT) AS stage, count(*) AS companies, CAST(coalesce(sum(stage2_rounds_found), 0) AS BIGINT) AS rounds
+    FROM t_status WHERE stage2_sec_collected
+    UNION ALL SELECT 3, count(*), CAST(coalesce(sum(stage3_rounds_found), 0) AS BIGINT) FROM t_status WHERE stage3_search_extracted
+    UNION ALL SELECT 4, count(*), CAST(0 AS BIGINT) FROM t_status WHERE stage4_merged"""))
+def stage_totals(spark, root):
+    return stage_status.stage_totals(shapes.status(spark, root))
+
+
+@query(sql("""
+    SELECT coalesce(s.company_id, n.company_id) AS company_id,
+           coalesce(s.stage4_merged, false) OR n.company_id IS NOT NULL AS stage4_merged,
+           CAST(coalesce(n.unique_rounds, 0) AS INT) AS stage4_unique_rounds
+    FROM t_status s FULL JOIN (
+      SELECT company_id, count(*) FILTER (NOT is_duplicate) AS unique_rounds FROM t_merged
+      WHERE company_id NOT IN (SELECT company_id FROM t_status WHERE stage4_merged) GROUP BY company_id) n
+    ON s.company_id = n.company_id"""))
+def status_after_merge(spark, root):
+    _, status = stages.merge_rounds(shapes.rounds(spark, root), shapes.status(spark, root), _now())
+    return status.select("company_id", "stage4_merged", "stage4_unique_rounds")
+
+
+@query(sql("""
+    SELECT name, bool_or(known) AS is_known, CAST(count(*) AS INT) > 0 AS has_status FROM (
+      SELECT name, id IN (SELECT company_id FROM t_status) AS known FROM t_companies
+      WHERE id IN (SELECT company_id FROM t_status) UNION ALL SELECT s_name, false FROM supplier) GROUP BY name"""))
+def registered_companies(spark, root):
+    status = shapes.status(spark, root)
+    held = shapes.companies(spark, root).join(status.select(F.col("company_id").alias("id")), "id", "left_semi")
+    listed = table(spark, root, "supplier").select(F.col("s_name").alias("name"))
+    companies, new_status = stages.register_companies(
+        listed.unionByName(listed), held.select(shapes.companies(spark, root).columns), status, _now()
+    )
+    known = status.select(F.col("company_id").alias("id"), F.lit(True).alias("known"))
+    rows = new_status.groupBy(F.col("company_id").alias("id")).agg(F.count("*").alias("n"))
+    return companies.join(known, "id", "left").join(rows, "id", "left").select(
+        "name", F.coalesce("known", F.lit(False)).alias("is_known"), (F.col("n") == 1).alias("has_status")
+    )
+
+
+@query("""
+    SELECT p_partkey, CAST(0 AS BIGINT) AS ordinal, p_name AS title, p_partkey + 320000 AS cik FROM part
+    UNION ALL SELECT p_partkey, 1, p_brand || ' "Ltd"', p_size FROM part""")
+def ticker_directory(spark, root):
+    payload = F.expr("""concat('{"9": {"cik_str": ', p_partkey + 320000, ', "ticker": "T", "title": "', p_name,
+        '"}, "10": {"cik_str": ', p_size, ', "title": "', p_brand, ' \\\\"Ltd\\\\""}}')""")
+    payloads = table(spark, root, "part").select("p_partkey", payload.alias("payload"))
+    return filing_source.directory_entries(payloads, keep=("p_partkey",))
+
+
 @query(sql("""
     SELECT completed, total, round(100.0 * completed / total, 6) AS percent FROM (
       SELECT row_number() OVER (ORDER BY stage2_second, company_id) AS completed,

@@ -122,6 +122,24 @@ def processing_progress(companies: DataFrame, status: DataFrame) -> DataFrame:
     ])
 
 
+def stage_totals(status: DataFrame) -> DataFrame:
+    """(stage, companies, rounds): companies done and rounds counted by stages 2 to 4."""
+    counted = status.agg(*[
+        agg
+        for n in (2, 3, 4)
+        for agg in (
+            F.count_if(F.col(STAGES[n][0])).alias(f"companies{n}"),
+            F.coalesce(F.sum(F.when(F.col(STAGES[n][0]), F.col(STAGES[n][2]))), F.lit(0)).alias(f"rounds{n}"),
+        )
+    ])
+    return counted.select(F.inline(F.array(*[
+        F.struct(
+            F.lit(n).alias("stage"), F.col(f"companies{n}").alias("companies"), F.col(f"rounds{n}").alias("rounds")
+        )
+        for n in (2, 3, 4)
+    ])))
+
+
 def running_progress(status: DataFrame, stage: int, every: int) -> DataFrame:
     """(completed, total, percent) after each ``every`` completions, in order of completion."""
     flag, at, _ = STAGES[stage]

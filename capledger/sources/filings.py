@@ -9,10 +9,13 @@ from capledger.functions.text import has_text
 from capledger.schema import TICKER_DIRECTORY
 
 
-def directory_entries(payloads: DataFrame, column: str = "payload") -> DataFrame:
-    """(ordinal, title, cik) of a ticker directory, in document order."""
+def directory_entries(
+    payloads: DataFrame, column: str = "payload", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """(ordinal, title, cik) of a ticker directory, in document order; ``keep`` adds columns."""
     entries = F.map_entries(F.from_json(F.col(column), TICKER_DIRECTORY))
-    return payloads.select(F.posexplode(entries).alias("ordinal", "entry")).select(
+    return payloads.select(*keep, F.posexplode(entries).alias("ordinal", "entry")).select(
+        *keep,
         F.col("ordinal").cast("bigint").alias("ordinal"),
         F.col("entry.value.title").alias("title"),
         F.col("entry.value.cik_str").alias("cik"),
