@@ -1,6 +1,7 @@
-"""The four stages over stored tables. Each returns new tables; nothing is written here.
+"""The four stages over stored tables. Each returns new tables for the caller to write.
 
-Every stage takes only companies whose flag for it is not set, so running it again after an
+Results that several outputs of a stage derive from (resolved ids, extracted rounds, marks)
+are written to the checkpoint folder, so documents and answers are read once. Every stage takes only companies whose flag for it is not set, so running it again after an
 interruption continues where the written status left off.
 """
 
@@ -21,6 +22,7 @@ from capledger.operators.rounds import (
 )
 from capledger.operators.status import apply_completions, initial_status, pending_work
 from capledger.options import DedupOptions
+from capledger.session import materialize
 from capledger.sources.filings import filings, offering_filings
 
 
@@ -65,7 +67,9 @@ def collect_filings(
     todo = pending_work(companies, status, 2).select("id")
     pending = companies.join(todo, "id", "left_semi")
     unresolved = pending.where(~has_text(F.col("cik"))).select("id", "name")
-    resolved = resolve_companies(unresolved, directory).where(F.col("cik").isNotNull()).select(
+    resolved = materialize(resolve_companies(unresolved, directory)).where(
+        F.col("cik").isNotNull()
+    ).select(
         "id", F.col("cik").alias("found_cik"), F.col("official_name").alias("found_name"),
         F.lit(True).alias("found"),
     )
@@ -80,7 +84,7 @@ def collect_filings(
         F.col("id").alias("company_id"), F.col("name").alias("company_name"), "cik"
     )
     filed = offering_filings(filings(indexes)).join(documents, ["cik", "accession_number"])
-    rounds = round_rows(form_d_records(owners.join(filed, "cik")), SEC, HIGH, now)
+    rounds = materialize(round_rows(form_d_records(owners.join(filed, "cik")), SEC, HIGH, now))
     return _collected(rounds, filing_sources(rounds, now), investors, status, todo, updated, 2, now)
 
 
@@ -93,7 +97,7 @@ def collect_search(
     answers = responses.join(
         todo.select(F.col("id").alias("company_id"), F.col("name").alias("company_name")), "company_id"
     )
-    rounds = round_rows(response_records(answers), WEB, MEDIUM, now)
+    rounds = materialize(round_rows(response_records(answers), WEB, MEDIUM, now))
     sources = web_sources(rounds, hits, strategy, now)
     return _collected(rounds, sources, investors, status, todo, companies, 3, now)
 
@@ -116,7 +120,7 @@ def merge_rounds(
 ) -> tuple[DataFrame, DataFrame]:
     """Stage 4: mark duplicates of companies not merged yet; (rounds, status)."""
     pending = dedup.pending_rounds(rounds, status)
-    merged = dedup.mark_duplicates(rounds, dedup.losers(pending, options))
+    merged = dedup.mark_duplicates(rounds, materialize(dedup.losers(pending, options)))
     touched = pending.select("company_id").distinct()
     counts = dedup.unique_rounds_per_company(merged.join(touched, "company_id", "left_semi"))
     log = counts.select(

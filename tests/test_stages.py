@@ -4,6 +4,7 @@ import csv
 import datetime as dt
 import glob
 import json
+from dataclasses import fields, replace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -14,6 +15,7 @@ from capledger.operators import reporting, status as stage_status
 from capledger.options import ExportOptions
 from capledger.plans import export, stages
 from capledger.schema import COMPANIES, INVESTORS, PROCESSING_STATUS, TABLES
+from capledger.session import materialize
 from capledger.sources import tables
 from capledger.sources.company_list import read_company_list
 from capledger.streaming import usage as usage_stream
@@ -37,6 +39,11 @@ def test_company_list(spark, tmp_path):
         read_company_list(spark, str(tmp_path / "missing.csv"))
 
 
+def written(collected):
+    """What a caller does between stages: write the tables."""
+    return replace(collected, **{f.name: materialize(getattr(collected, f.name)) for f in fields(collected)})
+
+
 def document(amount):
     return (
         f'<edgarSubmission xmlns="{OFFERING_NAMESPACE}"><offeringData><totalOfferingAmount>{amount}'
@@ -48,6 +55,7 @@ def test_all_stages(spark, tmp_path):
     now = F.lit(T0)
     names = spark.createDataFrame([("Acme",), ("Beta",), ("Nobody",), ("Acme",)], "name STRING")
     companies, status = stages.register_companies(names, empty(spark, COMPANIES), empty(spark, PROCESSING_STATUS), now)
+    companies, status = materialize(companies), materialize(status)
     assert companies.count() == 3 and status.count() == 3
     ids = {r.name: r.id for r in companies.collect()}
 
@@ -59,7 +67,7 @@ def test_all_stages(spark, tmp_path):
         [("0000000077", "1-1", document(5000000)), ("0000000077", "1-3", document("Indefinite"))],
         "cik STRING, accession_number STRING, document STRING",
     )
-    filed = stages.collect_filings(companies, status, empty(spark, INVESTORS), directory, indexes, documents, now)
+    filed = written(stages.collect_filings(companies, status, empty(spark, INVESTORS), directory, indexes, documents, now))
     assert sorted((r.date, r.amount_raised_usd) for r in filed.rounds.where("date IS NOT NULL").collect()) == [("2020-01-10", 5000000.0)]
     assert sorted(r.title for r in filed.sources.collect()) == ["SEC Form D - 2020-01-10", "SEC Form D - None"]
     assert {r.name: r.cik for r in filed.companies.collect()} == {"Acme": "0000000077", "Beta": "0000000005", "Nobody": None}
@@ -78,13 +86,13 @@ def test_all_stages(spark, tmp_path):
         [(ids["Acme"], 1, 1, "T1", "u1", "S1"), (ids["Acme"], 2, 1, "T2", "u1", "S2")],
         "company_id BIGINT, query_no INT, rank INT, title STRING, url STRING, snippet STRING",
     )
-    found = stages.collect_search(filed.companies, filed.status, filed.investors, hits, responses, "priority", now)
+    found = written(stages.collect_search(filed.companies, filed.status, filed.investors, hits, responses, "priority", now))
     assert sorted((r.url, r.title, r.llm_provider) for r in found.sources.collect()) == [("u1", "T1", "priority"), ("u2", None, "priority")]
     assert [r.name for r in found.investors.collect()] == ["Fund"]
     assert found.round_investors.count() == 1
 
     rounds = filed.rounds.unionByName(found.rounds)
-    merged, final = stages.merge_rounds(rounds, found.status, now)
+    merged, final = map(materialize, stages.merge_rounds(rounds, found.status, now))
     rows = {(r.source_type, r.date): r.is_duplicate for r in merged.collect()}
     assert rows == {("SEC_FORM_D", "2020-01-10"): False, ("SEC_FORM_D", None): False,
                     ("WEB_SEARCH", "2020-02"): True, ("WEB_SEARCH", "2015"): False}
