@@ -60,11 +60,19 @@ def keyword_mask(normalized: Column) -> Column:
 
 def round_names_match(a: Column, b: Column, fuzzy: bool = True) -> Column:
     """Equal after normalizing, or both holding one and the same keyword."""
-    na, nb = normalized_name(a), normalized_name(b)
-    same = F.coalesce(na == nb, F.lit(False))
-    if not fuzzy:
-        return same
-    return same | (keyword_mask(na).bitwiseAND(keyword_mask(nb)) != 0)
+    def match(pair: Column) -> Column:
+        same = F.coalesce(pair["a"] == pair["b"], F.lit(False))
+        if not fuzzy:
+            return same
+        shared = same
+        for keyword in ROUND_KEYWORDS:
+            both = F.contains(pair["a"], F.lit(keyword)) & F.contains(pair["b"], F.lit(keyword))
+            shared = shared | F.coalesce(both, F.lit(False))
+        return shared
+
+    # A one-element transform binds the normalized names, so each is computed once.
+    pair = F.struct(normalized_name(a).alias("a"), normalized_name(b).alias("b"))
+    return F.get(F.transform(F.array(pair), match), F.lit(0))
 
 
 def truncated_title(c: Column) -> Column:

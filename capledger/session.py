@@ -17,6 +17,8 @@ def build_session(app_name: str = "capledger", master: str | None = None, **conf
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Checkpoints nobody refers to any more are removed.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Building a wide plan from Python is several times faster without call-site capture.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
