@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, quality, secrets, url_filter, warc
+from . import bpe, licenses, minhash, quality, secrets, url_filter, warc
 from .common import documents
 
 
@@ -15,6 +15,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir))
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), minhash.Settings(words=2))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -41,7 +45,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op6_warc, op7_licenses, op8_quality, op9_url_filter, op10_secrets)
+    f.__name__: f for f in (op1_bpe, op5_minhash, op6_warc, op7_licenses, op8_quality, op9_url_filter, op10_secrets)
 }
 
 ORACLES: dict[str, str] = {}
