@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, grid_join, licenses, minhash, quality, secrets, url_filter, warc
+from . import bit_codes, bpe, grid_join, licenses, minhash, quality, secrets, url_filter, warc
 from .common import documents
 
 
@@ -15,6 +15,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir))
 
 
+def op2_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_codes.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op4_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid_join.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -49,7 +53,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op4_grid_join, op5_minhash, op6_warc, op7_licenses, op8_quality, op9_url_filter, op10_secrets)
+    f.__name__: f for f in (op1_bpe, op2_bit_codes, op4_grid_join, op5_minhash, op6_warc, op7_licenses, op8_quality, op9_url_filter, op10_secrets)
 }
 
 ORACLES: dict[str, str] = {}
