@@ -384,10 +384,10 @@ def encode(
     return rows.mapInArrow(run, f"`{id_column}` long, ids array<int>, decoded string")
 
 
-def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Token count and digests of ids and decoded text of every document."""
+def digests(docs: DataFrame, path: str | None = None, *more: str) -> DataFrame:
+    """Token count and digests of ids and decoded text of every document, and further columns of ``encode``."""
     return encode(docs, path).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        "doc_id", *more, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )

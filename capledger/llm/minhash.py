@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import byte_texts, components, drop_shared, pick, shared_table, slices
@@ -166,14 +166,18 @@ def _possible(settings: Settings) -> Column:
     return sizes & near
 
 
-def _likely(rows: DataFrame, ids: DataFrame, bits: int = 1 << 22) -> DataFrame:
-    """The rows whose row_id is in ``ids``, and few others: a bit set of fixed size, broadcast in 64-bit words."""
+def with_likely(rows: DataFrame, ids: DataFrame, bits: int = 1 << 22) -> DataFrame:
+    """The rows with ``likely``: true where row_id is in ``ids``, seldom elsewhere.
+
+    A bit set of fixed size, broadcast in 64-bit words, so that rows need no shuffle to be told apart.
+    """
     place = F.pmod(F.xxhash64("row_id"), F.lit(bits))
     words = ids.groupBy(F.shiftright(place, 6).alias("word")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(row_id), {bits}L) & 63 as int))")).alias("bits")
     )
-    marked = rows.join(F.broadcast(words), F.shiftright(place, 6) == F.col("word"))
-    return marked.where(F.getbit("bits", place.bitwiseAND(63).cast("int")) == 1).drop("word", "bits")
+    marked = rows.join(F.broadcast(words), F.shiftright(place, 6) == F.col("word"), "left")
+    likely = F.coalesce(F.getbit("bits", place.bitwiseAND(63).cast("int")) == 1, F.lit(False))
+    return marked.withColumn("likely", likely).drop("word", "bits")
 
 
 def confirmed(pairs: DataFrame, rows: DataFrame, settings: Settings) -> DataFrame:
@@ -183,7 +187,7 @@ def confirmed(pairs: DataFrame, rows: DataFrame, settings: Settings) -> DataFram
     and the sets of the last few.
     """
     occurring = pairs.select(F.col("a").alias("row_id")).union(pairs.select("b")).distinct()
-    texts = _likely(rows, occurring).join(occurring, "row_id", "left_semi")
+    texts = with_likely(rows, occurring).where("likely").drop("likely").join(occurring, "row_id", "left_semi")
     both = (
         pairs.join(texts.select(F.col("row_id").alias("b"), F.col("text").alias("text_b")), "b")
         .join(texts.select(F.col("row_id").alias("a"), F.col("text").alias("text_a")), "a")
@@ -296,3 +300,25 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         F.col("row_id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"),
         F.coalesce(F.col("row_id") == F.col("component"), F.lit(True)).alias("kept"),
     )
+
+
+def keep_one(docs: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one document of each group of near-duplicates, with all their columns.
+
+    The document with the smallest id stays. Of rows with the same id one stays, that with the smallest text.
+    Rows without an id stay. Only rows that may have to go are shuffled.
+    """
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    id_at, text_at = f"c{names.index(id_column)}", f"c{names.index(text_column)}"
+    judged = near_duplicates(plain.select(F.col(id_at).alias("doc_id"), F.col(text_at).alias("text")), settings)
+    judged = shared_table(
+        judged.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("row_id")).agg(
+            F.max("kept").alias("kept"), F.count("*").alias("rows")
+        ).where("NOT kept OR rows > 1"), "judged",
+    )
+    marked = with_likely(plain.withColumn("row_id", F.col(id_at).cast("long")), judged)
+    rest = marked.where("likely").join(judged.where("NOT kept").select("row_id"), "row_id", "left_anti")
+    first = F.row_number().over(Window.partitionBy("row_id").orderBy(text_at))
+    rest = rest.withColumn("place", first).where("place = 1")
+    return marked.where("NOT likely").select(*plain.columns).union(rest.select(*plain.columns)).toDF(*names)

@@ -1,13 +1,71 @@
-"""A corpus pipeline of five stages over ``documents``; see README."""
+"""A corpus pipeline of five stages over ``documents``.
+
+Low-quality documents go, one document of each group of near-duplicates stays, secrets are masked, sources
+are mixed to target weights, and what is left is encoded. Each stage is written as Parquet and read again
+before the next one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from capledger.llm import bpe, minhash, mixing, quality, secrets
+from capledger.llm.common import shared_table
+
+#: Production weights. Sources are grouped into three domains; 90 % of the tokens are kept, each at most once.
+MIXTURE = mixing.Settings(
+    domains={
+        **{f"src{i}": "web" for i in range(10)}, **{f"src{i}": "books" for i in range(10, 15)},
+        **{f"src{i}": "forums" for i in range(15, 20)},
+    },
+    domain_weights={"web": 0.5, "books": 0.3, "forums": 0.2, "other": 0.1},
+    language_weights={"en": 0.5, "de": 0.2, "fr": 0.15, "es": 0.15},
+    share=0.9, max_epochs=1, seed=17,
+)
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression classifier does not reject."""
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.keep_good(docs, model)
+
+
+def without_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: shingles of five words, a similarity of 0.8 or more."""
+    return minhash.keep_one(docs)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets replaced by their kind."""
+    masked = secrets.redact(docs)
+    return masked.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else masked
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the budgets of domains, languages and sources leave room for."""
+    return mixing.mix(docs, MIXTURE)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, their number, and digests of the ids and of the text they decode to."""
+    return bpe.digests(docs, None, "ids")
+
 
-STAGES: list = []
+STAGES = [
+    ("quality classifier", good_quality), ("MinHash near-dedup", without_duplicates), ("secret scans", without_secrets),
+    ("mixing sources to target weights", mixed), ("BPE encoding and decoding", encoded),
+]
 
+#: Compression and token merging cannot be said in SQL; the tests compare with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The rows of the last stage."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for number, (_, stage) in enumerate(STAGES, 1):
+        docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES):
+            docs = shared_table(docs, f"stage-{number}")
+    return docs
