@@ -34,10 +34,8 @@ class Settings:
     rows: int = 5
     #: Rounds in which each bucket's members are compared with one centre.
     rounds: int = 2
-    #: One-bit sketch: its words of 64 bits, and how many differing bits rule a pair out. A pair at the
-    #: threshold differs in a bit with probability 0.1; more than 48 of 192 (19.2 expected) has about 1e-9.
-    sketch_words: int = 3
-    sketch_limit: int = 48
+    #: Words of 64 bits in the parity sketch, which rules out pairs that cannot be linked.
+    sketch_words: int = 16
 
 
 FEATURES = (
@@ -118,15 +116,18 @@ def _bands(best: np.ndarray, settings: Settings) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _sketch(best: np.ndarray, words: int) -> np.ndarray:
-    """The lowest bit of as many coordinates as the sketch has bits."""
-    low = (_mix32(best[:64 * words].copy()) & np.uint32(1)).astype(np.uint8)
-    return np.packbits(low).view(np.int64)
+def _sketch(marks: np.ndarray, words: int) -> np.ndarray:
+    """For each of so many cells of the marks whether an odd number lies in it.
+
+    Two sets differ in at least as many marks as their sketches differ in bits.
+    """
+    odd = np.bincount((marks >> np.uint64(32)).astype(np.int64) % (64 * words), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def features(rows: DataFrame, settings: Settings) -> DataFrame:
     """FEATURES of each row of (row_id, text)."""
-    length = max(settings.bands * settings.rows, 64 * settings.sketch_words)
+    length = settings.bands * settings.rows
 
     def run(batches):
         marks = WordMarks()
@@ -145,7 +146,7 @@ def features(rows: DataFrame, settings: Settings) -> DataFrame:
                     high.append((digest >> 64) - (1 << 63))
                     best = signature(own, length)
                     buckets.append(_bands(best, settings))
-                    sketches.append(_sketch(best, settings.sketch_words))
+                    sketches.append(_sketch(own, settings.sketch_words))
                 longs = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array(sizes, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64()),
@@ -155,15 +156,15 @@ def features(rows: DataFrame, settings: Settings) -> DataFrame:
     return rows.mapInArrow(run, FEATURES)
 
 
-def _differing(a: Column, b: Column, words: int) -> Column:
-    return sum((F.bit_count(a[k].bitwiseXOR(b[k])) for k in range(words)), F.lit(0))
-
-
 def _possible(settings: Settings) -> Column:
-    """Sizes and sketches of a pair (n_a, n_b, sketch_a, sketch_b) do not rule the link out."""
+    """Sizes and sketches of a pair (n_a, n_b, sketch_a, sketch_b) do not rule the link out.
+
+    Exact: with a similarity of s or more, two sets differ in at most (1 - s) / (1 + s) of their sizes' sum.
+    """
     sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * settings.percent
-    near = _differing(F.col("sketch_a"), F.col("sketch_b"), settings.sketch_words) <= settings.sketch_limit
-    return sizes & near
+    a, b = F.col("sketch_a"), F.col("sketch_b")
+    differing = sum((F.bit_count(a[k].bitwiseXOR(b[k])) for k in range(settings.sketch_words)), F.lit(0))
+    return sizes & (differing * (100 + settings.percent) <= (F.col("n_a") + F.col("n_b")) * (100 - settings.percent))
 
 
 def with_likely(rows: DataFrame, ids: DataFrame, bits: int = 1 << 22) -> DataFrame:
