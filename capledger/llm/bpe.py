@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import byte_texts, pick, slices
 
 #: Words in the lexicon; its size on disk and in the broadcast is bounded by this and LONGEST_WORD.
-LEXICON_WORDS = 250_000
+LEXICON_WORDS = 100_000
 LONGEST_WORD = 64
 
 #: A worker keeps the ids of about so many chunks.
@@ -346,7 +346,7 @@ def frequent_words(docs: DataFrame, vocabulary: str, words: int = LEXICON_WORDS,
         chunks.where("chunk <> ''").groupBy("chunk").agg(F.count("*").alias("n")).mapInArrow(cut, "word string, n long")
         .where(F.octet_length("word") <= LONGEST_WORD).groupBy("word").agg(F.sum("n").alias("n"))
     )
-    return [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(words).collect()]
+    return counted.orderBy(F.desc("n"), "word").limit(words).select("word").toArrow().column(0).to_pylist()
 
 
 def encode(
