@@ -104,12 +104,12 @@ def merge_stream(spark, root):
 
 @query(sql("SELECT id, company_id, date FROM t_rounds"))
 def first_arrivals_stream(spark, root):
-    """Every round lands twice; one arrival of each is kept."""
+    """Every round lands twice, newest days first and in several batches; one arrival of each is kept."""
     base = workspace(spark)
-    rounds = shapes.rounds(spark, root).withColumn("source_url", F.get("source_urls", F.lit(0)))
-    rounds.unionByName(rounds).write.parquet(f"{base}/landed")
+    rounds = shapes.rounds(spark, root)
+    rounds.unionByName(rounds).repartitionByRange(4, F.desc("created_at"), F.rand(1)).write.parquet(f"{base}/landed")
     schema = spark.read.parquet(f"{base}/landed").schema
-    kept = round_stream.first_arrivals(spark.readStream.schema(schema).parquet(f"{base}/landed"))
+    kept = round_stream.first_arrivals(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landed"))
     (
         kept.select("id", "company_id", "date").writeStream.format("parquet")
         .option("path", f"{base}/kept").option("checkpointLocation", f"{base}/checkpoint")

@@ -421,6 +421,27 @@ def all_collected_rounds(spark, root):
     return records.all_rounds(sec, _web(spark, root)).select("company_id", "source_type", "date")
 
 
+@query(sql("""
+    SELECT 'SEC_FORM_D' AS source_type, count(*) AS n_rows, count(*) AS n_ids FROM t_offerings WHERE is_offering
+    UNION ALL SELECT 'WEB_SEARCH', count(*), count(*) FROM t_records"""))
+def round_identity(spark, root):
+    """Every collected round has an id of its own, equal ones too."""
+    sec = records.round_rows(_form_d(spark, root), records.SEC, records.HIGH, _now())
+    counts = (F.count("*").alias("n_rows"), F.countDistinct("id").alias("n_ids"))
+    return records.all_rounds(sec, _web(spark, root)).groupBy("source_type").agg(*counts)
+
+
+@query(sql("""
+    SELECT company_id, round_name, source_url FROM t_records"""))
+def raw_objects(spark, root):
+    """The stored objects of answers are whole: read again, they give the same rounds."""
+    raw = F.col("raw_data")
+    return _web(spark, root).select(
+        "company_id", F.get_json_object(raw, "$.round_name").alias("round_name"),
+        F.get_json_object(raw, "$.source_url").alias("source_url"),
+    )
+
+
 @query(sql("""
     SELECT 'SEC_FORM_D' AS source_type,
            'https://www.sec.gov/Archives/edgar/data/' || company_id || '/' || replace(accession_number, '-', '')

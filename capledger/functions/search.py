@@ -20,14 +20,14 @@ QUERY_TEMPLATES = (
 )
 
 
-def search_queries(company: Column, how_many: int = len(QUERY_TEMPLATES)) -> Column:
+def search_queries(company: Column) -> Column:
     """array<struct<query_no, query>>: one query per template, numbered from 1."""
     return F.array(*[
         F.struct(
             F.lit(number).alias("query_no"),
             F.replace(F.lit(template), F.lit("{company}"), company).alias("query"),
         )
-        for number, template in enumerate(QUERY_TEMPLATES[:how_many], 1)
+        for number, template in enumerate(QUERY_TEMPLATES, 1)
     ])
 
 
@@ -96,3 +96,8 @@ def response_rounds(response: Column) -> Column:
     Invalid JSON, or an element that is not an object, voids the whole answer (null).
     """
     return F.from_json(array_slice(response), f"array<{RESPONSE_ROUND}>")
+
+
+def response_objects(response: Column) -> Column:
+    """array<string> of the same rounds, each the whole JSON object."""
+    return F.from_json(array_slice(response), "array<string>")

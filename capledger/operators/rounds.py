@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from capledger.functions.filings import archive_url, offering
 from capledger.functions.numbers import number_from_text
-from capledger.functions.search import response_rounds
+from capledger.functions.search import response_objects, response_rounds
 from capledger.functions.text import has_text, truncated_title
 from capledger.operators.entities import key_of
 
@@ -49,10 +49,15 @@ def form_d_records(documents: DataFrame) -> DataFrame:
 
 
 def response_records(responses: DataFrame) -> DataFrame:
-    """Round records inside model answers (company_id, company_name, response)."""
+    """Round records inside model answers (company_id, company_name, response).
+
+    ``position`` is the place in the answer and ``raw`` the whole object as the answer has it.
+    """
     money = ("amount_raised_usd", "pre_money_valuation_usd", "post_money_valuation_usd")
-    return responses.select(
-        "company_id", "company_name", F.inline(response_rounds(F.col("response")))
+    answer = F.col("response")
+    found = F.arrays_zip(response_rounds(answer).alias("record"), response_objects(answer).alias("raw"))
+    return responses.select("company_id", "company_name", F.posexplode(found).alias("position", "found")).select(
+        "company_id", "company_name", "found.record.*", "position", F.col("found.raw").alias("raw")
     ).withColumns({m: number_from_text(F.col(m)) for m in money})
 
 
@@ -66,13 +71,23 @@ def rejected_responses(responses: DataFrame) -> DataFrame:
 def round_rows(records: DataFrame, source_type: str, confidence: str, now: Column) -> DataFrame:
     """Rows of funding_rounds, plus all_investors and source_url for the steps that follow.
 
-    The id is a key over company, source and content, so a second run gives the same ids.
+    Every record is a row of its own: the id is a key over company, source, content, place in the
+    answer, time of the run and, among records that agree in all of these, a number. A second run adds
+    rows that de-duplication compares with those of the first.
     """
     url = F.col("source_url")
     urls = F.array(url) if source_type == SEC else F.when(has_text(url), F.array(url))
-    raw = F.to_json(F.struct("company_name", *_FACTS), {"ignoreNullFields": "false"})
-    return records.withColumn("raw_data", raw).select(
-        key_of("company_id", F.lit(source_type), "raw_data").alias("id"),
+    if "raw" in records.columns:
+        raw, place = F.col("raw"), [F.col("position")]
+    else:
+        kind = (F.lit(source_type).alias("source_type"), F.lit(confidence).alias("confidence_score"))
+        raw, place = F.to_json(F.struct("company_name", *_FACTS, *kind), {"ignoreNullFields": "false"}), []
+    key = key_of("company_id", F.lit(source_type), "raw_data", now.cast("string"), *place)
+    keyed = records.withColumn("raw_data", raw).withColumn("record_key", key).withColumn(
+        "copy", F.row_number().over(Window.partitionBy("record_key").orderBy("company_id"))
+    )
+    return keyed.select(
+        key_of("record_key", "copy").alias("id"),
         "company_id", "round_name", "date", "amount_raised_usd",
         "pre_money_valuation_usd", "post_money_valuation_usd", "lead_investor",
         F.lit(source_type).alias("source_type"),

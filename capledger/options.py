@@ -27,7 +27,6 @@ class DedupOptions:
 @dataclass(frozen=True)
 class SearchOptions:
     max_results_per_query: int = 4
-    queries_per_company: int = 8
 
 
 @dataclass(frozen=True)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from capledger.operators.reporting import EXACT_MONEY
 from capledger.options import ExportOptions
+from capledger.session import materialize
 
 _MONEY = ("Amount Raised (USD)", "Pre-Money Valuation (USD)", "Post-Money Valuation (USD)")
 
@@ -18,9 +18,16 @@ def target(options: ExportOptions, extension: str, at: dt.datetime) -> str:
     return f"{options.output_directory.rstrip('/')}/{stem}.{extension}"
 
 
+def plain_money(amount: Column) -> Column:
+    """An amount as text: plain digits with two decimals or more where that is exact, else as Spark prints it."""
+    exact = amount.try_cast("decimal(38,12)")
+    digits = F.regexp_replace(exact.cast("string"), r"(\.\d\d\d*?)0+$", "$1")
+    return F.when(exact.cast("double") == amount.cast("double"), digits).otherwise(amount.cast("string"))
+
+
 def write_csv(rows: DataFrame, path: str) -> None:
-    """Header, minimal quoting, doubled quotes, empty cells for null; money in plain notation."""
-    plain = rows.withColumns({m: F.col(m).cast(EXACT_MONEY) for m in _MONEY if m in rows.columns})
+    """Header, minimal quoting, doubled quotes, empty cells for null; money in plain notation without loss."""
+    plain = rows.withColumns({m: plain_money(F.col(m)) for m in _MONEY if m in rows.columns})
     plain.write.csv(
         path, header=True, escape='"', nullValue="", emptyValue="", encoding="UTF-8",
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
@@ -43,17 +50,14 @@ _WRITERS = {"excel": (write_sheet, "parquet"), "csv": (write_csv, "csv"), "json"
 def export_all(rows: DataFrame, options: ExportOptions, at: dt.datetime | None = None) -> dict[str, str | None]:
     """Write every configured format from one evaluation; {format: folder, or None if no rows}."""
     at = at or dt.datetime.now()
-    rows = rows.persist()
-    try:
-        empty = rows.isEmpty()
-        written: dict[str, str | None] = {}
-        for name, (write, extension) in _WRITERS.items():
-            if name not in options.formats:
-                continue
-            written[name] = None
-            if not empty:
-                written[name] = target(options, extension, at)
-                write(rows, written[name])
-        return written
-    finally:
-        rows.unpersist()
+    rows = materialize(rows)
+    empty = rows.isEmpty()
+    written: dict[str, str | None] = {}
+    for name, (write, extension) in _WRITERS.items():
+        if name not in options.formats:
+            continue
+        written[name] = None
+        if not empty:
+            written[name] = target(options, extension, at)
+            write(rows, written[name])
+    return written

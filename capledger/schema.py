@@ -52,17 +52,12 @@ FILINGS_INDEX = (
     "form: array<string>, filingDate: array<string>, accessionNumber: array<string>>>>"
 )
 
-SEARCH_HIT = "company STRING, query_no INT, rank INT, title STRING, href STRING, body STRING"
-
 RESPONSE_ROUND = (
     "struct<round_name: string, date: string, amount_raised_usd: string, "
     "pre_money_valuation_usd: string, post_money_valuation_usd: string, "
     "lead_investor: string, all_investors: array<string>, source_url: string, notes: string>"
 )
 
-CALL_LOG = """ts TIMESTAMP, provider_name STRING, model_name STRING, success BOOLEAN,
-rate_limited BOOLEAN, latency_ms DOUBLE, input_tokens INT, output_tokens INT"""
-
 NOT_NULL = {
     "companies": ["name", "created_at", "updated_at"],
     "funding_rounds": [

@@ -11,11 +11,11 @@ from capledger.options import SearchOptions
 DEFAULTS = SearchOptions()
 
 
-def company_queries(companies: DataFrame, options: SearchOptions = DEFAULTS) -> DataFrame:
+def company_queries(companies: DataFrame) -> DataFrame:
     """(company_id, query_no, query), one row per template."""
     return companies.select(
         F.col("id").alias("company_id"),
-        F.inline(search_queries(F.col("name"), options.queries_per_company)),
+        F.inline(search_queries(F.col("name"))),
     )
 
 

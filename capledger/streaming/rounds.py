@@ -9,11 +9,12 @@ from capledger.operators import dedup
 from capledger.options import DedupOptions
 
 
-def first_arrivals(rounds: DataFrame, lateness: str = "7 days") -> DataFrame:
-    """Drop rounds seen before (company, address and date) within the lateness."""
-    return rounds.withWatermark("created_at", lateness).dropDuplicatesWithinWatermark(
-        ["company_id", "source_url", "date"]
-    )
+def first_arrivals(rounds: DataFrame) -> DataFrame:
+    """Drop rounds whose id has been seen before, however late they come.
+
+    The state holds the id of every round; nothing is given up to keep it small.
+    """
+    return rounds.dropDuplicates(["id"])
 
 
 def merge_stream(

@@ -10,31 +10,32 @@ from pyspark.sql.streaming import StreamingQuery
 from capledger.operators.usage import usage_aggregates
 
 
-def daily_usage_stream(calls: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """Usage per provider, model and day; in update mode a row replaces its earlier versions."""
+def daily_usage_stream(calls: DataFrame) -> DataFrame:
+    """Usage per provider, model and day; in update mode a row replaces its earlier versions.
+
+    There is no watermark: a call counts however late it comes. The state has a row per result row.
+    """
     return (
-        calls.withWatermark("ts", lateness)
-        .groupBy("provider_name", "model_name", F.window("ts", "1 day").alias("day"))
+        calls.groupBy("provider_name", "model_name", F.window("ts", "1 day").alias("day"))
         .agg(*usage_aggregates())
         .withColumn("date", F.date_format("day.start", "yyyy-MM-dd"))
         .drop("day")
     )
 
 
-def minute_calls_stream(calls: DataFrame, lateness: str = "2 minutes") -> DataFrame:
-    """Calls per provider and clock minute."""
+def minute_calls_stream(calls: DataFrame) -> DataFrame:
+    """Calls per provider and clock minute, late ones included."""
     return (
-        calls.withWatermark("ts", lateness)
-        .groupBy("provider_name", F.window("ts", "1 minute").alias("span"))
+        calls.groupBy("provider_name", F.window("ts", "1 minute").alias("span"))
         .agg(F.count("*").alias("calls"))
         .select("provider_name", F.col("span.start").alias("minute"), "calls")
     )
 
 
-def quota_breaches_stream(calls: DataFrame, providers: DataFrame, lateness: str = "2 minutes") -> DataFrame:
+def quota_breaches_stream(calls: DataFrame, providers: DataFrame) -> DataFrame:
     """Provider minutes with more calls than the limit (stream-static join)."""
     limits = providers.select(F.col("name").alias("provider_name"), "rate_limit_rpm")
-    return minute_calls_stream(calls, lateness).join(limits, "provider_name").where(
+    return minute_calls_stream(calls).join(limits, "provider_name").where(
         F.col("calls") > F.col("rate_limit_rpm")
     )
 
