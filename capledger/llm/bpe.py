@@ -33,7 +33,7 @@ LEXICON_WORDS = 100_000
 LONGEST_WORD = 64
 
 #: A worker keeps the ids of about so many chunks.
-KNOWN_CHUNKS = 600_000
+KNOWN_CHUNKS = 400_000
 
 _NEVER = 1 << 62
 
