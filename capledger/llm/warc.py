@@ -5,9 +5,10 @@ above a size are cut into segments: the first one keeps the record's type, the o
 records that name its id and their number; the last one states the total length. A page whose payload has
 been seen with a smaller id becomes a revisit record.
 
-Archives are plain WARC files, written and read by Spark's text source with the bytes between records as
-line separator, so that they can be of any size and lie in any file system. Chunk borders are set such that
-a record's version line never stands inside a block.
+Archives are plain WARC files, written and read by Spark's text source, so that they can be of any size and
+lie in any file system. They are cut at the version line that begins each record; chunk borders are set such
+that it never stands inside a block. No part of that line repeats its beginning, so that the reader finds it
+across the borders of its buffers too.
 """
 
 from __future__ import annotations
@@ -119,6 +120,8 @@ def records_of(
     digest = base32_sha1(payload)
     own = record_id(page_id, url, digest)
     uri = None if url is None else urllib.parse.quote(url, safe="!#$%&'()*+,/:;=?@[]~")
+    if uri:
+        uri = uri.replace("WARC/1.1", "WARC/1%2E1")  # no field ends in a version line
     common = [("WARC-Date", DATE), ("WARC-Target-URI", uri or None), ("Content-Type", "application/http; msgtype=response")]
     named = [("WARC-Record-ID", own), ("X-Page-ID", page_id), ("WARC-Payload-Digest", f"sha1:{digest}")]
     if first is not None:
@@ -238,7 +241,7 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
                     [pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema,
                 )
 
-    fragments = spark.read.option("lineSep", SEPARATOR + VERSION.decode()).text(path)
+    fragments = spark.read.option("lineSep", VERSION.decode()).text(path)
     parsed = shared_table(fragments.select(F.col("value").cast("binary")).mapInArrow(run, PARSED), "records")
     result = ("page_id", "record_type", "payload_bytes", "payload_digest", "intact", "payload")
 

@@ -230,6 +230,12 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_warc_records_across_buffer_borders(spark, tmp_path):
+    rows = [(i, f"http://x/{i}/WARC/1.1", "\r\n" * (i % 7) + "z" * (i * 37 % 900)) for i in range(4000)]
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), str(tmp_path / "w"))
+    assert warc.read(spark, str(tmp_path / "w"), payloads=False).where("intact").count() == len(rows)
+
+
 def test_warc_damage_is_told():
     assert warc.reassemble([(2, b"b"), (1, b"a")], 2) == b"ab"
     for segments, total in (([(1, b"a"), (3, b"b")], 2), ([(1, b"a")], 2), ([(1, b"a")], None)):
