@@ -546,6 +546,68 @@ def constraint_report(spark, root):
     return quality.constraint_report({"sources": landed})
 
 
+#: For each table the benchmark table and key its rows come from, and its rules as declared: "!" must not be
+#: null, ":n" is at most n characters long.
+_RULES = {
+    "companies": ("customer", "c_custkey", "id! name!:500 cik:20 official_name:500 created_at! updated_at!"),
+    "funding_rounds": (
+        "orders", "o_orderkey",
+        "id! company_id! round_name:100 date:50 lead_investor:500 source_type!:50 confidence_score!:20 is_duplicate! "
+        "created_at! updated_at!",
+    ),
+    "investors": ("supplier", "s_suppkey", "id! name!:500 investor_type:50 created_at! updated_at!"),
+    "round_investors": ("lineitem", "l_orderkey", "round_id! investor_id!"),
+    "sources": (
+        "lineitem", "l_partkey",
+        "id! round_id! source_type!:50 url:2000 title:500 llm_provider:50 llm_model:100 extraction_confidence:20 created_at!",
+    ),
+    "processing_status": (
+        "customer", "c_custkey",
+        "id! company_id! stage1_resolved! stage2_sec_collected! stage2_rounds_found! stage3_search_extracted! "
+        "stage3_rounds_found! stage4_merged! stage4_unique_rounds! has_errors! retry_count! created_at! updated_at!",
+    ),
+    "llm_usage": (
+        "events", "event_id",
+        "id! provider_name!:50 model_name!:100 total_calls! successful_calls! failed_calls! rate_limited_calls! "
+        "total_input_tokens! total_output_tokens! date!:10 created_at! updated_at!",
+    ),
+}
+
+
+def _rules():
+    """(table, source, key, column, must not be null, length or "", every so-many-th key breaks the rule)."""
+    for name, (source, key, columns) in _RULES.items():
+        for place, rule in enumerate(columns.split(), 2):
+            column, _, length = rule.partition(":")
+            yield name, source, key, column.rstrip("!"), column.endswith("!"), length, place
+
+
+def _constraints_sql() -> str:
+    parts = []
+    for name, source, key, column, required, length, every in _rules():
+        start = f"SELECT '{name}' AS table_name, '{column}' AS column_name"
+        if required:
+            parts.append(f"{start}, 'not_null' AS rule, count(*) FILTER ({key} % {every} = 0) AS violations FROM {source}")
+        if length:
+            there = f" AND {key} % {every} <> 0" if required else ""
+            parts.append(f"{start}, 'max_length_{length}' AS rule, count(*) FILTER ({key} % 2 = 1{there}) AS violations FROM {source}")
+    return " UNION ALL ".join(parts)
+
+
+@query(_constraints_sql())
+def table_constraints(spark, root):
+    """All rules of all seven tables; the rows break each of them for other keys."""
+    columns: dict[str, list[str]] = {}
+    for name, _, key, column, required, length, every in _rules():
+        value = f"repeat('x', CAST({length} + {key} % 2 AS INT))" if length else key
+        columns.setdefault(name, []).append(
+            f"CASE WHEN {key} % {every} <> 0 THEN {value} END AS {column}" if required else f"{value} AS {column}"
+        )
+    return quality.constraint_report({
+        name: table(spark, root, source).selectExpr(*columns[name]) for name, (source, _, _) in _RULES.items()
+    })
+
+
 @query(sql("""
     SELECT 'companies' AS table_name, count(*) AS kept FROM customer WHERE c_mktsegment <> 'MACHINERY' AND c_acctbal >= 0
     UNION ALL SELECT 'funding_rounds', count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY')

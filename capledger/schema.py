@@ -59,15 +59,22 @@ RESPONSE_ROUND = (
 )
 
 NOT_NULL = {
-    "companies": ["name", "created_at", "updated_at"],
+    "companies": ["id", "name", "created_at", "updated_at"],
     "funding_rounds": [
-        "company_id", "source_type", "confidence_score", "is_duplicate", "created_at", "updated_at",
+        "id", "company_id", "source_type", "confidence_score", "is_duplicate", "created_at", "updated_at",
     ],
-    "investors": ["name", "created_at", "updated_at"],
+    "investors": ["id", "name", "created_at", "updated_at"],
     "round_investors": ["round_id", "investor_id"],
-    "sources": ["round_id", "source_type", "created_at"],
-    "processing_status": ["company_id", "created_at", "updated_at"],
-    "llm_usage": ["provider_name", "model_name", "date"],
+    "sources": ["id", "round_id", "source_type", "created_at"],
+    "processing_status": [
+        "id", "company_id", "stage1_resolved", "stage2_sec_collected", "stage2_rounds_found",
+        "stage3_search_extracted", "stage3_rounds_found", "stage4_merged", "stage4_unique_rounds",
+        "has_errors", "retry_count", "created_at", "updated_at",
+    ],
+    "llm_usage": [
+        "id", "provider_name", "model_name", "total_calls", "successful_calls", "failed_calls",
+        "rate_limited_calls", "total_input_tokens", "total_output_tokens", "date", "created_at", "updated_at",
+    ],
 }
 
 MAX_LENGTH = {
