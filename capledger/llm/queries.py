@@ -7,10 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bit_codes, bpe, grid_join, licenses, minhash, quality, secrets, url_filter, warc
+from . import bit_codes, bpe, grid_join, licenses, minhash, mixing, quality, secrets, url_filter, warc
 from .common import documents
 
 
+#: Production weights. Sources are grouped into three domains; 90 % of the tokens are kept, each at most once.
+MIXTURE = mixing.Settings(
+    domains={
+        **{f"src{i}": "web" for i in range(10)}, **{f"src{i}": "books" for i in range(10, 15)},
+        **{f"src{i}": "forums" for i in range(15, 20)},
+    },
+    domain_weights={"web": 0.5, "books": 0.3, "forums": 0.2, "other": 0.1},
+    language_weights={"en": 0.5, "de": 0.2, "fr": 0.15, "es": 0.15},
+    share=0.9, max_epochs=1, seed=17,
+)
+
+
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir))
 
@@ -19,6 +31,10 @@ def op2_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_codes.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), lambda vec_id: vec_id % 20 == 0)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir), MIXTURE)
+
+
 def op4_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid_join.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -53,7 +69,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op2_bit_codes, op4_grid_join, op5_minhash, op6_warc, op7_licenses, op8_quality, op9_url_filter, op10_secrets)
+    f.__name__: f for f in (op1_bpe, op2_bit_codes, op3_mixing, op4_grid_join, op5_minhash, op6_warc, op7_licenses, op8_quality, op9_url_filter, op10_secrets)
 }
 
 ORACLES: dict[str, str] = {}

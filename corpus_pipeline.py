@@ -12,18 +12,7 @@ from pyspark.sql import functions as F
 
 from capledger.llm import bpe, minhash, mixing, quality, secrets
 from capledger.llm.common import shared_table
-
-#: Production weights. Sources are grouped into three domains; 90 % of the tokens are kept, each at most once.
-MIXTURE = mixing.Settings(
-    domains={
-        **{f"src{i}": "web" for i in range(10)}, **{f"src{i}": "books" for i in range(10, 15)},
-        **{f"src{i}": "forums" for i in range(15, 20)},
-    },
-    domain_weights={"web": 0.5, "books": 0.3, "forums": 0.2, "other": 0.1},
-    language_weights={"en": 0.5, "de": 0.2, "fr": 0.15, "es": 0.15},
-    share=0.9, max_epochs=1, seed=17,
-)
-
+from capledger.llm.queries import MIXTURE
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier does not reject."""
