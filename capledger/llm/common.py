@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,10 +48,19 @@ def byte_texts(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.to_pylist()]
 
 
-def slices(batch: pa.RecordBatch, rows: int = 256):
-    """Short runs of a batch, so that long texts are held a few at a time."""
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+def slices(batch: pa.RecordBatch, rows: int = 256, size: int = 4 << 20):
+    """Short runs of a batch, of so many rows and bytes of text at most (or one row), so that long texts are held a few at a time."""
+    sizes = np.zeros(batch.num_rows + 1, np.int64)
+    for column in batch.columns:
+        kind = column.type
+        if pa.types.is_string(kind) or pa.types.is_binary(kind) or pa.types.is_large_string(kind) or pa.types.is_large_binary(kind):
+            sizes[1:] += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends, at = np.cumsum(sizes), 0
+    while at < batch.num_rows:
+        end = int(np.searchsorted(ends, ends[at] + size, "right")) - 1
+        end = max(at + 1, min(end, at + rows))
+        yield batch.slice(at, end - at)
+        at = end
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bit_codes, bpe, grid_join, licenses, minhash, mixing, quality, secrets, url_filter, warc
+from . import (
+    align, bit_codes, bpe, fill_middle, grid_join, licenses, minhash, mixing, quality, secrets, token_counts, url_filter, warc,
+)
 from .common import documents
 
 
@@ -68,8 +70,23 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(documents(spark, sf_dir))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.over_limit(documents(spark, sf_dir))
+
+
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.digests(documents(spark, sf_dir))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op2_bit_codes, op3_mixing, op4_grid_join, op5_minhash, op6_warc, op7_licenses, op8_quality, op9_url_filter, op10_secrets)
+    f.__name__: f for f in (
+        op1_bpe, op2_bit_codes, op3_mixing, op4_grid_join, op5_minhash, op6_warc, op7_licenses, op8_quality, op9_url_filter,
+        op10_secrets, op11_token_counts, op12_align, op13_fill_middle,
+    )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op13_fill_middle": fill_middle.DIGESTS_SQL}
