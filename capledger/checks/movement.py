@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from capledger.checks import shapes
@@ -98,8 +99,8 @@ def arriving_rounds(spark, root, base):
 def merge_stream(spark, root):
     base = workspace(spark)
     arrivals = arriving_rounds(spark, root, base).drop("source_url")
-    round_stream.merge_stream(arrivals, f"{base}/store", f"{base}/marks", f"{base}/checkpoint").awaitTermination()
-    return usage_stream.latest_versions(spark.read.parquet(f"{base}/marks"), ["id"])
+    round_stream.merge_stream(arrivals, f"{base}/store", f"{base}/checkpoint").awaitTermination()
+    return round_stream.merge_store(spark, f"{base}/store").read("marks")
 
 
 @query(sql("SELECT id, company_id, date FROM t_rounds"))
@@ -116,3 +117,55 @@ def first_arrivals_stream(spark, root):
         .trigger(availableNow=True).start().awaitTermination()
     )
     return spark.read.parquet(f"{base}/kept")
+
+
+@query(sql("""
+    SELECT DISTINCT company_id, source_type, round_name, date, amount_raised_usd, pre_money_valuation_usd, source_urls
+    FROM t_rounds"""))
+def recollected_arrivals_stream(spark, root):
+    """A later run lands every round again, under another id and time; each content is kept once."""
+    base = workspace(spark)
+    rounds = shapes.rounds(spark, root)
+    later = rounds.withColumn("id", -F.col("id")).withColumn("created_at", F.expr("created_at + INTERVAL 40 YEARS"))
+    rounds.unionByName(later).repartitionByRange(4, "created_at", F.rand(1)).write.parquet(f"{base}/landed")
+    schema = spark.read.parquet(f"{base}/landed").schema
+    arrivals = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landed")
+    (
+        round_stream.first_arrivals(arrivals, round_stream.CONTENT).writeStream.format("parquet")
+        .option("path", f"{base}/kept").option("checkpointLocation", f"{base}/checkpoint")
+        .trigger(availableNow=True).start().awaitTermination()
+    )
+    return spark.read.parquet(f"{base}/kept").select(
+        "company_id", "source_type", "round_name", "date", "amount_raised_usd", "pre_money_valuation_usd",
+        F.array_join("source_urls", ", ").alias("source_urls"),
+    )
+
+
+@query(sql(DAILY_SQL))
+def resumed_usage_stream(spark, root):
+    """The stream breaks in its third batch, after the state was updated; a second run goes on from its checkpoint."""
+    base = workspace(spark)
+    events = shapes.table(spark, root, "events")
+    events.repartitionByRange(5, "ts").write.parquet(f"{base}/landed")
+
+    def calls():
+        source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landed")
+        return usage_stream.daily_usage_stream(source.selectExpr(*shapes.CALL_COLUMNS))
+
+    def breaking(batch, batch_id):
+        if batch_id == 2:
+            raise RuntimeError("stopped on purpose")
+        batch.write.mode("overwrite").parquet(f"{base}/usage/version={batch_id}")
+
+    broken = calls().writeStream.outputMode("update").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
+    try:
+        broken.foreachBatch(breaking).start().awaitTermination()
+    except StreamingQueryException:
+        pass
+    else:
+        raise AssertionError("the first run should have been stopped")
+    usage_stream.write_versions(calls(), f"{base}/usage", f"{base}/checkpoint").awaitTermination()
+    latest = usage_stream.latest_versions(
+        spark.read.parquet(f"{base}/usage"), ["provider_name", "model_name", "date"]
+    )
+    return latest.withColumn("average_latency_ms", F.round("average_latency_ms", 9))

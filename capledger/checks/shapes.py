@@ -90,7 +90,7 @@ def status(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-_CALL_COLUMNS = (
+CALL_COLUMNS = (
     "event_id", "CAST(ts AS TIMESTAMP) AS ts", "event_type AS provider_name",
     "concat('model-', user_id % 3) AS model_name", "user_id AS account",
     "CAST(get_json_object(props, '$.k') AS INT) % 5 <> 0 AS success",
@@ -102,7 +102,7 @@ _CALL_COLUMNS = (
 
 
 def calls(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "events").selectExpr(*_CALL_COLUMNS)
+    return table(spark, root, "events").selectExpr(*CALL_COLUMNS)
 
 
 def call_stream(spark: SparkSession, root: str) -> DataFrame:
@@ -110,7 +110,7 @@ def call_stream(spark: SparkSession, root: str) -> DataFrame:
     schema = table(spark, root, "events").schema
     return (
         spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(root)
-        .selectExpr(*_CALL_COLUMNS)
+        .selectExpr(*CALL_COLUMNS)
     )
 
 

@@ -61,14 +61,18 @@ def exploded_investors(rounds: DataFrame) -> DataFrame:
     )
 
 
-def upsert_investors(existing: DataFrame, named: DataFrame, now: Column) -> DataFrame:
-    """All investors after taking in the names of ``named``; known ones are left alone."""
-    created = new_names(existing, named).select(
+def created_investors(existing: DataFrame, named: DataFrame, now: Column) -> DataFrame:
+    """Rows of the investors in ``named`` that are not known yet."""
+    return new_names(existing, named).select(
         key_of("name").alias("id"), "name",
         F.lit(None).cast("string").alias("investor_type"),
         now.alias("created_at"), now.alias("updated_at"),
     )
-    return existing.unionByName(created)
+
+
+def upsert_investors(existing: DataFrame, named: DataFrame, now: Column) -> DataFrame:
+    """All investors after taking in the names of ``named``; known ones are left alone."""
+    return existing.unionByName(created_investors(existing, named, now))
 
 
 def investor_links(named: DataFrame, investors: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from capledger.sources.filings import filings, offering_filings
 
 @dataclass(frozen=True)
 class Collected:
-    """What a collecting stage adds: rounds, their sources and investors, and the new status."""
+    """What a collecting stage adds: rounds, their sources and investors (also as named in rounds), and the new status."""
 
     rounds: DataFrame
     sources: DataFrame
@@ -36,6 +36,7 @@ class Collected:
     round_investors: DataFrame
     status: DataFrame
     companies: DataFrame
+    named: DataFrame
 
 
 def _stage_log(todo: DataFrame, rounds: DataFrame, now: Column) -> DataFrame:
@@ -111,7 +112,7 @@ def _collected(
     new_status = apply_completions(status, _stage_log(todo, rounds, now), stage)
     return Collected(
         rounds.drop("all_investors", "source_url"), sources, known,
-        investor_links(named, known), new_status, companies,
+        investor_links(named, known), new_status, companies, named,
     )
 
 
