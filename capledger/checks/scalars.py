@@ -156,13 +156,12 @@ def offering_filings(spark, root):
 
 @query(sql("""
     SELECT o_orderkey, is_offering, CASE WHEN is_offering THEN read_amount END AS amount
-    FROM t_offerings"""))
+    FROM t_offerings UNION ALL SELECT o_orderkey, is_offering, amount FROM t_nested"""))
 def filing_offerings(spark, root):
     from capledger.functions.filings import offering
 
-    return shapes.filing_documents(spark, root).select(
-        "o_orderkey", F.inline(F.array(offering(F.col("document"))))
-    )
+    documents = shapes.filing_documents(spark, root).select("o_orderkey", "document").unionByName(shapes.nested_documents(spark, root))
+    return documents.select("o_orderkey", F.inline(F.array(offering(F.col("document")))))
 
 
 @query("""

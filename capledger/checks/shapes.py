@@ -178,6 +178,34 @@ def filing_documents(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+# How the offering stands in a document: nested deeply, under bound, unused, re-bound and unbound prefixes, as the root,
+# twice, in a comment, beside foreign data. Each with what must be read: an offering or none, and its amount.
+NESTED = (
+    ('<e xmlns="{ns}"><a><b><offeringData><x><y><totalOfferingAmount>{n}</totalOfferingAmount></y></x></offeringData></b></a></e>', True, True),
+    ('<s:e xmlns:s="{ns}"><a><s:offeringData><s:totalOfferingAmount k="1 > 0"> {n} </s:totalOfferingAmount></s:offeringData></a></s:e>', True, True),
+    ('<e xmlns:s="{ns}"><offeringData><totalOfferingAmount>{n}</totalOfferingAmount></offeringData></e>', False, False),
+    ('<e xmlns="{ns}"><p xmlns="urn:b"><offeringData><totalOfferingAmount>1</totalOfferingAmount></offeringData></p><offeringData><totalOfferingAmount xmlns="urn:b">2</totalOfferingAmount><totalOfferingAmount>{n}</totalOfferingAmount></offeringData></e>', True, True),
+    ('<s:e xmlns:s="{ns}"><s:p xmlns:s="urn:b"><s:offeringData/></s:p></s:e>', False, False),
+    ('<e xmlns="{ns}"><q:offeringData><totalOfferingAmount>{n}</totalOfferingAmount></q:offeringData></e>', False, False),
+    ('<offeringData xmlns="{ns}"><totalOfferingAmount>{n}</totalOfferingAmount></offeringData>', False, False),
+    ('<e xmlns="{ns}"><!-- <offeringData/> --><offeringData><sales/></offeringData><offeringData><totalOfferingAmount>{n}</totalOfferingAmount></offeringData></e>', True, False),
+    ('<e xmlns="{ns}"><offeringData><totalOfferingAmount><![CDATA[{n}]]></totalOfferingAmount></offeringData></e>', True, True),
+    ('<e xmlns="urn:b"><f xmlns="{ns}"/><offeringData><totalOfferingAmount>{n}</totalOfferingAmount></offeringData></e>', False, False),
+    ('<e xmlns="{ns}"><offeringData><totalOfferingAmount>{n}<u>7</u>8</totalOfferingAmount></offeringData></e>', True, True),
+    ('<e xmlns="{ns}"><offeringData t:k="1"><totalOfferingAmount>{n}</totalOfferingAmount></offeringData></e>', False, False),
+    ("<e xmlns = '{ns}' note='&lt;offeringData/> x:y=\"1\"'><offeringData/></e>", True, False),
+)
+
+
+def nested_documents(spark: SparkSession, root: str) -> DataFrame:
+    """A document per order in one of the forms above; ids are negative."""
+    texts = ", ".join("'" + t.replace("{ns}", OFFERING_NAMESPACE).replace("'", "\\'") + "'" for t, _, _ in NESTED)
+    return table(spark, root, "orders").selectExpr(
+        "-o_orderkey AS o_orderkey",
+        f"replace(element_at(array({texts}), CAST(o_orderkey % {len(NESTED)} AS INT) + 1), '{{n}}', CAST(o_custkey AS STRING)) AS document",
+    )
+
+
 def landed_hits(spark: SparkSession, root: str) -> DataFrame:
     """Five hits per company and query from the crawled pages; every sixth has no title."""
     return table(spark, root, "pages").selectExpr(
@@ -327,6 +355,10 @@ _SQL = {
                  AND contains(document, 'xmlns="{OFFERING_NAMESPACE}"') AS is_offering,
                TRY_CAST(regexp_extract(document, '<totalOfferingAmount>([^<]*)<', 1) AS DOUBLE) AS read_amount
         FROM t_documents""",
+    "t_nested": f"""
+        SELECT -o_orderkey AS o_orderkey, [{", ".join(str(found).lower() for _, found, _ in NESTED)}][o_orderkey % {len(NESTED)} + 1] AS is_offering,
+               CASE WHEN [{", ".join(str(read).lower() for _, _, read in NESTED)}][o_orderkey % {len(NESTED)} + 1] THEN CAST(o_custkey AS DOUBLE) END AS amount
+        FROM orders""",
     "t_landed": """
         SELECT page_id // 10 AS company_id, CAST(page_id % 2 AS INT) + 1 AS query_no,
                CAST(page_id // 2 % 5 AS INT) + 1 AS rank,

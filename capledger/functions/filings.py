@@ -31,26 +31,107 @@ def index_rows(index_json: Column) -> Column:
     )
 
 
-def offering(document: Column) -> Column:
-    """``struct<is_offering, amount>`` of an offering document.
+# Comments, processing instructions and the document type say nothing; character data counts where it needs no escape.
+_UNSPOKEN = r"(?s)<!--.*?-->|<\?.*?\?>|<!DOCTYPE(?:[^<>\[]|\[.*?\]\s*(?=>))*>"
+_PLAIN_DATA, _OTHER_DATA = r"<!\[CDATA\[([^<&\]]*)\]\]>", r"(?s)<!\[CDATA\[.*?\]\]>"
+_TAG = r"""<(?:[^<>"']++|"[^"]*+"|'[^']*+')++>"""
+_DECLARED = r"""\sxmlns(?::([^\s=]+))?\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+_ATTRIBUTE = r"""\s([^\s=:]+):[^\s=]+\s*=\s*["']"""
+
+_BINDINGS = "array<struct<depth: int, prefix: string, uri: string>>"
+
 
-    ``is_offering`` is false for malformed XML, a foreign namespace or a document without
-    offering data. A missing or unreadable amount is null.
+def _tags(document: Column) -> Column:
+    """The tags of a document in order, each with the text up to the next one."""
+    plain = F.regexp_replace(document, _UNSPOKEN, "")
+    plain = F.regexp_replace(F.regexp_replace(plain, _PLAIN_DATA, "$1"), _OTHER_DATA, "?")
+
+    def read(token: Column) -> Column:
+        tag = F.regexp_extract(token, _TAG, 0)
+        name = F.regexp_extract(tag, r"^</?([^\s/>]+)", 1)
+        # Values are taken out, so that what looks like an attribute inside one is none.
+        bare = F.regexp_replace(tag, r"""=\s*("[^"]*"|'[^']*')""", "=''")
+        declared = F.transform(
+            F.regexp_extract_all(tag, F.lit(_DECLARED), F.lit(0)),
+            lambda d: F.struct(
+                F.regexp_extract(d, _DECLARED, 1).alias("prefix"),
+                F.concat(F.regexp_extract(d, _DECLARED, 2), F.regexp_extract(d, _DECLARED, 3)).alias("uri"),
+            ),
+        )
+        return F.struct(
+            F.startswith(token, F.lit("</")).alias("closes"), F.endswith(tag, F.lit("/>")).alias("empty"),
+            F.when(F.contains(name, F.lit(":")), F.substring_index(name, ":", 1)).otherwise("").alias("prefix"),
+            F.substring_index(name, ":", -1).alias("local"), declared.alias("declared"),
+            F.filter(F.regexp_extract_all(bare, F.lit(_ATTRIBUTE), F.lit(1)), lambda p: ~p.isin("xmlns", "xml")).alias("used"),
+            F.substring(token, F.length(tag) + 1, F.length(token)).alias("text"),
+        )
+
+    return F.transform(F.regexp_extract_all(plain, F.lit(_TAG + "[^<]*+"), F.lit(0)), read)
+
+
+def _walk(tags: Column) -> Column:
+    """``struct<found, amount, bad, …>`` after all tags: a fold with the depth and the prefixes bound at it.
+
+    ``at`` is the depth of the first offering data: 0 before it, -1 behind it.
     """
-    parsed = F.from_xml(
-        document, "offeringData STRING, _corrupt_record STRING", {"ignoreNamespace": "true"}
+    nothing = F.struct(
+        F.lit(0).alias("depth"), F.array().cast(_BINDINGS).alias("bindings"), F.lit(0).alias("at"), F.lit(False).alias("taken"),
+        F.lit(None).cast("string").alias("amount"), F.lit(False).alias("bad"),
     )
-    namespaced = document.rlike(rf"""xmlns(:[\w.-]+)?\s*=\s*["']\Q{OFFERING_NAMESPACE}\E["']""")
 
-    def read(p: Column) -> Column:
-        body = p["offeringData"]
-        found = F.coalesce(body.isNotNull() & p["_corrupt_record"].isNull() & namespaced, F.lit(False))
-        amount = F.regexp_extract(
-            body, r"(?s)<(?:[\w.-]+:)?totalOfferingAmount(?:\s[^>]*)?>([^<]*)<", 1
+    def bound(bindings: Column, prefix: Column) -> Column:
+        return F.try_element_at(F.filter(bindings, lambda b: b["prefix"] == prefix), F.lit(-1))["uri"]
+
+    def opened(state: Column, tag: Column) -> Column:
+        depth = state["depth"] + 1
+        bindings = F.concat(
+            state["bindings"],
+            F.transform(tag["declared"], lambda d: F.struct(depth.alias("depth"), d["prefix"].alias("prefix"), d["uri"].alias("uri"))),
+        ).cast(_BINDINGS)
+        uri = bound(bindings, tag["prefix"])
+        own = F.coalesce(uri == OFFERING_NAMESPACE, F.lit(False))
+        starts = own & (tag["local"] == "offeringData") & (depth > 1) & (state["at"] == 0)
+        takes = own & (tag["local"] == "totalOfferingAmount") & (state["at"] > 0) & ~state["taken"]
+        unbound = ((tag["prefix"] != "") & (tag["prefix"] != "xml") & (F.coalesce(uri, F.lit("")) == "")) | F.exists(
+            tag["used"], lambda p: F.coalesce(bound(bindings, p), F.lit("")) == ""
         )
         return F.struct(
-            found.alias("is_offering"), F.when(found, number_from_text(amount)).alias("amount")
+            F.when(tag["empty"], state["depth"]).otherwise(depth).alias("depth"),
+            F.when(tag["empty"], state["bindings"]).otherwise(bindings).alias("bindings"),
+            F.when(starts, F.when(tag["empty"], -1).otherwise(depth)).otherwise(state["at"]).alias("at"),
+            (state["taken"] | takes).alias("taken"),
+            F.when(takes, F.when(~tag["empty"], tag["text"])).otherwise(state["amount"]).alias("amount"),
+            (state["bad"] | unbound).alias("bad"),
+        )
+
+    def closed(state: Column) -> Column:
+        return F.struct(
+            (state["depth"] - 1).alias("depth"),
+            F.filter(state["bindings"], lambda b: b["depth"] < state["depth"]).alias("bindings"),
+            F.when(state["at"] == state["depth"], -1).otherwise(state["at"]).alias("at"),
+            state["taken"].alias("taken"), state["amount"].alias("amount"), state["bad"].alias("bad"),
+        )
+
+    return F.aggregate(tags, nothing, lambda state, tag: F.when(tag["closes"], closed(state)).otherwise(opened(state, tag)))
+
+
+def offering(document: Column) -> Column:
+    """``struct<is_offering, amount>`` of an offering document.
+
+    Offering data is looked for at any depth below the root and the amount at any depth inside the first of them, both
+    by the namespace their prefix is bound to where they stand. ``is_offering`` is false for malformed XML, prefixes
+    that are not bound, or a document without offering data. A missing or unreadable amount is null; the amount's text ends
+    at a tag inside it.
+    """
+    # The parser tells whether the document is well-formed; documents that cannot hold offering data are not walked.
+    parsed = F.from_xml(document, "offeringData STRING, _corrupt_record STRING", {"ignoreNamespace": "true"})
+    may_hold = F.contains(document, F.lit("offeringData")) & F.contains(document, F.lit(OFFERING_NAMESPACE))
+
+    def read(walked: Column) -> Column:
+        found = F.coalesce((walked["at"] != 0) & ~walked["bad"] & parsed["_corrupt_record"].isNull(), F.lit(False))
+        return F.struct(
+            found.alias("is_offering"), F.when(found, number_from_text(walked["amount"])).alias("amount")
         )
 
-    # A one-element transform binds the parsed document, so it is parsed once.
-    return F.get(F.transform(F.array(parsed), read), F.lit(0))
+    # A one-element transform binds the walk, so it is done once.
+    return F.get(F.transform(F.array(F.when(may_hold, _walk(_tags(document)))), read), F.lit(0))

@@ -1,6 +1,8 @@
 """Column expressions against plain Python, quirks included."""
 
 import datetime as dt
+import random
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
@@ -138,3 +140,42 @@ def test_prompt_numbers_hits_from_one(spark):
     ).first().p
     assert "Company: Acme\n\nSearch Results:\n\n\n--- Result 1 ---\nTitle: T\nURL: U\nSnippet: S\n" in block
     assert block.endswith("JSON array:") and "{company}" not in block
+
+
+def _random_document(rng):
+    """Nested elements of a few names under prefixes that come, go and are bound anew; some are broken."""
+    uris = [filings.OFFERING_NAMESPACE, "urn:b"]
+
+    def element(depth):
+        prefix = rng.choice(["", "", "s:", "t:"])
+        name = prefix + rng.choice(["offeringData", "totalOfferingAmount", "x"])
+        attributes = rng.choice(["", "", f' xmlns="{rng.choice(uris)}"', f" xmlns:s='{rng.choice(uris)}'", f' xmlns:t = "{rng.choice(uris)}" k="1>2"', ' t:k="x"'])
+        if depth > 4 or rng.random() < 0.2:
+            return f"<{name}{attributes}/>"
+        inner = "".join(rng.choice(["<!-- <offeringData> -->", str(rng.randint(0, 99)), "a > b", element(depth + 1), element(depth + 1)]) for _ in range(rng.randint(0, 3)))
+        return f"<{name}{attributes}>{inner}</{name}>"
+
+    inner = "".join(element(1) for _ in range(3))
+    text = f'<?xml version="1.0"?><!DOCTYPE e><e xmlns="{rng.choice(uris)}" xmlns:s="{rng.choice(uris)}" xmlns:t="{rng.choice(uris)}">{inner}</e>'
+    return text[:-5] if rng.random() < 0.05 else text
+
+
+def test_offerings_agree_with_a_namespace_aware_parser(spark):
+    rng = random.Random(11)
+    documents = [_random_document(rng) for _ in range(1500)] + [None, "", "plain", f'<e xmlns="{filings.OFFERING_NAMESPACE}"/>']
+    space = {"o": filings.OFFERING_NAMESPACE}
+    want = []
+    for text in documents:
+        try:
+            data = ElementTree.fromstring(text or "").find(".//o:offeringData", space)
+        except ElementTree.ParseError:
+            data = None
+        amount = None if data is None else data.find(".//o:totalOfferingAmount", space)
+        try:
+            number = float(amount.text)
+        except (AttributeError, TypeError, ValueError):
+            number = None
+        want.append((data is not None, number))
+    got = column(spark, documents, "STRING", filings.offering)
+    assert [(r.is_offering, r.amount) for r in got] == want
+    assert len({w[0] for w in want}) == 2 and sum(n is not None for _, n in want) > 10
