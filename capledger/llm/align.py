@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import UNSETTLED, byte_letters
-from .common import byte_texts, drop_shared, pick, shared_table, slices
+from .common import IdRuns, Numbered, byte_texts, drop_shared, pick, shared_table, slices
 
 #: What the second vocabulary writes for a blank.
 BLANK = "▁"
@@ -46,12 +46,6 @@ _END = re.compile(f"(?<=[^{_OPEN}]) ")
 _UNSETTLED = re.compile(f" (?<=[{_OPEN}] )")
 
 
-def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The places of all elements of ranges, one range after the other."""
-    ends = np.cumsum(lengths)
-    return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
-
-
 #: Fixed by byte-level vocabularies: how a text is cut into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -91,35 +85,17 @@ def read_tokenizers(first: str | None = None, second: str | None = None) -> Toke
         return Tokenizers(source, file.read())
 
 
-class Side:
-    """Ids of stretches by one tokenizer, one after the other, and the byte lengths of its tokens."""
+class Side(IdRuns):
+    """Ids of stretches by one tokenizer, and the byte lengths of its tokens."""
 
     def __init__(self, tokens: list[bytes]):
+        super().__init__()
         self.tokens = tokens
         self.lengths = np.array([len(t) for t in tokens], np.int64)
-        self.clear()
-
-    def clear(self) -> None:
-        self.ids = np.zeros(1 << 16, np.int32)
-        self.ends = np.zeros(1 << 14, np.int64)
-        self.n = 0
-
-    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
-        """The ids of further stretches, of which each has so many."""
-        at = int(self.ends[self.n - 1]) if self.n else 0
-        while self.n + len(sizes) > len(self.ends):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        while at + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[at:at + len(ids)] = ids
-        self.ends[self.n:self.n + len(sizes)] = np.cumsum(sizes) + at
-        self.n += len(sizes)
 
     def of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of stretches in a row, and how many each has."""
-        starts = np.where(places > 0, self.ends[places - 1], 0)
-        lengths = self.ends[places] - starts
-        return self.ids[_ragged(starts, lengths)].astype(np.int64), lengths
+        ids, lengths = super().of(places)
+        return ids.astype(np.int64), lengths
 
 
 class Stretches:
@@ -151,7 +127,7 @@ class Stretches:
                 raise ValueError("a piece holds a blank behind another character")
         self._blank = self._b.piece_to_id(BLANK)
         self.a, self.b = Side(a), Side(b)
-        self.places = _Places()
+        self.places = Numbered()
         self.exact = np.zeros(1 << 14, bool)
 
     @staticmethod
@@ -162,10 +138,10 @@ class Stretches:
     def learn(self, stretches: Sequence[str]) -> np.ndarray:
         """The places of stretches; all are forgotten before they become too many."""
         if len(self.places) > KEPT:
-            self.places = _Places()
+            self.places = Numbered()
             self.a.clear()
             self.b.clear()
-        found = np.fromiter(map(self.places.__getitem__, stretches), np.int64, len(stretches))
+        found = self.places.of(stretches)
         new, self.places.new = self.places.new, []
         for at in range(0, len(new), 8192):
             self._encode(new[at:at + 8192])
@@ -225,19 +201,6 @@ class Stretches:
         return np.diff(at + 1, prepend=0)
 
 
-class _Places(dict):
-    """Numbers of stretches in the order in which they are met."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, stretch: str) -> int:
-        self[stretch] = place = len(self)
-        self.new.append(stretch)
-        return place
-
-
 @dataclass
 class Part:
     """Aligned tokens of a document, or of a part of a long one: ids, and how many tokens there are to the end of each group."""

@@ -18,6 +18,8 @@ import tempfile
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -26,14 +28,17 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import byte_texts, pick, slices
+from .common import IdRuns, Numbered, byte_texts, pick, ragged, slices
 
 #: Words in the lexicon; its size on disk and in the broadcast is bounded by this and LONGEST_WORD.
 LEXICON_WORDS = 100_000
 LONGEST_WORD = 64
 
-#: A worker keeps the ids of about so many chunks.
-KNOWN_CHUNKS = 400_000
+#: A worker keeps the ids of about so many chunks between white space, none of them longer than this.
+KNOWN_CHUNKS, LONGEST_CHUNK = 500_000, 256
+
+#: A worker counts so many distinct chunks before it hands them on.
+COUNTED_CHUNKS = 200_000
 
 _NEVER = 1 << 62
 
@@ -42,9 +47,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 #: The same with the white space spelt out, for texts of letters that all versions of Unicode class alike ...
 _BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_BLANK}\p{{L}}\p{{N}}]+")
+WORDS = regex.compile(rf"\n|'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_BLANK}\p{{L}}\p{{N}}]+")
 BLANKS = re.compile(f"[{_BLANK}]+")
-ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
+ASCII_WORDS = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
 #: ... and what is not among them; such texts are cut by the tokenizer library's own tables.
 UNSETTLED = re.compile("[^\x00-\u0557\u2010-\u2027\u202f-\u205e\u20a0-\u20bf\u2100-\u23ff\u2500-\u27ff\u3000-\u3096"
                        "\u30a0-\u30ff\u4e00-\u9fef\uac00-\ud7a3\uff01-\uffbe\U0001f300-\U0001f6d2]")
@@ -123,18 +128,35 @@ class Vocabulary:
                     heapq.heappush(queue, (found >> 20, first, found & 0xFFFFF, ids[first], ids[second]))
         return [x for x in ids if x >= 0]
 
-    def words(self, stretch: str) -> list[str]:
-        """The normalised words of a stretch of text."""
-        if stretch.isascii():
-            if stretch.isalpha():
-                return [stretch.lower()]
-            return ASCII_WORDS.findall(stretch.lower())
-        if UNSETTLED.search(stretch):
-            return self._foreign_words(stretch)
-        if not unicodedata.is_normalized("NFC", stretch):
-            stretch = unicodedata.normalize("NFC", stretch)
-        # The final form of sigma depends on its place in str.lower(); here each letter is taken by itself.
-        return WORDS.findall(stretch.replace("Σ", "σ").lower())
+    def words(self, chunks: Sequence[str]) -> tuple[list[str], list[int]]:
+        """The normalised words of chunks without white space, and how many each has.
+
+        Chunks of letters that are classed alike everywhere are cut together, parted by line feeds.
+        """
+        plain, settled, found = [], [], {}
+        for chunk in chunks:
+            if chunk.isascii():
+                plain.append(chunk)
+            elif UNSETTLED.search(chunk):
+                found[chunk] = self._foreign_words(chunk)
+            else:
+                settled.append(chunk)
+        for own, pattern in ((plain, ASCII_WORDS), (settled, WORDS)):
+            text = "\n".join(own)
+            if own is settled:
+                if not unicodedata.is_normalized("NFC", text):
+                    text = unicodedata.normalize("NFC", text)
+                # The final form of sigma depends on its place in str.lower(); here each letter is taken by itself.
+                text = text.replace("Σ", "σ")
+            ended, each = pattern.findall(text.lower()), iter(own)
+            at = 0
+            ended.append("\n")
+            for chunk in each:
+                end = ended.index("\n", at)
+                found[chunk] = ended[at:end]
+                at = end + 1
+        lists = [found[chunk] for chunk in chunks]
+        return list(itertools.chain.from_iterable(lists)), [len(x) for x in lists]
 
     def _foreign_words(self, stretch: str) -> list[str]:
         if self._foreign is None:
@@ -274,6 +296,11 @@ class Lexicon:
     def entry(self, place: int) -> list[int]:
         return self.ids[self.offsets[place]:self.offsets[place + 1]].tolist()
 
+    def entries(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words in a row, and how many each has."""
+        sizes = self.offsets[places + 1] - self.offsets[places]
+        return self.ids[ragged(self.offsets[places], sizes)], sizes
+
 
 class Codec:
     """Encoding by the lexicon and exact merging, decoding by token texts."""
@@ -281,33 +308,53 @@ class Codec:
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.tokens = pa.array(vocabulary.tokens, pa.string())
-        self.known: dict[str | int, list[int]] = {}
-
-    def learn(self, chunks: set[str | int]) -> None:
-        """Find the ids of chunks not met lately; what has been found is kept while it is not too much."""
+        self.runs = IdRuns()
+        self._forget()
+
+    def _forget(self) -> None:
+        """Start with the special tokens, which are chunks of their own."""
+        self.known = Numbered()
+        self.runs.clear()
+        own = sorted(set(self.vocabulary.special.values()))
+        self.known.of(own)
+        self.known.new.clear()
+        self.runs.add(np.array(own, np.int64), np.ones(len(own), np.int64))
+
+    def learn(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of chunks in a row, and how many each has."""
+        words, words_of = self.vocabulary.words(chunks)
+        numbers = Numbered()
+        place = numbers.of(words)
+        keys = [w.encode() for w in numbers.new]
+        found = self.lexicon.find(keys)
+        there = found >= 0
+        ids, sizes = self.lexicon.entries(found[there])
+        merged = [self.vocabulary.merge(k) for k, known in zip(keys, there.tolist(), strict=True) if not known]
+        sizes_of = np.empty(len(keys), np.int64)
+        sizes_of[there], sizes_of[~there] = sizes, [len(m) for m in merged]
+        flat = np.concatenate([ids, np.fromiter(itertools.chain.from_iterable(merged), np.int64)])
+        starts = np.empty(len(keys), np.int64)
+        order = np.concatenate([np.flatnonzero(there), np.flatnonzero(~there)])
+        starts[order] = np.cumsum(sizes_of[order]) - sizes_of[order]
+        tokens = flat[ragged(starts[place], sizes_of[place])]
+        before = np.concatenate([[0], np.cumsum(sizes_of[place])])[np.concatenate([[0], np.cumsum(words_of, dtype=np.int64)])]
+        return tokens, np.diff(before)
+
+    def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts in a row, and how many each has. Chunks met for the first time are learned together; all are
+        forgotten before they become too many."""
         if len(self.known) > KNOWN_CHUNKS:
-            self.known.clear()
-        new = [c for c in chunks if c not in self.known]
-        cut = self.vocabulary.words
-        words = [cut(c) if isinstance(c, str) else () for c in new]
-        distinct = list({w for own in words for w in own})
-        keys = [w.encode() for w in distinct]
-        entry, merge = self.lexicon.entry, self.vocabulary.merge
-        ids = {
-            w: entry(place) if place >= 0 else merge(key)
-            for w, key, place in zip(distinct, keys, self.lexicon.find(keys).tolist(), strict=True)
-        }
-        for chunk, own in zip(new, words, strict=True):
-            if len(own) == 1:
-                self.known[chunk] = ids[own[0]]
-            else:
-                self.known[chunk] = [i for w in own for i in ids[w]] if isinstance(chunk, str) else [chunk]
-
-    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        chain = itertools.chain.from_iterable
+            self._forget()
         cut = [self.vocabulary.chunks(t) for t in texts]
-        self.learn(set(chain(cut)))
-        return [np.fromiter(chain(map(self.known.__getitem__, chunks)), np.int32) for chunks in cut]
+        places = self.known.of(list(itertools.chain.from_iterable(cut)))
+        new, self.known.new = self.known.new, []
+        for at in range(0, len(new), 1 << 16):
+            self.runs.add(*self.learn(new[at:at + (1 << 16)]))
+        ids, sizes = self.runs.of(places)
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum([len(c) for c in cut], dtype=np.int64)])]
+        if any(len(c) > LONGEST_CHUNK for c in new):
+            self._forget()
+        return ids, np.diff(ends)
 
     def decode(self, ids: pa.ListArray) -> pa.Array:
         """Token texts joined by blanks: what the vocabulary defines, as it names no decoder."""
@@ -327,28 +374,57 @@ def read_vocabulary(path: str | None = None) -> str:
 def frequent_words(docs: DataFrame, vocabulary: str, words: int = LEXICON_WORDS, text_column: str = "text") -> list[str]:
     """The most frequent words of all texts, ties in alphabetical order.
 
-    Distinct stretches between white space are counted first, then cut into words.
+    Distinct chunks between white space are counted first, then cut into words.
     """
+    def count(batches):
+        known, totals = Vocabulary(vocabulary), Counter()
+
+        def chunks():
+            part = pa.RecordBatch.from_arrays([pa.array(list(totals), pa.string()), pa.array(list(totals.values()), pa.int64())], names=["chunk", "n"])
+            totals.clear()
+            return part
+
+        for batch in batches:
+            for part in slices(batch):
+                for text in byte_texts(part.column(0)):
+                    totals.update(c for c in known.chunks(text.decode()) if isinstance(c, str))
+                if len(totals) >= COUNTED_CHUNKS:
+                    yield chunks()
+        yield chunks()
+
     def cut(batches):
         known = Vocabulary(vocabulary)
         for batch in batches:
             totals: dict[str, int] = {}
-            for text, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for chunk in known.chunks(text):
-                    for word in known.words(chunk) if isinstance(chunk, str) else ():
-                        totals[word] = totals.get(word, 0) + n
+            chunks, n = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+            found, words_of = known.words(chunks)
+            for word, k in zip(found, np.repeat(n, words_of).tolist(), strict=True):
+                totals[word] = totals.get(word, 0) + k
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(totals), pa.string()), pa.array(list(totals.values()), pa.int64())], names=["word", "n"],
             )
 
-    chunks = pick(docs, (text_column, "string")).select(F.explode(F.split(text_column, f"[{_BLANK}]+")).alias("chunk"))
+    chunks = pick(docs, (text_column, "string")).mapInArrow(count, "chunk string, n long")
     counted = (
-        chunks.where("chunk <> ''").groupBy("chunk").agg(F.count("*").alias("n")).mapInArrow(cut, "word string, n long")
+        chunks.groupBy("chunk").agg(F.sum("n").alias("n")).mapInArrow(cut, "word string, n long")
         .where(F.octet_length("word") <= LONGEST_WORD).groupBy("word").agg(F.sum("n").alias("n"))
     )
     return counted.orderBy(F.desc("n"), "word").limit(words).select("word").toArrow().column(0).to_pylist()
 
 
+@dataclass
+class Shared:
+    """Vocabulary and lexicon as they are broadcast."""
+
+    vocabulary: str
+    lexicon: bytes
+
+    @cached_property
+    def codec(self) -> Codec:
+        """One codec for all tasks of a Python worker."""
+        return Codec(Vocabulary(self.vocabulary), Lexicon(self.lexicon))
+
+
 def encode(
     docs: DataFrame, path: str | None = None, lexicon_words: int = LEXICON_WORDS, id_column: str = "doc_id",
     text_column: str = "text",
@@ -364,18 +440,15 @@ def encode(
         (w.encode(), known.merge(w.encode())) for w in frequent_words(docs, source, lexicon_words, text_column)
     )
     spark: SparkSession = docs.sparkSession
-    shared = spark.sparkContext.broadcast((source, lexicon))
+    shared = spark.sparkContext.broadcast(Shared(source, lexicon))
 
     def run(batches):
-        text, packed = shared.value
-        codec = Codec(Vocabulary(text), Lexicon(packed))
+        codec = shared.value.codec
         for batch in batches:
-            for part in slices(batch, 1024):
-                ids = codec.encode([t.decode() for t in byte_texts(part.column(1))])
-                offsets = np.zeros(len(ids) + 1, np.int32)
-                np.cumsum([len(x) for x in ids], out=offsets[1:])
-                flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+            for part in slices(batch, 1024, 2 << 20):
+                ids, sizes = codec.encode([t.decode() for t in byte_texts(part.column(1))])
+                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), lists, codec.decode(lists)], names=[id_column, "ids", "decoded"],
                 )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +64,57 @@ def slices(batch: pa.RecordBatch, rows: int = 256, size: int = 4 << 20):
         at = end
 
 
+def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of all elements of ranges, one range after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
+class Numbered(dict):
+    """Numbers of keys in the order in which they are met; ``new`` collects those met since it was emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list = []
+
+    def __missing__(self, key) -> int:
+        self[key] = place = len(self)
+        self.new.append(key)
+        return place
+
+    def of(self, keys: Sequence) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
+
+
+class IdRuns:
+    """Runs of ids, one after the other in one growing array."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.ids = np.zeros(1 << 16, np.int32)
+        self.ends = np.zeros(1 << 14, np.int64)
+        self.n = 0
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """The ids of further runs, of which each has so many."""
+        at = int(self.ends[self.n - 1]) if self.n else 0
+        while self.n + len(sizes) > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        while at + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[at:at + len(ids)] = ids
+        self.ends[self.n:self.n + len(sizes)] = np.cumsum(sizes) + at
+        self.n += len(sizes)
+
+    def of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of runs in a row, and how many each has."""
+        starts = np.where(places > 0, self.ends[places - 1], 0)
+        lengths = self.ends[places] - starts
+        return self.ids[ragged(starts, lengths)], lengths
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable from each node over edges (a, b).
 
