@@ -8,13 +8,14 @@ makes it a probability.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import byte_texts, pick, slices
@@ -24,7 +25,8 @@ from .common import byte_texts, pick, slices
 class Settings:
     #: Fitting reads at most this many labelled texts of each class ...
     rows_per_class: int = 3000
-    #: ... and at most so many bytes of them. Scoring reads everything.
+    #: ... and pieces of them of at most so many bytes: a text gives up to its share, spread evenly over its whole length.
+    #: Scoring reads everything.
     bytes_per_class: int = 12 << 20
     dictionary_bytes: int = 256 << 10
     piece_bytes: int = 2048
@@ -96,12 +98,22 @@ def held_out(id_column: str | Column) -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def sampled(text: bytes, share: int, piece: int) -> bytes:
+    """A text of up to ``share`` bytes as it is; of a longer one so many pieces, evenly spread from its start to its end."""
+    count = max(1, share // piece)
+    if len(text) <= count * piece:
+        return text
+    starts = np.linspace(0, len(text) - piece, count).astype(np.int64)
+    return b"".join(text[at:at + piece] for at in starts.tolist())
+
+
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
     """A model from a bounded sample of the labelled texts, chosen by a hash of their ids.
 
     Labels other than 0 and 1, rows without an id or a text and held-out rows are left out; of rows that
-    share an id and a label one is used. Without texts of both classes every score is the share of good
-    ones (one half without any).
+    share an id and a label one is used. Texts longer than their share of the bytes give pieces, so none
+    leaves another one out. Without texts of both classes every score is the share of good ones (one half without any), and
+    a warning tells so.
     """
     known = (
         pick(labels, ("doc_id", "long"), ("quality", "int")).where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
@@ -115,15 +127,27 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
         pick(docs, ("doc_id", "long"), ("text", "string")).where("text <> ''")
         .join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
     )
-    running = F.sum(F.octet_length("text")).over(Window.partitionBy("quality").orderBy(*order))
-    rows = (
-        texts.withColumn("bytes", running).where(F.col("bytes") <= settings.bytes_per_class)
-        .select("quality", "text", F.xxhash64("doc_id").alias("at"), "doc_id").collect()
-    )
+    counted = {r["quality"]: r["n"] for r in texts.groupBy("quality").agg(F.count("*").alias("n")).collect()}
+    shares = {q: settings.bytes_per_class // n for q, n in counted.items()}
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch):
+                found = [
+                    sampled(t, shares.get(q, 0), settings.piece_bytes)
+                    for q, t in zip(part.column(0).to_pylist(), byte_texts(part.column(1)), strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary()), part.column(2)], names=["quality", "text", "doc_id"])
+
+    rows = texts.select("quality", "text", "doc_id").mapInArrow(run, "quality int, text binary, doc_id long").withColumn(
+        "at", F.xxhash64("doc_id")
+    ).collect()
     rows.sort(key=lambda r: (r["at"], r["doc_id"]))
     by_class: list[list[bytes]] = [[], []]
     for row in rows:
-        by_class[row["quality"]].append(row["text"].encode())
+        by_class[row["quality"]].append(bytes(row["text"]))
+    if not by_class[0] or not by_class[1]:
+        warnings.warn("labelled texts of one class are missing: every text gets the same score", stacklevel=2)
     return train(by_class[1], by_class[0], settings)
 
 
