@@ -26,10 +26,13 @@ class Settings:
     #: Domain of each source; sources not named here belong to ``other_domain``.
     domains: Mapping[str, str] = field(default_factory=dict)
     other_domain: str = "other"
-    #: Weights of the children of a node; a name not listed has weight 1, a weight of 0 leaves a child out.
+    #: Weights of the children of a node; a weight of 0 leaves a child out. A name that is not listed has the weight below.
     domain_weights: Mapping[str, float] = field(default_factory=dict)
     language_weights: Mapping[str, float] = field(default_factory=dict)
     source_weights: Mapping[str, float] = field(default_factory=dict)
+    other_domain_weight: float = 1.0
+    other_language_weight: float = 1.0
+    other_source_weight: float = 1.0
     #: The budget: a number of tokens, or else a share of what there is.
     tokens: int | None = None
     share: float = 1.0
@@ -74,9 +77,9 @@ def _fill(children: DataFrame, parent: list[str]) -> DataFrame:
 
 def budgets(leaves: DataFrame, settings: Settings) -> DataFrame:
     """domain, lang, source, available, budget of each leaf of (domain, lang, source, available); weights of 0 are left out."""
-    weighted = leaves.withColumn("w1", _lookup(F.col("domain"), settings.domain_weights, 1.0).cast("double")).withColumn(
-        "w2", _lookup(F.col("lang"), settings.language_weights, 1.0).cast("double")
-    ).withColumn("w3", _lookup(F.col("source"), settings.source_weights, 1.0).cast("double")).where("w1 > 0 AND w2 > 0 AND w3 > 0")
+    weighted = leaves.withColumn("w1", _lookup(F.col("domain"), settings.domain_weights, settings.other_domain_weight).cast("double")).withColumn(
+        "w2", _lookup(F.col("lang"), settings.language_weights, settings.other_language_weight).cast("double")
+    ).withColumn("w3", _lookup(F.col("source"), settings.source_weights, settings.other_source_weight).cast("double")).where("w1 > 0 AND w2 > 0 AND w3 > 0")
     leaf = weighted.withColumn("capacity", (F.col("available") * settings.max_epochs).cast("double"))
     lang = leaf.groupBy("domain", "lang", "w1", "w2").agg(F.sum("capacity").alias("capacity"))
     domain = lang.groupBy("domain", "w1").agg(F.sum("capacity").alias("capacity")).withColumn("root", F.lit(0))

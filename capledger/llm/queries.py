@@ -20,7 +20,7 @@ MIXTURE = mixing.Settings(
         **{f"src{i}": "forums" for i in range(15, 20)},
     },
     domain_weights={"web": 0.5, "books": 0.3, "forums": 0.2, "other": 0.1},
-    language_weights={"en": 0.5, "de": 0.2, "fr": 0.15, "es": 0.15},
+    language_weights={"en": 0.5, "de": 0.2, "fr": 0.15, "es": 0.15}, other_language_weight=0.05, other_domain_weight=0.1,
     share=0.9, max_epochs=1, seed=17,
 )
 
