@@ -183,6 +183,8 @@ def _decide(pairs: DataFrame, nodes: DataFrame, eps: float) -> DataFrame:
 def _compare(a: tuple, b: tuple, same: bool, cosine: float) -> list[tuple[int, int, int]]:
     """(id, linked copies, an id of the same component) of the vectors of two blocks that have a link."""
     (ids_a, counts_a, x), (ids_b, counts_b, y) = a, b
+    # A power of two brings each vector's largest component near one and changes no digit of it.
+    x, y = (np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, initial=0))[1][:, None]) for v in (x, y))
     norm = lambda v: np.sqrt((v * v).sum(axis=1))
     linked = (x @ y.T) / norm(x)[:, None] / norm(y)[None, :] >= cosine
     if same:
