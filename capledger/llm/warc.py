@@ -5,19 +5,25 @@ above a size are cut into segments: the first one keeps the record's type, the o
 records that name its id and their number; the last one states the total length. A page whose payload has
 been seen with a smaller id becomes a revisit record.
 
-Archives are plain WARC files, written and read by Spark's text source, so that they can be of any size and
-lie in any file system. They are cut at the version line that begins each record; chunk borders are set such
-that it never stands inside a block. No part of that line repeats its beginning, so that the reader finds it
-across the borders of its buffers too.
+Archives are gzipped WARC files, written and read by Spark's text source, so that they can be of any size and
+lie in any file system; each file is one gzip stream. The reader takes a file's pieces between version marks in order
+and joins pieces until a record has as many bytes as its Content-Length says, so a mark inside a block does no harm, and
+archives of other origin, of version 1.0 or 1.1, are read alike. A record that is cut off, or whose length does not fit,
+comes out as damaged; the records behind it are found again. Archives that are not compressed may be split between tasks:
+there a record at a split's border comes out as damaged if its block holds a mark. No part of the mark repeats its
+beginning, so that it is found across the borders of buffers too.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import re
 import urllib.parse
 import uuid
+from collections import deque
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -28,12 +34,16 @@ from capledger.session import checkpoint_root
 from .common import byte_texts, pick, shared_table, slices
 
 VERSION = b"WARC/1.1\r\n"
+#: What records of both versions begin with, and how they go on.
+MARK, VERSIONS = b"WARC/1.", (b"0\r\n", b"1\r\n")
 SEPARATOR = "\r\n\r\n"
 DATE = "2025-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 SEGMENT_BYTES = 32 << 10
 CHUNK_BYTES = 8 << 10
 RECORDS_PER_FILE = 100_000
+#: Records that claim to be longer come out as damaged.
+LONGEST_RECORD = 512 << 20
 
 _FIELD = re.compile(rb"^([!-9;-~]+):[ \t]*(.*?)[ \t]*$", re.M)
 
@@ -189,27 +199,82 @@ PARSED = (
 )
 
 
+def fields_of(head: bytes) -> dict[bytes, str]:
+    """Names in lower case and values of a header; of a repeated name the last."""
+    return {k.lower(): v.decode("utf-8", "replace") for k, v in _FIELD.findall(head.replace(b"\r\n", b"\n"))}
+
+
+def missing(piece: bytes) -> int:
+    """How many bytes a record lacks: 0 if none, -1 if that cannot be said, at least one if its header has no end."""
+    head, blank, rest = piece.partition(b"\r\n\r\n")
+    if not blank:
+        return 1
+    length = fields_of(head).get(b"content-length", "")
+    if not length.isdigit() or int(length) > LONGEST_RECORD:
+        return -1
+    return max(0, int(length) - len(rest))
+
+
+def joined(pieces: Iterable[bytes]) -> Iterator[bytes]:
+    """The records of one file from its pieces between marks, without the mark before each.
+
+    Pieces are joined while a record lacks bytes. If the file ends before that, or the record would end in the midst of a
+    piece, its first piece stands alone and the others are looked at again.
+    """
+    waiting = deque()
+    pieces = iter(pieces)
+    while True:
+        first = waiting.popleft() if waiting else next(pieces, None)
+        if first is None:
+            return
+        lacking = missing(first) if first.startswith(VERSIONS) else 0
+        if lacking <= 0:
+            yield first
+            continue
+        record, at = bytearray(first), 0
+        while lacking > 0 and len(record) <= LONGEST_RECORD:
+            more = waiting[at] if at < len(waiting) else next(pieces, None)
+            if more is None:
+                break
+            if at == len(waiting):
+                waiting.append(more)
+            at += 1
+            headless = b"\r\n\r\n" not in record
+            record += MARK + more
+            lacking = missing(bytes(record)) if headless else lacking - len(MARK) - len(more)
+        # What is too much can only be the line ends behind the block.
+        whole = lacking <= 0 and record[len(record) + lacking:].strip(b"\r\n") == b"" and -lacking <= len(SEPARATOR)
+        if whole:
+            for _ in range(at):
+                waiting.popleft()
+        yield bytes(record) if whole else first
+
+
 def parse(value: bytes, payloads: bool) -> tuple:
-    """One record, as in PARSED. A segment keeps its block; its payload is left for later."""
-    head, _, rest = value.removeprefix(VERSION).partition(b"\r\n\r\n")
-    fields = {k.lower(): v.decode("utf-8", "replace") for k, v in _FIELD.findall(head.replace(b"\r\n", b"\n"))}
+    """One record without the mark before it, as in PARSED. A segment keeps its block; its payload is left for later."""
+    head, _, rest = value.partition(b"\r\n\r\n")
+    fields = fields_of(head)
     length = int(fields[b"content-length"]) if fields.get(b"content-length", "").isdigit() else -1
     block = rest[:length] if length >= 0 else b""
-    complete = length >= 0 and rest[length:] in (b"", b"\r\n\r\n")
+    complete = value.startswith(VERSIONS) and 0 <= length <= len(rest) and rest[length:].strip(b"\r\n") == b""
     kind, page = fields.get(b"warc-type"), fields.get(b"x-page-id")
     digest = fields.get(b"warc-payload-digest", "").removeprefix("sha1:") or None
     number, total = fields.get(b"warc-segment-number"), fields.get(b"warc-segment-total-length")
     named = (
-        fields.get(b"warc-segment-origin-id") or fields.get(b"warc-record-id"), None if page is None else int(page), kind,
-        fields.get(b"warc-refers-to"), None if number is None else int(number), None if total is None else int(total), digest,
+        fields.get(b"warc-segment-origin-id") or fields.get(b"warc-record-id"), _number(page), kind or "unknown",
+        fields.get(b"warc-refers-to"), _number(number), _number(total), digest,
     )
-    if number is not None:
+    if _number(number) is not None:
         return *named, block, None, None, complete, None
     if kind != "response":
         return *named, None, None, digest, complete, None
     return *named, None, *_payload(block, digest, complete, payloads)
 
 
+def _number(text: str | None) -> int | None:
+    return int(text) if text is not None and re.fullmatch(r"-?[0-9]{1,18}", text) else None
+
+
 def _payload(block: bytes, digest: str | None, complete: bool, payloads: bool) -> tuple:
     try:
         payload = payload_of(block)
@@ -220,7 +285,9 @@ def _payload(block: bytes, digest: str | None, complete: bool, payloads: bool) -
 
 
 def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """What the archives below ``path`` hold: page_id, record_type, payload_bytes, payload_digest, refers_to, intact, payload.
+    """The responses and revisits below ``path``: page_id, record_type, payload_bytes, payload_digest, refers_to, intact, payload.
+
+    Records of other kinds are left out if they are intact; a damaged one is told, as of its kind or ``unknown``.
 
     Segments are grouped by their origin's id, ordered by number and checked against the total length; then
     the transfer framing is removed. Revisits take the length of the record they refer to and name its page.
@@ -233,16 +300,33 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
             ("number", pa.int32()), ("total", pa.int64()), ("digest", pa.string()), ("block", pa.binary()),
             ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("intact", pa.bool_()), ("payload", pa.binary()),
         ])
-        for batch in batches:
-            for part in slices(batch, 256):
-                found = [parse(v, payloads) for v in byte_texts(part.column(0)) if v.strip()]
-                columns = zip(*found, strict=True) if found else [[]] * len(schema)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema,
-                )
-
-    fragments = spark.read.option("lineSep", VERSION.decode()).text(path)
-    parsed = shared_table(fragments.select(F.col("value").cast("binary")).mapInArrow(run, PARSED), "records")
+        def pieces():
+            """(file, piece), in order; what stands before the first mark of a file is no record unless it holds something."""
+            for batch in batches:
+                for part in slices(batch, 256):
+                    yield from zip(part.column(1).to_pylist(), byte_texts(part.column(0)), strict=True)
+
+        def rows(found):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(c), f.type) for c, f in zip(zip(*found, strict=True), schema, strict=True)], schema=schema,
+            )
+
+        found, held = [], 0
+        for _, own in itertools.groupby(pieces(), key=lambda p: p[0]):
+            for record in joined(piece for _, piece in own):
+                if record.strip():
+                    found.append(parse(record, payloads))
+                    held += len(record)
+                if held > 4 << 20 or len(found) >= 256:
+                    yield rows(found)
+                    found, held = [], 0
+        if found:
+            yield rows(found)
+
+    fragments = spark.read.option("lineSep", MARK.decode()).text(path).select(
+        F.col("value").cast("binary"), F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("file"),
+    )
+    parsed = shared_table(fragments.mapInArrow(run, PARSED), "records")
     result = ("page_id", "record_type", "payload_bytes", "payload_digest", "intact", "payload")
 
     # Equal segments of repeated rows are counted before a record's segments are brought together.
@@ -288,6 +372,8 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     revisits = parsed.where("record_type = 'revisit'").drop("record_id", "payload_bytes").join(
         known, F.col("refers_to") == F.col("record_id"), "left"
     )
+    broken = parsed.where("NOT intact AND number IS NULL AND record_type NOT IN ('response', 'revisit')")
+    responses = responses.select(*result).union(broken.select(*result))
     return responses.select(*result, F.lit(None).cast("long").alias("refers_to")).union(revisits.select(
         "page_id", "record_type", F.col("origin_bytes"), "payload_digest",
         F.col("intact") & F.coalesce(F.col("origin_intact") & (F.col("payload_digest") == F.col("origin_digest")), F.lit(False)),
