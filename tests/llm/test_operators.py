@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, with nulls, empty and repeated rows, and clashing columns."""
 
 import base64
+import gzip
 import hashlib
 import random
 import re
@@ -108,6 +109,27 @@ def test_grid_join_agrees_with_all_pairs(spark):
     assert grid_join.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("scale", [1.0, 1e160, 1e-170, 5e-324 * 2**30])
+def test_grid_join_links_at_any_scale(spark, scale):
+    rng = np.random.default_rng(2)
+    base = rng.integers(-9, 10, (12, 8)).astype(np.float64)
+    near = base.copy()
+    near[:6] *= 4.0  # the same direction
+    rows = [(i, (v * scale).tolist(), 1) for i, v in enumerate(np.concatenate([base, near]))] + [(3, (base[3] * scale).tolist(), 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = [(r.vec_id, r.n_links, r.component_id) for r in grid_join.near_duplicates(df).collect()]
+    assert sorted(got) == sorted([(i, 2 if i % 12 == 3 else 1, i % 12) for i in range(24)] + [(3, 2, 3)])
+
+
+def test_grid_join_links_at_exactly_the_threshold(spark):
+    # cosines 0.98, as doubles give it, and one step below
+    vectors = [[1.0, 0.0], [0.98, np.sqrt(1 - 0.98**2)], [0.0, 1.0]]
+    exact = lambda a, b: np.dot(a, b) / np.sqrt(np.dot(a, a)) / np.sqrt(np.dot(b, b))
+    want = exact(np.array(vectors[0]), np.array(vectors[1])) >= 0.98
+    df = spark.createDataFrame([(i, [float(x) for x in v], 0) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    assert {r.vec_id: r.n_links for r in grid_join.near_duplicates(df).collect()} == {0: int(want), 1: int(want), 2: 0}
+
+
 def test_bit_codes_find_the_nearest(spark):
     rows, df = vectors_of(spark, n=600, width=32)
     found = bit_codes.search(df, lambda i: i % 20 == 0, bit_codes.Settings(query_rows=16, code_rows=64, groups=3)).collect()
@@ -135,6 +157,16 @@ def test_mixing_fills_siblings_before_ancestors(spark):
     assert got == {("a", "en", "s1"): 10, ("a", "en", "s2"): 165, ("a", "de", "s1"): 175, ("b", "en", "s3"): 50}
 
 
+def test_names_that_are_not_listed_share_by_their_own_weight(spark):
+    leaves = spark.createDataFrame([("d", la, "s", 1000) for la in ("en", "de", "it", mixing.NONE)], "domain string, lang string, source string, available long")
+    settings = mixing.Settings(language_weights={"en": 0.6, "de": 0.2}, other_language_weight=0.1, tokens=1000)
+    assert {r.lang: r.budget for r in mixing.budgets(leaves, settings).collect()} == {"en": 600, "de": 200, "it": 100, mixing.NONE: 100}
+    rows = spark.createDataFrame([(7, "en", "s", "a b"), (7, "en", "s", "c d e"), (8, "en", "s", "f")], "doc_id long, lang string, source string, text string")
+    for share in (0.2, 0.5, 0.9, 1.0):  # rows with equal ids are taken together or not at all
+        kept = sorted(r.doc_id for r in mixing.mix(rows, mixing.Settings(share=share)).collect())
+        assert kept in ([], [8], [7, 7], [7, 7, 8]) and sum({7: 2.5, 8: 1}[i] for i in kept) <= 6 * share
+
+
 def test_mixing_takes_the_longest_prefix(spark):
     random.seed(3)
     rows = [(i, "w " * random.randint(0, 30), random.choice(["en", None]), random.choice(["x", "y"]), 1) for i in range(500)]
@@ -236,6 +268,39 @@ def test_warc_records_across_buffer_borders(spark, tmp_path):
     assert warc.read(spark, str(tmp_path / "w"), payloads=False).where("intact").count() == len(rows)
 
 
+def _foreign(kind, block, version="1.0", **fields):
+    lines = [f"WARC-Type: {kind}", *(f"{k.replace('_', '-')}: {v}" for k, v in fields.items()), f"Content-Length: {len(block)}"]
+    return f"WARC/{version}\r\n".encode() + "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_warc_archives_of_other_origin(spark, tmp_path, packed):
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    inner = _foreign("response", http + b"quoted", WARC_Record_ID="<q>")
+    payloads = [b"plain", b"quote\r\nWARC/1.1\r\nrest", inner, b"WARC/1.", b"", bytes(range(256)) * 9]
+    records = [_foreign("warcinfo", b"software: x")]
+    records += [
+        _foreign("response", http + p, "1.0" if i % 2 else "1.1", WARC_Record_ID=f"<u{i}>", X_Page_ID=i, WARC_Target_URI="http://WARC/1.1/")
+        for i, p in enumerate(payloads)
+    ]
+    whole = b"".join(records)
+    cut = _foreign("response", http + b"whole payload", X_Page_ID=90)[:-12]  # the file ends in its block
+    wrong = _foreign("response", http + b"x", X_Page_ID=91).replace(b"Content-Length: ", b"Content-Length: 9")
+    files = {"a": whole, "b": b"".join(_foreign("response", http + b"b%d" % i, X_Page_ID=20 + i) for i in range(3)) + cut,
+             "c": wrong + whole.replace(b"X-Page-ID: ", b"X-Page-ID: 4"), "d": b"no archive at all"}
+    for name, data in files.items():
+        # several members in one file, as others write them
+        half = data.find(b"WARC/", len(data) // 2)
+        packed_data = gzip.compress(data[:half]) + gzip.compress(data[half:]) if half > 0 else gzip.compress(data)
+        (tmp_path / f"{name}.warc{'.gz' if packed else ''}").write_bytes(packed_data if packed else data)
+    got = [(r.page_id, r.intact, r.payload and bytes(r.payload)) for r in warc.read(spark, str(tmp_path)).collect()]
+    want = [(i, True, p or None) for i, p in enumerate(payloads)] + [(40 + i, True, p or None) for i, p in enumerate(payloads)]
+    want += [(20 + i, True, b"b%d" % i) for i in range(3)]
+    assert sorted((i, p or b"") for i, ok, p in got if ok) == sorted((i, p or b"") for i, _, p in want)
+    assert sorted(i for i, ok, _ in got if not ok and i is not None) == [90, 91]
+    assert sum(not ok for _, ok, _ in got) == 3  # and the file that is no archive
+
+
 def test_warc_damage_is_told():
     assert warc.reassemble([(2, b"b"), (1, b"a")], 2) == b"ab"
     for segments, total in (([(1, b"a"), (3, b"b")], 2), ([(1, b"a")], 2), ([(1, b"a")], None)):
@@ -257,16 +322,106 @@ def test_license_places_and_expressions(spark):
     assert got[0] == (9, 3, 0, 5, "gpl,mit", "gpl,mit", None)
     assert got[1] == got[2] == (0, 0, None, None, "", "", None)
     assert got[3][4:] == ("", "gpl,gpl-with-classpath-exception-2.0,mit", True)
-    assert got[4][4:] == ("", "", None)
+    assert got[4][4:] == ("", "mit", True)
     assert got[5][1:6] == (1, 1, 1, "gpl", "gpl,lgpl")
     assert got[6][:4] == (4000, 2000, 0, 3998)
     assert licenses.postfix("a or b and c with d") == ["a", "b", "c", "d", "WITH", "AND", "OR"]
+    assert max(len(licenses.IDENTIFIERS), len(licenses.EXCEPTIONS)) < 200
     assert not licenses.evaluate("MIT AND GPL-3.0-only").permissive
     for text in ("", "a b", "(a", "a)", "and a", "a with (b or c)"):
         with pytest.raises(licenses.ExpressionError):
             licenses.evaluate(text)
 
 
+def _by_descent(tokens):
+    """(labels, permissive, rest) of the expression at the start of tokens; a second evaluator, by recursive descent."""
+    def operand(rest):
+        if rest[:1] == ["("]:
+            labels, ok, rest = choice(rest[1:])
+            if rest[:1] != [")"]:
+                raise ValueError
+            return labels, ok, rest[1:], False
+        if not rest or rest[0].upper() in ("AND", "OR", "WITH", ")", "(") or not licenses.is_licence(rest[0]):
+            raise ValueError
+        if rest[0].lower() in licenses.NOTHING:
+            return frozenset(), False, rest[1:], False
+        label = licenses.label_of(rest[0])
+        return frozenset({label}), label in licenses.PERMISSIVE, rest[1:], True
+
+    def excepted(rest):
+        labels, ok, rest, plain = operand(rest)
+        if rest and rest[0].upper() == "WITH":
+            if not plain or len(rest) < 2 or not licenses.is_exception(rest[1]):
+                raise ValueError
+            labels, rest = labels | {f"{min(labels)}-with-{rest[1].lower()}"}, rest[2:]
+        return labels, ok, rest
+
+    def both(rest):
+        labels, ok, rest = excepted(rest)
+        while rest and rest[0].upper() == "AND":
+            more, also, rest = excepted(rest[1:])
+            labels, ok = labels | more, ok and also
+        return labels, ok, rest
+
+    def choice(rest):
+        labels, ok, rest = both(rest)
+        while rest and rest[0].upper() == "OR":
+            more, also, rest = both(rest[1:])
+            labels, ok = labels | more, ok or also
+        return labels, ok, rest
+
+    return choice(tokens)
+
+
+def _longest_expression(text):
+    tokens = re.findall(r"[()]|[A-Za-z0-9.+:-]+", re.match(r"[ \t]*((?:[()]|[A-Za-z0-9.+:-]+|[ \t]+)*)", text)[1])
+    for end in range(len(tokens), 0, -1):
+        for last in (tokens[end - 1], tokens[end - 1].rstrip(".")):
+            try:
+                labels, ok, rest = _by_descent([*tokens[:end - 1], *([last] if last else [])])
+            except ValueError:
+                continue
+            if not rest:
+                return labels, ok
+    return None
+
+
+def test_licenses_agree_with_plain_scans(spark):
+    rng = random.Random(3)
+    parts = ["MIT", "license", "License", "Apache", "LICENSE", "general", "Public", "lesser", "bsd", "é", "x1", "-", "\n", ".", "ſ", "cc by", "mit\x0blicense"]
+    terms = ["MIT", "mit", "GPL-2.0-or-later", "Apache-2.0", "GPL-2.0+", "foo", "LicenseRef-own", "NOASSERTION", "Classpath-exception-2.0", "(", ")", "AND", "or", "WITH", "OR", ",", "see file", "MIT."]
+    tags = ["SPDX-License-Identifier:", "spdx-LIcenSe-identifier:", "License-Expression:"]
+    ends = ["\n", " */ x\n", " --> y", "\r\n", ""]
+    texts = [None, "", "SPDX-LIcenSe-Identifier: MIT", "SPDX-License-Identifier: MIT, see file", "// SPDX-License-Identifier: (MIT)*/ AND x"]
+    for _ in range(600):
+        text = " ".join(rng.choices(parts, k=rng.randint(0, 25)))
+        for _ in range(rng.randint(0, 2)):
+            text += "\n" + rng.choice(tags) + " " + " ".join(rng.choices(terms, k=rng.randint(0, 7))) + rng.choice(ends)
+        texts.append(text)
+    texts.append("MIT License " * 30_000 + "SPDX-License-Identifier: ISC")
+    got = by_id(licenses.digests(docs_of(spark, texts)), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "permissive")
+    lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    for i, text in enumerate(texts):
+        folded = (text or "").translate(lower)
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", folded)
+
+        def places(phrases, words=words):
+            wanted = {tuple(p.split()): label for p, label in phrases.items()}
+            return [(k, wanted[w]) for n in {len(p) for p in wanted} for k in range(len(words) - n + 1) if (w := tuple(words[k:k + n])) in wanted]
+
+        base, other = sorted(places(licenses.BASE_PHRASES)), {label for _, label in places(licenses.PHRASES)}
+        labels, permissive = {label for _, label in base} | other, None
+        for m in re.finditer("|".join(map(re.escape, licenses.TAGS)), folded):
+            line = re.split(r"[\r\n]|\*/|-->", (text or "")[m.end():], maxsplit=1)[0]
+            if (found := _longest_expression(line.strip())) is not None:
+                labels |= found[0]
+                permissive = found[1] if permissive is None else permissive and found[1]
+        first, last = (base[0][0], base[-1][0]) if base else (None, None)
+        assert got[i][:5] == (len(words), len(base), first, last, ",".join(sorted({b for _, b in base}))), text
+        assert got[i][5] == ",".join(sorted(labels)) and got[i][7] == permissive, text
+        assert 0 <= got[i][6] <= 1
+
+
 # ------------------------------------------------------------------ 8 quality
 
 def test_quality_separates_held_out_texts(spark):
@@ -285,6 +440,42 @@ def test_quality_separates_held_out_texts(spark):
     assert quality.score(docs.limit(0), empty).count() == 0
 
 
+def test_quality_survives_a_very_long_labelled_text(spark):
+    rng = random.Random(6)
+    good = [" ".join(rng.choices(["the", "river", "runs", "slowly", "past", "old", "stones"], k=60)) for _ in range(60)]
+    bad = [" ".join(rng.choices(["buy!!!", "$$$", "WIN", "###", "click", "%%%"], k=60)) for _ in range(60)]
+    texts = [x for pair in zip(good, bad, strict=True) for x in pair]
+    for at in (0, 1):
+        words = sorted(set(texts[at].split()))
+        texts[at] = " ".join(rng.choices(words, k=13_000_000 // 5))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(120)], "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    assert model.slope > 0 and model.good and model.bad
+    assert {r.doc_id for r in quality.keep_good(docs, model).select("doc_id").collect()} - {0} == set(range(2, 120, 2))
+    long = bytes(range(256)) * 1000
+    assert len(quality.sampled(long, 10_000, 2048)) == 4 * 2048
+    assert quality.sampled(b"abc", 0, 2048) == b"abc" and quality.sampled(long, 10_000, 2048)[-1:] == long[-1:]
+    with pytest.warns(UserWarning, match="one class"):
+        assert quality.fit(docs, labels.where("quality = 1")).slope == 0
+
+
+def test_quality_scores_agree_with_plain_compression(spark):
+    import zstandard
+
+    texts = ["", None, "ab" * 3000, "plain text of some words", "é" * 5000, "x" * 2048, "y" * 2049]
+    model = quality.train([b"plain text of words and more words " * 40] * 9, [b"@@@@ 1234 ####" * 60] * 9)
+    packers = [
+        zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_checksum=False, write_dict_id=False)
+        for d in (model.good, model.bad)
+    ]
+    for i, (value, score) in by_id(quality.score(docs_of(spark, texts), model), "value", "score").items():
+        data = (texts[0 if i is None else i] or "").encode()
+        sizes = [sum(len(p.compress(data[a:a + 2048])) for a in range(0, len(data), 2048)) for p in packers]
+        want = (sizes[1] - sizes[0]) / max(1, len(data))
+        assert value == want and abs(score - 1 / (1 + np.exp(-(model.slope * want + model.offset)))) < 1e-12
+
+
 # ------------------------------------------------------------------ 9 URL filters
 
 def test_url_rules(spark):
@@ -303,6 +494,38 @@ def test_url_rules(spark):
         url_filter.compile_rules(url_filter.RULES, max_bytes=10)
 
 
+def test_urls_agree_with_plain_rules_when_digests_collide(spark, monkeypatch):
+    rng = random.Random(2)
+    names, tails = ["net", "example.net", "org", "a.org", "example.com", "b.example.com", "x", ""], ["/", "/en/", "/de/", "/fr/", "/en/x/"]
+    rules = [url_filter.Rule(rng.choice(["block", "allow"]), h, p) for h in names[:-1] for p in rng.sample(tails, 3)]
+    urls = [None, "", "://", "http://NET", "x" * 200_000, "http://" + "a." * 30_000 + "net/en/"]
+    urls += [
+        f"h://{rng.choice(['', 'w.', 'É.', '.'])}{rng.choice(names).upper() if rng.random() < 0.3 else rng.choice(names)}{rng.choice(tails + ['', '?q', '#f', '/en'])}{rng.choice(['', 'x?/en/', 'y'])}"
+        for _ in range(700)
+    ]
+    # Every digest is one of three numbers, so each search meets many strings that are not the one looked for.
+    monkeypatch.setattr(url_filter.xxhash, "xxh64_intdigest", lambda text, seed=0: len(text) % 3)
+    array = url_filter.DigestArray(url_filter.compile_rules(rules))
+    split = [url_filter.split_url((u or "").encode()) for u in urls]
+    found = array.longest(split)
+    monkeypatch.undo()
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)] + [(3, urls[3]), (None, urls[3])], "page_id long, url string")
+    judged = url_filter.judge(pages, rules, "allow").collect()
+    assert len(judged) == len(urls) + 2
+    got = {r.page_id: r for r in judged if r.page_id is not None}
+    first = {}
+    for r in rules:
+        first.setdefault((r.host, r.path), r.verdict)
+    for i, url in enumerate(urls):
+        m = re.search(r"://([^/?#]*)([^?#]*)", url or "", re.S)
+        host, path = ("".join(c.lower() if c.isascii() else c for c in m[1]), m[2]) if m else ("", "")
+        fits = [(len((h + p).encode()), len(h.encode()), h, p) for h, p in first if m and (host == h or host.endswith("." + h)) and path.startswith(p)]
+        best = max(fits, default=None)
+        want = (best[2] + best[3], first[best[2:]]) if best else (None, "allow")
+        assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == (host, path, *want), url[:80]
+        assert (None if found[i] < 0 else array.text(found[i]).replace(b"\0", b"").decode()) == want[0]
+
+
 # ------------------------------------------------------------------ 10 secrets
 
 def test_automaton_agrees_with_re():
