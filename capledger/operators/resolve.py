@@ -6,36 +6,47 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from capledger.functions.numbers import padded_cik
 
-_PREFIX = 3
+#: Texts are compared through pieces of so many characters.
+GRAM = 3
+
+
+def _grams(text: Column, n: int) -> Column:
+    """The distinct pieces of ``n`` characters; none of a shorter text."""
+    places = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - (n - 1)))
+    return F.array_distinct(F.transform(places, lambda at: F.substring(text, at, F.lit(n))))
+
+
+def rarest_grams(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(part, gram, n): of each wanted text the gram that the fewest texts hold, and how many do.
+
+    Only grams of wanted texts are counted. A wanted text with a gram that no text holds is left out.
+    """
+    own = wanted.select("part", F.explode(_grams(F.col("part"), GRAM)).alias("gram"))
+    held = texts.select(F.explode(_grams(F.col("text"), GRAM)).alias("gram"))
+    counts = held.join(own.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
+    rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("rarest")
+    return own.join(counts, "gram", "left").groupBy("part").agg(rarest).select(
+        "part", "rarest.gram", "rarest.n"
+    ).where(F.col("n") > 0)
 
 
 def _parts_found_in(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """(payload of ``texts``, part): every distinct ``wanted`` text occurring inside a text.
 
-    ``wanted`` is (part), distinct and not empty. The lengths wanted are grouped by first
-    characters, so a text only cuts out pieces that start like a wanted one; pieces are then
-    matched to the wanted texts by plain equality.
+    ``wanted`` is (part), distinct and not empty. A text meets a wanted one only where it holds that one's rarest
+    gram, and is then searched for the whole of it; wanted texts shorter than a gram are met by equality. Both joins
+    shuffle: their exploded sides are never broadcast.
     """
-    shapes = wanted.groupBy(F.substring("part", 1, _PREFIX).alias("head")).agg(
-        F.collect_set(F.length("part")).alias("lengths")
-    )
-    at = F.explode(F.sequence(F.lit(1), F.length("text")))
-    heads = (
-        texts.where(F.length("text") > 0)
-        .withColumn("at", at)
-        .withColumn("longest", F.length("text") - F.col("at") + 1)
-        # Wanted texts shorter than the prefix have heads of their own length.
-        .withColumn("head", F.explode(F.array_distinct(F.array(*[
-            F.expr(f"substring(text, at, {n})") for n in range(1, _PREFIX + 1)
-        ]))))
-    )
-    pieces = heads.join(shapes, "head").withColumn("n", F.explode("lengths"))
-    fits = (F.col("n") <= F.col("longest")) & (
-        (F.length("head") == _PREFIX) | (F.col("n") == F.length("head"))
-    )
-    return pieces.where(fits).select(
-        *[c for c in texts.columns if c != "text"], F.expr("substring(text, at, n)").alias("part")
+    payload = [c for c in texts.columns if c != "text"]
+    pieces = F.concat(*[F.coalesce(_grams(F.col("text"), n), F.array().cast("array<string>")) for n in range(1, GRAM)])
+    short = texts.select(*payload, F.explode(pieces).alias("part")).hint("merge").join(
+        wanted.where(F.length("part") < GRAM), "part"
     )
+    longer = wanted.where(F.length("part") >= GRAM)
+    index = rarest_grams(texts, longer).select("part", "gram")
+    grams = texts.select(*payload, "text", F.explode(_grams(F.col("text"), GRAM)).alias("gram"))
+    found = grams.hint("merge").join(index, "gram").where(F.contains("text", "part"))
+    return found.select(*payload, "part").unionByName(short.select(*payload, "part"))
 
 
 def _first(entry: str = "entry") -> Column:
@@ -48,8 +59,8 @@ def resolve_companies(companies: DataFrame, directory: DataFrame) -> DataFrame:
 
     An entry matches when its lower-cased title contains the lower-cased name or the other way
     round; of several, the one of lowest ordinal is taken. Companies without a match have nulls.
-    Names and titles are compared by equality of cut-out pieces, so the work grows with the
-    texts and never with names x titles.
+    Names and titles meet through an index of rare pieces, so the work grows with the texts and
+    with how many hold the rarest piece of a wanted one, never with names x titles.
     """
     entries = directory.select(
         F.lower("title").alias("text"), F.struct("ordinal", "cik", "title").alias("entry")

@@ -42,6 +42,28 @@ def test_an_empty_title_matches_every_name(spark):
     assert got == {1: "", 2: "zeta"}
 
 
+def test_containment_agrees_with_plain_search_and_broadcasts_no_exploded_side(spark):
+    rng = random.Random(4)
+    names = ["".join(rng.choices("ab c", k=rng.randint(0, 7))) for _ in range(150)] + ["zzz", "é", "Σa", None]
+    titles = ["".join(rng.choices("ab cé", k=rng.randint(0, 12))) for _ in range(200)] + ["", None, "ΣA b"]
+    companies = spark.createDataFrame(list(enumerate(names)), "id BIGINT, name STRING")
+    directory = spark.createDataFrame([(i, i + 1, t) for i, t in enumerate(titles)], "ordinal BIGINT, cik BIGINT, title STRING")
+    resolved = resolve.resolve_companies(companies, directory)
+    got = {r.id: r.official_name for r in resolved.collect()}
+    for i, name in enumerate(names):
+        want = None if name is None else next((t for t in titles if t is not None and (t.lower() in name.lower() or name.lower() in t.lower())), None)
+        assert got[i] == want, name
+    plan = resolved._jdf.queryExecution().executedPlan().toString()
+    for part in plan.split("BroadcastExchange")[1:]:
+        assert "Generate" not in part.split("Exchange hashpartitioning")[0].split("BroadcastHashJoin")[0]
+
+
+def test_the_rarest_gram_leads_to_a_wanted_text(spark):
+    texts = spark.createDataFrame([("abcd",), ("abce",), ("abcf xyz",)], "text STRING")
+    wanted = spark.createDataFrame([("abcd",), ("abc",), ("cf x",), ("bcz",)], "part STRING")
+    assert {tuple(r) for r in resolve.rarest_grams(texts, wanted).collect()} == {("abcd", "bcd", 1), ("abc", "abc", 3), ("cf x", "cf ", 1)}
+
+
 def test_directory_keeps_document_order(spark):
     payload = '{"9": {"cik_str": 3, "title": "Z"}, "1": {"cik_str": 1, "title": "A"}, "0": {"cik_str": 2, "title": "M"}}'
     df = spark.createDataFrame([(payload,)], "payload STRING")
