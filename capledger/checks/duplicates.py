@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from capledger.checks import shapes
 from capledger.checks.registry import query
 from capledger.checks.shapes import sql
@@ -75,17 +77,32 @@ def pending_duplicate_losers(spark, root):
     return dedup.losers(pending)
 
 
-@query(sql("""
+_STATISTICS = sql("""
     SELECT (SELECT count(DISTINCT company_id) FROM t_rounds) AS total_companies,
            (SELECT count(*) FROM t_rounds) AS total_rounds,
            (SELECT count(*) FROM t_merged WHERE NOT is_duplicate) AS unique_rounds,
            (SELECT count(*) FROM t_matches) AS duplicates_removed,
            (SELECT count(*) FROM t_losers) AS distinct_duplicates,
            round(100.0 * (SELECT count(*) FROM t_matches) / (SELECT count(*) FROM t_rounds), 6)
-             AS deduplication_rate"""))
-def deduplication_statistics(spark, root):
-    from pyspark.sql import functions as F
+             AS deduplication_rate""")
 
-    rounds = shapes.rounds(spark, root)
-    stats = dedup.run_statistics(rounds, dedup.deduplicate(rounds))
+
+@query(_STATISTICS)
+def deduplication_statistics(spark, root):
+    stats = dedup.run_statistics(shapes.rounds(spark, root))
     return stats.withColumn("deduplication_rate", F.round("deduplication_rate", 6))
+
+
+@query(_STATISTICS)
+def mixed_density_statistics(spark, root):
+    """The statistics of a marking run in which large companies take the dense plan and the others the ordinary one."""
+    marked, stats = dedup.deduplicate_with_statistics(shapes.rounds(spark, root), DedupOptions(dense_company_rows=12))
+    # The marked rounds are counted again: both results come from one pair join.
+    unique = marked.agg(F.count_if(~F.col("is_duplicate")).alias("unique_rounds"))
+    return stats.withColumn("unique_rounds", unique.scalar()).withColumn("deduplication_rate", F.round("deduplication_rate", 6))
+
+
+@query(_LOSERS)
+def duplicate_losers_mixed(spark, root):
+    """Both plans in one run: companies of more than twelve dated rounds take the dense one."""
+    return dedup.losers(shapes.rounds(spark, root), DedupOptions(dense_company_rows=12))

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from capledger.checks import shapes
 from capledger.checks.registry import query
 from capledger.checks.shapes import sql
 from capledger.checks.tables import EXPORT_SQL, export_frame
 from capledger.checks.usage import DAILY_SQL, QUOTA_SQL, tight_limits
+from capledger.options import ExportOptions
 from capledger.plans import export
 from capledger.session import checkpoint_root
 from capledger.sources.company_list import read_company_list
@@ -53,6 +56,47 @@ def sheet_export(spark, root):
     return spark.read.parquet(path)
 
 
+@query(sql(f"""
+    SELECT format, "Company Name", "Round Name", "Source URLs", "Amount Raised (USD)" AS amount, named_after AS named
+    FROM ({EXPORT_SQL}), (VALUES ('excel', 'rounds_20240506_070809.parquet'), ('csv', 'rounds_20240506_070809.csv'),
+      ('json', 'rounds_20240506_070809.json'), ('nothing', 'none, none, none')) AS f(format, named_after)
+    WHERE format <> 'nothing' UNION ALL SELECT 'nothing', NULL, NULL, NULL, NULL, 'none, none, none'"""))
+def all_export_formats(spark, root):
+    """Every format from one evaluation, named after its time, and read back; nothing is written for no rows."""
+    rows = export_frame(spark, root)
+    options = ExportOptions(output_directory=workspace(spark), filename_template="rounds_{timestamp}")
+    at = dt.datetime(2024, 5, 6, 7, 8, 9)
+    written = export.export_all(rows, options, at)
+    nothing = export.export_all(rows.where(F.lit(False)), options, at)
+    back = {
+        "excel": spark.read.parquet(written["excel"]), "csv": spark.read.csv(written["csv"], header=True, escape='"'),
+        "json": spark.read.schema(rows.schema).json(written["json"]),
+    }
+    parts = [
+        df.select(
+            F.lit(name).alias("format"), "Company Name", "Round Name", "Source URLs", F.col("Amount Raised (USD)").cast("double").alias("amount"),
+            F.lit(written[name].rsplit("/", 1)[-1]).alias("named"),
+        )
+        for name, df in back.items()
+    ]
+    told = ", ".join("none" if nothing[f] is None else nothing[f] for f in ("excel", "csv", "json"))
+    # one row that tells what an empty export wrote
+    parts.append(rows.limit(1).select(
+        F.lit("nothing").alias("format"), *[F.lit(None).cast("string").alias(c) for c in ("Company Name", "Round Name", "Source URLs")],
+        F.lit(None).cast("double").alias("amount"), F.lit(told).alias("named"),
+    ))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("""
+    SELECT name FROM (SELECT trim(c_name) AS name, row_number() OVER (ORDER BY c_custkey DESC) AS place FROM customer) WHERE place <= 37""")
+def first_listed_companies(spark, root):
+    """The first names of a list in the order of its file, which is not that of the names."""
+    path = f"{workspace(spark)}/companies.csv"
+    shapes.companies(spark, root).orderBy(F.desc("id")).coalesce(1).select(F.col("name").alias("Companies")).write.csv(path, header=True)
+    return read_company_list(spark, path, limit=37)
+
+
 @query("SELECT trim(c_name) AS name FROM customer WHERE c_name <> ''")
 def company_list(spark, root):
     path = f"{workspace(spark)}/companies.csv"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from capledger.checks import shapes
@@ -213,6 +215,21 @@ def _prompt_sql(part: str) -> str:
     return "'" + part.replace("'", "''").replace("{company}", "' || name || '") + "'"
 
 
+def _echo(prompts):
+    """A stand-in for a model: an answer that depends on the prompt alone."""
+    return [json.dumps([{"round_name": "Echo", "notes": str(p.count("--- Result "))}]) for p in prompts]
+
+
+@query(sql("""
+    SELECT company_id, 'Echo' AS round_name, CAST(count(*) AS VARCHAR) AS notes FROM t_hits JOIN t_companies ON company_id = id GROUP BY company_id"""))
+def answered_prompts(spark, root):
+    """Prompts through a user's function and back to round records: the answers count the hits they were shown."""
+    hits = search_source.search_hits(shapes.landed_hits(spark, root)).withColumns({"title": F.lit("t"), "snippet": F.lit("s")})
+    prompts = search_source.company_prompts(hits, shapes.companies(spark, root))
+    answers = search_source.answer_prompts(prompts, _echo).withColumn("company_name", F.lit("c"))
+    return records.response_records(answers).select("company_id", "round_name", "notes")
+
+
 @query(sql(f"""
     SELECT company_id, {_prompt_sql(search.PROMPT_HEAD)} || blocks || {_prompt_sql(search.PROMPT_TAIL)} AS prompt
     FROM (SELECT company_id, string_agg(chr(10) || chr(10) || '--- Result ' || n || ' ---' || chr(10)

@@ -144,6 +144,25 @@ def matching_pairs(rounds: DataFrame, options: DedupOptions = DEFAULTS) -> DataF
     return _direct_pairs(ordinary, options).unionByName(crowded_pairs)
 
 
+def losers_with_matches(
+    rounds: DataFrame, options: DedupOptions = DEFAULTS
+) -> tuple[DataFrame, DataFrame | None]:
+    """(round_id, winner_id, matches) of every loser, and the pairs per dense company.
+
+    ``matches`` counts the better rounds an ordinary company's round matches; those of dense companies are
+    counted as a whole, in the second frame (company_id, pairs), and are 0 here.
+    """
+    ordinary, crowded = split_by_density(rounds, options)
+    found = _direct_pairs(ordinary, options).select(
+        F.col("loser_id").alias("round_id"), "winner_id", F.lit(1).cast("bigint").alias("matches")
+    )
+    if crowded is not None:
+        candidates = dense.winner_candidates(crowded, options)
+        found = found.unionByName(candidates.withColumn("matches", F.lit(0).cast("bigint")))
+    lost = found.groupBy("round_id").agg(F.max("winner_id").alias("winner_id"), F.sum("matches").alias("matches"))
+    return lost, None if crowded is None else dense.pair_counts(crowded, options)
+
+
 def losers(rounds: DataFrame, options: DedupOptions = DEFAULTS) -> DataFrame:
     """(round_id, winner_id) of every round that a better round duplicates."""
     ordinary, crowded = split_by_density(rounds, options)
@@ -197,38 +216,49 @@ def pending_rounds(rounds: DataFrame, status: DataFrame) -> DataFrame:
     return rounds.join(done, "company_id", "left_anti").select(rounds.columns)
 
 
-def run_statistics(
-    rounds: DataFrame, deduplicated: DataFrame, options: DedupOptions = DEFAULTS
-) -> DataFrame:
-    """One row about a run that turned ``rounds`` into ``deduplicated``.
+def deduplicate_with_statistics(
+    rounds: DataFrame, options: DedupOptions = DEFAULTS
+) -> tuple[DataFrame, DataFrame]:
+    """All rounds with duplicates marked, and one row about the run; pairs are joined once for both.
 
     ``duplicates_removed`` counts matching pairs, so the rate may pass 100 percent;
     ``distinct_duplicates`` counts the rounds newly marked.
     """
-    before = rounds.agg(F.count_if(F.col("is_duplicate")).alias("earlier_duplicates"))
+    lost, dense_pairs = losers_with_matches(rounds, options)
+    lost = materialize(lost)
+    return mark_duplicates(rounds, lost), _statistics(rounds, lost, dense_pairs)
+
+
+def run_statistics(rounds: DataFrame, options: DedupOptions = DEFAULTS) -> DataFrame:
+    """The same row without marking anything: one pair join, and one pass over three columns of the rounds."""
+    return _statistics(rounds, *losers_with_matches(rounds, options))
+
+
+def _statistics(rounds: DataFrame, lost: DataFrame, dense_pairs: DataFrame | None) -> DataFrame:
     totals = (
-        deduplicated.groupBy("company_id")
-        .agg(
-            F.count("*").alias("n_rounds"),
-            F.count_if(F.col("is_duplicate")).alias("n_duplicates"),
-        )
+        rounds.groupBy("company_id")
+        .agg(F.count("*").alias("n_rounds"), F.count_if(F.col("is_duplicate")).alias("n_earlier"))
         .agg(
             F.count("*").alias("total_companies"),
             F.coalesce(F.sum("n_rounds"), F.lit(0)).alias("total_rounds"),
-            F.coalesce(F.sum("n_duplicates"), F.lit(0)).alias("all_duplicates"),
+            F.coalesce(F.sum("n_earlier"), F.lit(0)).alias("earlier_duplicates"),
         )
     )
-    pairs = pair_counts(rounds, options).agg(
-        F.coalesce(F.sum("pairs"), F.lit(0)).alias("duplicates_removed")
+    counted = lost.select(F.lit(1).cast("bigint").alias("losers"), "matches")
+    if dense_pairs is not None:
+        counted = counted.unionByName(dense_pairs.select(F.lit(0).cast("bigint").alias("losers"), F.col("pairs").alias("matches")))
+    found = counted.agg(
+        F.coalesce(F.sum("losers"), F.lit(0)).alias("distinct_duplicates"),
+        F.coalesce(F.sum("matches"), F.lit(0)).alias("duplicates_removed"),
     )
     one = F.lit(1).alias("one")
-    joined = totals.select("*", one).join(pairs.select("*", one), "one").join(before.select("*", one), "one")
+    joined = totals.select("*", one).join(found.select("*", one), "one")
     rate = F.coalesce(F.try_divide(F.col("duplicates_removed") * 100.0, F.col("total_rounds")), F.lit(0.0))
     return joined.select(
         "total_companies",
         "total_rounds",
-        (F.col("total_rounds") - F.col("all_duplicates")).alias("unique_rounds"),
+        (F.col("total_rounds") - F.col("earlier_duplicates") - F.col("distinct_duplicates")).alias("unique_rounds"),
         "duplicates_removed",
-        (F.col("all_duplicates") - F.col("earlier_duplicates")).alias("distinct_duplicates"),
+        "distinct_duplicates",
         rate.alias("deduplication_rate"),
     )

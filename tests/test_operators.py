@@ -171,14 +171,23 @@ def test_earlier_duplicates_are_left_alone(spark):
     df = spark.createDataFrame([row(1, "Seed", True, 9), row(2, "Seed"), row(3, "Seed"), row(4, "Other")], FUNDING_ROUNDS)
     got = {r.id: (r.is_duplicate, r.duplicate_of_id) for r in dedup.deduplicate(df).collect()}
     assert got == {1: (True, 9), 2: (False, None), 3: (True, 2), 4: (False, None)}
-    stats = dedup.run_statistics(df, dedup.deduplicate(df)).first()
+    stats = dedup.run_statistics(df).first()
     assert (stats.duplicates_removed, stats.distinct_duplicates, stats.unique_rounds) == (1, 1, 2)
     assert stats.deduplication_rate == 25.0
+    marked, again = dedup.deduplicate_with_statistics(df)
+    assert again.first() == stats and marked.where("is_duplicate").count() == 2
+
+
+def test_statistics_join_the_pairs_once(spark):
+    empty = spark.createDataFrame([], FUNDING_ROUNDS)
+    plan = dedup.run_statistics(empty)._jdf.queryExecution().optimizedPlan().toString()
+    pair_joins = [line for line in plan.split("\n") if "Join Inner" in line and "company_id" in line]
+    assert len(pair_joins) == 1, plan
 
 
 def test_statistics_of_nothing(spark):
     empty = spark.createDataFrame([], FUNDING_ROUNDS)
-    stats = dedup.run_statistics(empty, dedup.deduplicate(empty)).first()
+    stats = dedup.run_statistics(empty).first()
     assert (stats.total_companies, stats.total_rounds, stats.deduplication_rate) == (0, 0, 0.0)
 
 
