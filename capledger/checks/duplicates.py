@@ -102,6 +102,32 @@ def mixed_density_statistics(spark, root):
     return stats.withColumn("unique_rounds", unique.scalar()).withColumn("deduplication_rate", F.round("deduplication_rate", 6))
 
 
+@query(_LOSERS)
+def duplicate_losers_sliced(spark, root):
+    """The dense plan with the runs of companies of more than eight rounds cut into slices."""
+    return dedup.losers(shapes.rounds(spark, root), DedupOptions(dense_company_rows=0, slice_rows=8))
+
+
+@query(_PAIR_COUNTS)
+def duplicate_pair_counts_sliced(spark, root):
+    return dedup.pair_counts(shapes.rounds(spark, root), DedupOptions(dense_company_rows=0, slice_rows=8))
+
+
+_ONE_COMPANY = {"t_rounds": shapes.SQL["t_rounds"].replace("o_custkey AS company_id", "CAST(1 AS BIGINT) AS company_id")}
+ONE_COMPANY = DedupOptions(slice_rows=2000)
+
+
+@query(sql("SELECT round_id, winner_id FROM t_losers", _ONE_COMPANY))
+def one_company_losers(spark, root):
+    """All rounds belong to one company: dense, and cut into slices."""
+    return dedup.losers(shapes.rounds(spark, root).withColumn("company_id", F.lit(1).cast("bigint")), ONE_COMPANY)
+
+
+@query(sql("SELECT company_id, count(*) AS pairs FROM t_matches GROUP BY company_id", _ONE_COMPANY))
+def one_company_pair_counts(spark, root):
+    return dedup.pair_counts(shapes.rounds(spark, root).withColumn("company_id", F.lit(1).cast("bigint")), ONE_COMPANY)
+
+
 @query(_LOSERS)
 def duplicate_losers_mixed(spark, root):
     """Both plans in one run: companies of more than twelve dated rounds take the dense one."""

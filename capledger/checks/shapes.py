@@ -218,7 +218,7 @@ def landed_hits(spark: SparkSession, root: str) -> DataFrame:
 
 
 # The same shapes for the SQL side.
-_SQL = {
+SQL = {
     "t_companies": """
         SELECT c_custkey AS id, c_name AS name,
                CASE WHEN c_custkey % 3 <> 0 THEN lpad(CAST(c_custkey AS VARCHAR), 10, '0') END AS cik
@@ -392,9 +392,9 @@ def _closure(name: str) -> tuple[str, ...]:
 
 def sql(body: str, replace: dict[str, str] | None = None) -> str:
     """``body`` with the shapes it names put in front as common table expressions."""
-    texts = _SQL | (replace or {})
+    texts = SQL | (replace or {})
     wanted: list[str] = []
-    for name in _SQL:
+    for name in SQL:
         if name in body:
             wanted += [n for n in _closure(name) if n not in wanted]
     if not wanted:

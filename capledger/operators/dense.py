@@ -24,8 +24,9 @@ Winners are the largest id of three kinds of candidates
      fixed number of aligned nodes, and inside each node a running maximum in amount order
      answers "largest id up to this amount".
 
-Sorted runs are cut into slices (ranges of ids or amounts) whose summaries are carried over,
-so that no task has to hold a whole cell.
+Runs of companies above ``slice_rows`` are cut into slices (ranges of ids or amounts, as many as the company's
+own size asks for) whose summaries are carried over, so that no task has to hold a whole cell of them. Without such
+companies nothing is cut or carried.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from capledger.functions.numbers import amounts_are_similar
 from capledger.functions.text import ROUND_KEYWORDS
 from capledger.options import DedupOptions
+from capledger.session import materialize
 
 TIERS = range(9)
 ID_STRIDE = 16
@@ -200,23 +202,41 @@ def _better_tier_by_facet(features: DataFrame, grid: _Grid) -> DataFrame:
     )
 
 
-def _with_id_slice(features: DataFrame) -> DataFrame:
-    """Add ``slice``: which of ``ID_STRIDE`` squared id ranges of about equal size holds the id."""
-    n = ID_STRIDE * ID_STRIDE
-    bounds = features.select(
-        F.percentile_approx("id", [i / n for i in range(1, n)], 10 * n)
-    ).scalar()
-    coarse = f"filter(sequence(1, {ID_STRIDE - 1}), i -> bounds[i * {ID_STRIDE} - 1] <= id)"
+def _large_companies(features: DataFrame, options: DedupOptions) -> DataFrame | None:
+    """(company_id, n_slices, bounds) of the companies whose runs are cut; None if there are none.
+
+    ``bounds`` are quantiles of the company's own ids.
+    """
+    large = materialize(
+        features.groupBy("company_id").agg(F.count("*").alias("n")).where(F.col("n") > options.slice_rows)
+    )
+    if large.isEmpty():
+        return None
+    points = ID_STRIDE * ID_STRIDE
+    quantiles = F.percentile_approx("id", [i / points for i in range(1, points)], 10 * points).alias("bounds")
+    n_slices = F.least(F.lit(points), F.ceil(F.col("n") / options.slice_rows)).cast("int")
+    bounds = features.join(large.select("company_id"), "company_id", "left_semi").groupBy("company_id").agg(quantiles)
+    return materialize(large.join(bounds, "company_id").select("company_id", n_slices.alias("n_slices"), "bounds"))
+
+
+def _with_id_slice(features: DataFrame, large: DataFrame | None) -> DataFrame:
+    """Add ``slice``: which id range of about equal size of its company holds the id; 0 where runs are not cut."""
+    if large is None:
+        return features.withColumn("slice", F.lit(0))
+    coarse = f"size(filter(sequence(1, {ID_STRIDE - 1}), i -> bounds[i * {ID_STRIDE} - 1] <= id))"
     fine = f"slice(bounds, coarse * {ID_STRIDE} + 1, {ID_STRIDE - 1})"
+    place = f"coarse * {ID_STRIDE} + size(filter({fine}, b -> b <= id))"
     return (
-        features.withColumn("bounds", bounds)
-        .withColumn("coarse", F.expr(f"size({coarse})"))
-        .withColumn("slice", F.expr(f"coarse * {ID_STRIDE} + size(filter({fine}, b -> b <= id))"))
-        .drop("bounds", "coarse")
+        features.join(large, "company_id", "left")
+        .withColumn("coarse", F.expr(coarse))
+        .withColumn("slice", F.expr(
+            f"CASE WHEN bounds IS NULL THEN 0 ELSE ({place}) * n_slices DIV {ID_STRIDE * ID_STRIDE} END"
+        ))
+        .drop("bounds", "coarse", "n_slices")
     )
 
 
-def _cell_visits(features: DataFrame, grid: _Grid) -> DataFrame:
+def _cell_visits(features: DataFrame, grid: _Grid, large: DataFrame | None) -> DataFrame:
     """Each round once in every cell it belongs to (``own``) or borders on."""
     def visits(facet: Column, own_facet: Column) -> Column:
         return F.array(*[
@@ -235,14 +255,14 @@ def _cell_visits(features: DataFrame, grid: _Grid) -> DataFrame:
     else:
         by_amount = visits(grid.amount_facet(), F.lit(True))
     all_visits = F.when(F.col("positive"), F.concat(by_name, by_amount)).otherwise(by_name)
-    return _with_id_slice(features).select(
+    return _with_id_slice(features, large).select(
         "company_id", "tier", "id", "day", "amount", "slice", F.explode(all_visits).alias("visit"),
     ).select("company_id", "tier", "visit.*", "slice", "id", "day", "amount")
 
 
-def _same_tier_previous(features: DataFrame, grid: _Grid) -> DataFrame:
+def _same_tier_previous(features: DataFrame, grid: _Grid, large: DataFrame | None) -> DataFrame:
     cell = ["company_id", "tier", "facet", "block"]
-    visits = _cell_visits(features, grid)
+    visits = _cell_visits(features, grid, large)
     own_id = F.when(F.col("own"), F.col("id"))
     member = F.when(F.col("own"), F.struct("id", "day", "amount"))
     in_order = f"IGNORE NULLS OVER (PARTITION BY {', '.join(cell)}, slice ORDER BY id)"
@@ -252,19 +272,6 @@ def _same_tier_previous(features: DataFrame, grid: _Grid) -> DataFrame:
         F.expr(f"lead(member) {in_order}").alias("next_member"),
     )
 
-    carried = Window.partitionBy(*cell)
-    up = carried.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    down = carried.orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
-    slices = (
-        visits.groupBy(*cell, "slice")
-        .agg(F.min(member).alias("first_member"), F.max(own_id).alias("last_id"))
-        .select(
-            *cell, "slice", "first_member",
-            F.last("last_id", ignorenulls=True).over(up).alias("previous_id"),
-            F.last("first_member", ignorenulls=True).over(down).alias("next_member"),
-        )
-    )
-
     def visitor_matches(m: str) -> Column:
         close = F.abs(F.col("day") - F.col(f"{m}.day")) <= grid.days
         similar = amounts_are_similar(F.col("amount"), F.col(f"{m}.amount"), grid.threshold)
@@ -276,6 +283,23 @@ def _same_tier_previous(features: DataFrame, grid: _Grid) -> DataFrame:
         F.when(F.col("own"), F.col("id")).otherwise(F.col("next_member.id")).alias("round_id"),
         F.when(F.col("own"), F.col("previous_id")).otherwise(F.col("id")).alias("winner_id"),
     )
+    if large is None:
+        return in_slice
+
+    # Only runs that are cut have something to carry.
+    cut = _cell_visits(features.join(large.select("company_id"), "company_id", "left_semi"), grid, large)
+    carried = Window.partitionBy(*cell)
+    up = carried.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    down = carried.orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
+    slices = (
+        cut.groupBy(*cell, "slice")
+        .agg(F.min(member).alias("first_member"), F.max(own_id).alias("last_id"))
+        .select(
+            *cell, "slice", "first_member",
+            F.last("last_id", ignorenulls=True).over(up).alias("previous_id"),
+            F.last("first_member", ignorenulls=True).over(down).alias("next_member"),
+        )
+    )
     first_of_slice = slices.where(
         F.col("first_member").isNotNull() & F.col("previous_id").isNotNull()
     ).select(F.col("first_member.id").alias("round_id"), F.col("previous_id").alias("winner_id"))
@@ -292,12 +316,12 @@ def _same_tier_previous(features: DataFrame, grid: _Grid) -> DataFrame:
 
 
 def _running(
-    events: DataFrame, keys: list[str], combine: Callable[[Column], Column], values: list[str]
+    events: DataFrame, keys: list[str], combine: Callable[[Column], Column], values: list[str], cut: bool
 ) -> DataFrame:
     """Queries with each value combined over the data at or below their ``coord``.
 
     ``in_{value}`` runs in ``coord`` order within a slice, ``up_{value}`` carries the totals of
-    the earlier slices of the run.
+    the earlier slices of the run; null where nothing is ``cut``.
     """
     data = {v: F.when(~F.col("is_query"), F.col(v)) for v in values}
     inside = (
@@ -306,6 +330,8 @@ def _running(
     )
     earlier = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     queries = events.select("*", *[combine(c).over(inside).alias(f"in_{v}") for v, c in data.items()])
+    if not cut:
+        return queries.where(F.col("is_query")).select("*", *[F.lit(None).cast(events.schema[v].dataType).alias(f"up_{v}") for v in values])
     slices = events.groupBy(*keys, "slice").agg(*[combine(c).alias(v) for v, c in data.items()])
     totals = slices.select(
         *keys, "slice", *[combine(F.col(v)).over(earlier).alias(f"up_{v}") for v in values]
@@ -313,7 +339,9 @@ def _running(
     return queries.where(F.col("is_query")).join(totals, [*keys, "slice"])
 
 
-def _border_events(points: DataFrame, grid: _Grid, keep: list[str], downward: bool) -> DataFrame:
+def _border_events(
+    points: DataFrame, grid: _Grid, keep: list[str], downward: bool, large: DataFrame | None
+) -> DataFrame:
     """Data and queries for amounts similar across a bucket border.
 
     Upward, a point asks its higher neighbour buckets for amounts up to its upper limit;
@@ -322,7 +350,13 @@ def _border_events(points: DataFrame, grid: _Grid, keep: list[str], downward: bo
     low, high = grid.amount_range()
     ready = grid.place(points).withColumns({
         "low": low, "high": high, "own_nodes": grid.own_nodes(), "near_nodes": grid.near_nodes(),
-    }).withColumns({f"{c}_slice": grid.amount_slice(F.col(c)) for c in ("low", "amount", "high")})
+    })
+    if large is None:
+        ready = ready.withColumns({f"{c}_slice": F.lit(0).cast("bigint") for c in ("low", "amount", "high")})
+    else:
+        ready = ready.join(large.select("company_id", F.lit(True).alias("is_cut")), "company_id", "left").withColumns({
+            f"{c}_slice": F.when(F.col("is_cut"), grid.amount_slice(F.col(c))).otherwise(0) for c in ("low", "amount", "high")
+        })
     sides = [(1, "high", "filter(sequence(bucket, highest), b -> b > bucket)")]
     if downward:
         sides.append((-1, "low", "filter(sequence(lowest, bucket), b -> b < bucket)"))
@@ -342,14 +376,14 @@ def _border_events(points: DataFrame, grid: _Grid, keep: list[str], downward: bo
 _NODE = ["sign", "bucket", "block", "level", "node"]
 
 
-def _better_tier_across_border(features: DataFrame, grid: _Grid) -> DataFrame:
+def _better_tier_across_border(features: DataFrame, grid: _Grid, large: DataFrame | None) -> DataFrame:
     point = ["company_id", "day", "amount"]
     better = [f"better{t}" for t in range(1, 10)]
     positive = features.where(F.col("amount") > 0)
     points = positive.groupBy(*point).agg(*_top_id_per_tier()).select(*point, *_top_ids_better_than())
-    events = _border_events(points, grid, point + better, downward=True)
+    events = _border_events(points, grid, point + better, downward=True, large=large)
     best = (
-        _running(events, ["company_id", *_NODE], F.max, better)
+        _running(events, ["company_id", *_NODE], F.max, better, large is not None)
         .groupBy(*point)
         .agg(*[F.max(F.greatest(f"in_{b}", f"up_{b}")).alias(b) for b in better])
         .select(*point, F.array(*better).alias("best"))
@@ -365,10 +399,10 @@ def winner_candidates(features: DataFrame, options: DedupOptions) -> DataFrame:
     A constant number of rows per round, all of them true matches with a better round.
     """
     grid = _Grid(options)
-    placed = grid.place(features)
-    found = [_better_tier_by_facet(placed, grid), _same_tier_previous(placed, grid)]
+    placed, large = grid.place(features), _large_companies(features, options)
+    found = [_better_tier_by_facet(placed, grid), _same_tier_previous(placed, grid, large)]
     if grid.tolerant:
-        found.append(_better_tier_across_border(features, grid))
+        found.append(_better_tier_across_border(features, grid, large))
     return reduce(DataFrame.unionByName, found).where(F.col("winner_id").isNotNull())
 
 
@@ -431,6 +465,7 @@ def pair_counts(features: DataFrame, options: DedupOptions) -> DataFrame:
     )
     parts = [flat]
     if grid.tolerant:
+        large = _large_companies(features, options)
         # Similar amounts of neighbouring buckets, each pair seen from its smaller amount.
         scopes = F.concat(
             F.array(F.struct(nothing.alias("name"), F.lit(1).alias("sign_of"))),
@@ -443,9 +478,9 @@ def pair_counts(features: DataFrame, options: DedupOptions) -> DataFrame:
             .groupBy("company_id", "name", "sign_of", "day", "amount").agg(F.sum("n").alias("n"))
         )
         events = _border_events(
-            scoped, grid, ["company_id", "name", "sign_of", "n"], downward=False
+            scoped, grid, ["company_id", "name", "sign_of", "n"], downward=False, large=large
         )
-        counted = _running(events, ["company_id", "name", "sign_of", *_NODE], F.sum, ["n"])
+        counted = _running(events, ["company_id", "name", "sign_of", *_NODE], F.sum, ["n"], large is not None)
         seen = F.coalesce("in_n", F.lit(0)) + F.coalesce("up_n", F.lit(0))
         parts.append(counted.select("company_id", (
             F.col("sign_of").cast(_BIG) * (F.col("n").cast(_BIG) * seen.cast(_BIG)) * 2

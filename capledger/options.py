@@ -11,13 +11,14 @@ class DedupOptions:
 
     ``dense_company_rows`` only chooses between two exact plans (see ``operators.dedup``):
     companies with at most this many dated rounds are compared pair by pair, larger ones
-    never are.
+    never are. Of those, companies above ``slice_rows`` have their sorted runs cut into slices.
     """
 
     date_proximity_days: int = 90
     amount_similarity_threshold: float = 0.10
     enable_fuzzy_matching: bool = True
     dense_company_rows: int = 1000
+    slice_rows: int = 100_000
 
     def __post_init__(self) -> None:
         if self.date_proximity_days < 0 or not 0 <= self.amount_similarity_threshold < 1:

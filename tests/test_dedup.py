@@ -79,11 +79,13 @@ def brute_force(rows, days=90, threshold=0.10):
     (3, 250, 1, 60, 0, 20, 0.25),
     (4, 300, 3, 900, 0, 0, 0.10),
     (5, 300, 4, 400, 80, 90, 0.0),
+    (6, 300, 2, 400, 0, 90, 0.10),
 ])
-def test_both_plans_equal_the_pair_loop(spark, seed, n, companies, days, limit, proximity, threshold):
+@pytest.mark.parametrize("slice_rows", [100_000, 25])
+def test_both_plans_equal_the_pair_loop(spark, seed, n, companies, days, limit, proximity, threshold, slice_rows):
     rows = random_rounds(seed, n, companies, days)
     rounds = spark.createDataFrame(rows, FUNDING_ROUNDS)
-    options = DedupOptions(proximity, threshold, True, limit)
+    options = DedupOptions(proximity, threshold, True, limit, slice_rows)
     pairs, winner = brute_force(rows, proximity, threshold)
 
     assert {r.round_id: r.winner_id for r in dedup.losers(rounds, options).collect()} == winner
@@ -91,3 +93,17 @@ def test_both_plans_equal_the_pair_loop(spark, seed, n, companies, days, limit,
     assert counted == {c: len(p) for c, p in pairs.items()}
     listed = sorted((r.loser_id, r.winner_id) for r in dedup.matching_pairs(rounds, options).collect())
     assert listed == sorted(p for ps in pairs.values() for p in ps)
+
+
+def test_slices_follow_the_size_of_their_company(spark):
+    from capledger.operators import dense
+
+    ids = [(1, i) for i in range(4000)] + [(2, 10_000 + i * i) for i in range(900)] + [(3, i) for i in range(50)]
+    features = spark.createDataFrame(ids, "company_id BIGINT, id BIGINT")
+    large = dense._large_companies(features, DedupOptions(slice_rows=100))
+    sizes = {}
+    for r in dense._with_id_slice(features, large).groupBy("company_id", "slice").count().collect():
+        sizes.setdefault(r.company_id, []).append(r["count"])
+    assert len(sizes[1]) == 40 and len(sizes[2]) == 9 and sizes[3] == [50]
+    assert max(sizes[1] + sizes[2]) <= 150  # no task holds much more than a slice
+    assert dense._large_companies(features, DedupOptions()) is None
