@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    align, bit_codes, bpe, fill_middle, grid_join, licenses, minhash, mixing, quality, secrets, token_counts, url_filter, warc,
+    align, bit_codes, bpe, fill_middle, grid_join, licenses, minhash, mixing, oracles, quality, secrets, token_counts,
+    url_filter, warc,
 )
 from .common import documents
 
@@ -82,11 +83,24 @@ def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(documents(spark, sf_dir))
 
 
+def license_base_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the licence scan finds of the phrases that are fixed, without the labels of its own."""
+    return licenses.digests(documents(spark, sf_dir)).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+def secret_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many secrets of the fixed kinds the scan finds."""
+    return secrets.digests(documents(spark, sf_dir)).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_bpe, op2_bit_codes, op3_mixing, op4_grid_join, op5_minhash, op6_warc, op7_licenses, op8_quality, op9_url_filter,
-        op10_secrets, op11_token_counts, op12_align, op13_fill_middle,
+        op10_secrets, op11_token_counts, op12_align, op13_fill_middle, license_base_places, secret_base_counts,
     )
 }
 
-ORACLES: dict[str, str] = {"op13_fill_middle": fill_middle.DIGESTS_SQL}
+ORACLES: dict[str, str] = {
+    "op4_grid_join": oracles.GRID_JOIN, "op5_minhash": oracles.MINHASH, "op6_warc": oracles.WARC, "op9_url_filter": oracles.URL_FILTER,
+    "op13_fill_middle": fill_middle.DIGESTS_SQL, "license_base_places": oracles.LICENSE_BASE, "secret_base_counts": oracles.SECRET_BASE,
+}
