@@ -3,10 +3,11 @@
 Coarse centres are fitted on a bounded sample. Every vector's residual to its nearest centre is padded to the
 code length, turned by one random rotation and reduced to the signs of its components. With two correction
 scalars per vector, its norm and its alignment with its own code, the inner product with any query is
-estimated from the packed bits, within an error that shrinks with the code length. For each query the
-vectors whose upper bound reaches the k-th largest lower bound are reranked on the original vectors.
+estimated from the packed bits, within an error that shrinks with the code length. The vectors whose upper
+bound reaches a query's k-th largest lower bound are reranked on the original vectors.
 
-Codes, not vectors, are compared with all queries, tile by tile. Equal vectors are coded once.
+Codes meet all queries, tile by tile, and bring their vectors along: each task reranks what its own bounds choose
+and hands on the k best of each query. Equal vectors are coded once.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ class Settings:
     query_rows: int = 1024
     code_rows: int = 4096
     groups: int = 8
+    #: More groups than that where a group would hold more tiles of codes.
+    group_tiles: int = 64
 
 
 def rotation(width: int, bits: int, seed: int) -> np.ndarray:
@@ -112,15 +115,14 @@ def _tiles(classes: DataFrame, settings: Settings) -> tuple[DataFrame, dict]:
         def block(kind: int, width: int, ids: np.ndarray, rows: np.ndarray):
             if width not in known:
                 known[width] = Codes(width, centres.get(width, np.zeros((1, width))), settings)
-            if kind:
-                packed, scalars = known[width].encode(rows)
-                data, more = packed.tobytes(), scalars.tobytes()
-            else:
-                data, more = rows.tobytes(), b""
+            with np.errstate(over="ignore"):
+                single = rows.astype(np.float32)
+            data = single.tobytes() if (single == rows).all() else rows.tobytes()
+            code, more = (x.tobytes() for x in known[width].encode(rows)) if kind else (b"", b"")
             return pa.RecordBatch.from_arrays([
                 pa.array([width], pa.int32()), pa.array([kind], pa.int32()), pa.array([ids.astype(np.int64).tobytes()], pa.binary()),
-                pa.array([data], pa.binary()), pa.array([more], pa.binary()),
-            ], names=["width", "kind", "ids", "data", "more"])
+                pa.array([data], pa.binary()), pa.array([code], pa.binary()), pa.array([more], pa.binary()),
+            ], names=["width", "kind", "ids", "data", "code", "more"])
 
         def full(key: tuple[int, int], limit: int):
             ids = np.concatenate([p[0] for p in held[key]])
@@ -147,98 +149,91 @@ def _tiles(classes: DataFrame, settings: Settings) -> tuple[DataFrame, dict]:
                 yield block(kind, width, ids, rows)
 
     blocks = classes.select("width", "id", "asks", "vector").mapInArrow(
-        run, "width int, kind int, ids binary, data binary, more binary"
+        run, "width int, kind int, ids binary, data binary, code binary, more binary"
     )
     return shared_table(blocks, "tiles"), centres
 
 
-def _candidates(classes: DataFrame, settings: Settings) -> DataFrame:
-    """(query, id) worth reranking: classes whose upper bound reaches the query's k-th largest lower bound."""
+def _vectors(data: bytes, rows: int, width: int) -> np.ndarray:
+    """Vectors of a tile, stored in single precision where that loses nothing."""
+    kind = np.float32 if len(data) == 4 * rows * width else np.float64
+    return np.frombuffer(data, kind).reshape(rows, width).astype(np.float64)
+
+
+class Best:
+    """The best candidates of each query of a tile so far, by exact inner products, ties to the smaller id."""
+
+    def __init__(self, queries: np.ndarray, wanted: int):
+        self.queries, self.wanted = queries, wanted
+        self.edge = np.full(len(queries), -np.inf, np.float32)
+        self.lowest = np.full((len(queries), wanted), -np.inf, np.float32)
+        self.query, self.other, self.score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+
+    def meet(self, ids: np.ndarray, vectors: np.ndarray, estimate: np.ndarray, half: np.ndarray) -> None:
+        """Rerank those of a block whose upper bound reaches what the k best are known to have."""
+        both = np.concatenate([self.lowest, estimate - half], axis=1)
+        self.lowest = np.partition(both, both.shape[1] - self.wanted, axis=1)[:, -self.wanted:]
+        edge = np.maximum(self.edge, self.lowest.min(axis=1))
+        query, other = np.nonzero(estimate + half >= edge[:, None])
+        score = np.concatenate([
+            (self.queries[query[at:at + 65536]] * vectors[other[at:at + 65536]]).sum(axis=1) for at in range(0, len(query), 65536)
+        ] or [np.zeros(0)])
+        query, other = np.concatenate([self.query, query]), np.concatenate([self.other, ids[other]])
+        score = np.concatenate([self.score, score])
+        order = np.lexsort((other, -score, query))
+        query, other, score = query[order], other[order], score[order]
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        kept = place < self.wanted
+        self.query, self.other, self.score = query[kept], other[kept], score[kept]
+        last = place == self.wanted - 1
+        # One step down in single precision, so that what equals the edge still reaches it.
+        with np.errstate(over="ignore"):
+            self.edge[query[last]] = np.nextafter(score[last].astype(np.float32), np.float32(-np.inf))
+
+
+def _nearest(classes: DataFrame, settings: Settings) -> DataFrame:
+    """(query, id, score): for each query and group of codes the best reranked classes, one more than asked for."""
     tiles, centres = _tiles(classes, settings)
     # Every tile of queries meets every group of codes: each side is copied once for each part of the other.
     queries = tiles.where("kind = 0").withColumn("tile", F.xxhash64("width", "ids"))
     names = shared_table(queries.select("width", "tile"), "names")
-    groups = F.sequence(F.lit(0), F.lit(settings.groups - 1))
-    left = queries.select("width", "tile", F.explode(groups).alias("part"), "kind", "ids", "data", "more")
+    number = max(settings.groups, -(-tiles.where("kind = 1").count() // settings.group_tiles))
+    groups = F.sequence(F.lit(0), F.lit(number - 1))
+    left = queries.select("width", "tile", F.explode(groups).alias("part"), "kind", "ids", "data", "code", "more")
     right = (
-        tiles.where("kind = 1").withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(settings.groups)).cast("int"))
-        .join(names, "width").select("width", "tile", "part", "kind", "ids", "data", "more")
+        tiles.where("kind = 1").withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(number)).cast("int"))
+        .join(names, "width").select("width", "tile", "part", "kind", "ids", "data", "code", "more")
     )
     dealt = left.union(right).repartition("tile", "part").sortWithinPartitions("tile", "part", "kind", "ids")
     wanted = settings.neighbours + 1  # a query may find itself
 
     def run(batches):
         known: dict[int, Codes] = {}
-        key, ids, vectors, lowest, found = None, None, None, None, []
+        key, ids, best = None, None, None
 
         def flush():
-            if not found:
-                return
-            query, other, lower, upper = (np.concatenate(c) for c in zip(*found, strict=True))
-            keep = upper >= lowest[query, 0]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(ids[query[keep]]), pa.array(other[keep]), pa.array(lower[keep].astype(np.float64)),
-                pa.array(upper[keep].astype(np.float64)),
-            ], names=["query", "id", "lower", "upper"])
+            if best is not None:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[best.query]), pa.array(best.other), pa.array(best.score)], names=["query", "id", "score"],
+                )
 
         for batch in batches:
             for row in range(batch.num_rows):
-                width, tile, part, kind, raw, data, more = (c[row].as_py() for c in batch.columns)
+                width, tile, part, kind, raw, data, code, more = (c[row].as_py() for c in batch.columns)
+                own = np.frombuffer(raw, np.int64)
                 if kind == 0:
                     if (tile, part) != key:
                         yield from flush()
-                        key, found = (tile, part), []
-                        ids = np.frombuffer(raw, np.int64)
-                        vectors = np.frombuffer(data, np.float64).reshape(len(ids), width)
-                        lowest = np.full((len(ids), wanted), -np.inf, np.float32)
+                        key, ids, best = (tile, part), own, Best(_vectors(data, len(own), width), wanted)
                     continue
                 if width not in known:
                     known[width] = Codes(width, centres.get(width, np.zeros((1, width))), settings)
-                codes = known[width]
-                others = np.frombuffer(raw, np.int64)
-                packed = np.frombuffer(data, np.uint8).reshape(len(others), -1)
-                estimate, half = codes.bounds(vectors, packed, np.frombuffer(more, np.float64).reshape(len(others), -1))
-                lower = estimate - half
-                both = np.concatenate([lowest, lower], axis=1)
-                lowest = np.sort(np.partition(both, both.shape[1] - wanted, axis=1)[:, -wanted:], axis=1)
-                estimate += half
-                query, other = np.nonzero(estimate >= lowest[:, :1])
-                found.append((query, others[other], lower[query, other], estimate[query, other]))
-                if sum(len(f[0]) for f in found) > 4_000_000:
-                    columns = [np.concatenate(c) for c in zip(*found, strict=True)]
-                    keep = columns[3] >= lowest[columns[0], 0]
-                    found = [tuple(c[keep] for c in columns)]
+                packed = np.frombuffer(code, np.uint8).reshape(len(own), -1)
+                bounds = known[width].bounds(best.queries, packed, np.frombuffer(more, np.float64).reshape(len(own), -1))
+                best.meet(own, _vectors(data, len(own), width), *bounds)
         yield from flush()
 
-    bounded = dealt.mapInArrow(run, "query long, id long, lower double, upper double")
-    bounded = shared_table(bounded, "bounds")
-    # The k-th largest lower bound over all groups; each group has sent all that can be among them.
-    by_lower = Window.partitionBy("query").orderBy(F.desc("lower"), "id")
-    edges = bounded.select("query", "id", "lower").withColumn("place", F.row_number().over(by_lower)).where(
-        F.col("place") <= wanted
-    ).groupBy("query").agg(F.min("lower").alias("edge"), F.count("*").alias("n"))
-    return bounded.join(edges, "query").where((F.col("upper") >= F.col("edge")) | (F.col("n") < wanted)).select("query", "id")
-
-
-def _scores(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(query, id, score): the inner products of the original vectors in double precision."""
-    both = pairs.join(classes.select("id", "width", "vector"), "id").join(
-        classes.select(F.col("id").alias("query"), F.col("vector").alias("asked"), F.col("width").alias("asked_width")), "query"
-    ).select("query", "id", "width", "vector", "asked")
-
-    def run(batches):
-        for batch in batches:
-            widths = batch.column("width").to_numpy()
-            score = np.zeros(batch.num_rows)
-            for width in np.unique(widths).tolist():
-                at = pa.array(np.nonzero(widths == width)[0])
-                x, y = (matrix(batch.column(c).take(at), width) for c in ("vector", "asked"))
-                score[at.to_numpy()] = (x * y).sum(axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("query"), batch.column("id"), pa.array(score)], names=["query", "id", "score"],
-            )
-
-    return both.mapInArrow(run, "query long, id long, score double")
+    return dealt.mapInArrow(run, "query long, id long, score double")
 
 
 def search(
@@ -268,7 +263,7 @@ def search(
         named.select("id", "member").withColumn("place", F.dense_rank().over(by_member)).where(F.col("place") <= wanted)
         .select("id", "member").distinct(), "members",
     )
-    scored = _scores(_candidates(classes, settings), classes)
+    scored = _nearest(classes, settings)
     # Whole classes first, then members: no class beyond the wanted-th can hold a neighbour.
     by_score = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     best = scored.withColumn("place", F.row_number().over(by_score)).where(F.col("place") <= wanted)

@@ -142,6 +142,11 @@ def test_bit_codes_find_the_nearest(spark):
         assert own == sorted(own, key=lambda r: (-r[2], r[1]))
         hits += len({i for _, i in scores} & {i for _, i, _ in own})
     assert hits / 600 >= 0.95
+    again = df.union(df.where("vec_id % 3 = 0"))  # repeated rows count as one
+    settings = bit_codes.Settings(query_rows=16, code_rows=64, groups=3, group_tiles=2)
+    key = lambda r: (r.query_id, r.rank)
+    repeated = sorted(bit_codes.search(again, lambda i: i % 20 == 0, settings).collect(), key=key)
+    assert [(r.query_id, r.rank, r.score) for r in repeated] == [(r.query_id, r.rank, r.score) for r in sorted(found, key=key)]
     assert bit_codes.search(df.limit(0), lambda i: i % 20 == 0).count() == 0
 
 
