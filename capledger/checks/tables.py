@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from capledger.checks import shapes
@@ -622,3 +624,26 @@ def cascading_delete(spark, root):
         part = df.agg(F.lit(name).alias("table_name"), F.count("*").alias("kept"))
         result = part if result is None else result.unionByName(part)
     return result
+
+
+@query(sql("""
+    WITH gone AS (SELECT c_custkey AS id FROM customer WHERE c_mktsegment = 'MACHINERY'),
+    gone_rounds AS (SELECT o_orderkey AS id FROM orders WHERE o_custkey IN (SELECT id FROM gone))
+    SELECT 'companies' AS table_name, CAST(c_custkey AS VARCHAR) AS key, 1 AS n FROM customer
+    WHERE c_custkey NOT IN (SELECT id FROM gone) AND c_acctbal >= 0
+    UNION ALL SELECT 'processing_status', CAST(c_custkey AS VARCHAR), 1 FROM customer WHERE c_custkey NOT IN (SELECT id FROM gone) AND c_acctbal >= 0
+    UNION ALL SELECT 'funding_rounds', CAST(o_orderkey AS VARCHAR), 1 FROM orders WHERE o_custkey NOT IN (SELECT id FROM gone)
+    UNION ALL SELECT 'round_investors', l_orderkey || '-' || l_suppkey, count(*) FROM lineitem
+    WHERE l_orderkey NOT IN (SELECT id FROM gone_rounds) GROUP BY 2
+    UNION ALL SELECT 'sources', 'https://deals.example/' || l_orderkey || '/' || l_linenumber, count(*) FROM lineitem
+    WHERE l_orderkey NOT IN (SELECT id FROM gone_rounds) GROUP BY 2"""))
+def rows_after_cascading_delete(spark, root):
+    """What is left of five tables, row by row."""
+    gone = table(spark, root, "customer").where("c_mktsegment = 'MACHINERY'").select(F.col("c_custkey").alias("id"))
+    keys = {
+        "companies": F.col("id").cast("string"), "processing_status": F.col("company_id").cast("string"),
+        "funding_rounds": F.col("id").cast("string"), "round_investors": F.concat_ws("-", "round_id", "investor_id"), "sources": F.col("url"),
+    }
+    kept = quality.delete_companies(_tables(spark, root), gone)
+    parts = [kept[n].groupBy(k.alias("key")).agg(F.count("*").alias("n")).select(F.lit(n).alias("table_name"), "key", "n") for n, k in keys.items()]
+    return reduce(DataFrame.unionByName, parts)

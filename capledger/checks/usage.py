@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from capledger.checks import shapes
 from capledger.checks.registry import query
@@ -124,3 +124,24 @@ def quota_breaches(spark, root):
         F.col("name").alias("provider_name"), F.date_format("minute", "yyyy-MM-dd HH:mm").alias("minute"),
         "calls", F.col("rate_limit_rpm").alias("limit_rpm"),
     )
+
+
+def _in_order(df, *columns):
+    """The rows with their place in the order they come in."""
+    placed = df.select(*columns, F.monotonically_increasing_id().alias("at"))
+    return placed.select(*columns, F.row_number().over(Window.orderBy("at")).alias("place"))
+
+
+@query(sql(f"""
+    SELECT provider_name, model_name, date, row_number() OVER (ORDER BY date DESC, provider_name, model_name) AS place FROM ({DAILY_SQL})"""))
+def usage_newest_first(spark, root):
+    """The order of the usage listing, not only its rows."""
+    return _in_order(usage.usage_stats(usage.daily_usage(shapes.calls(spark, root))), "provider_name", "model_name", "date")
+
+
+@query(sql("""
+    SELECT name, row_number() OVER (ORDER BY n, priority, name) AS place FROM (
+      SELECT name, priority, count(event_id) AS n FROM t_providers LEFT JOIN t_calls ON name = provider_name
+      WHERE enabled AND has_api_key GROUP BY name, priority)"""))
+def least_used_first(spark, root):
+    return _in_order(usage.least_used(shapes.providers(spark, root), shapes.calls(spark, root)), "name")
