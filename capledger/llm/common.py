@@ -14,6 +14,17 @@ from pyspark.sql import functions as F
 from capledger.session import checkpoint_root
 
 
+#: Rows of texts that go to a Python worker at a time; Spark's own number suits short rows.
+BATCH_ROWS, _BATCH_SETTING = 1024, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Let Arrow batches of the session hold fewer rows, so that several long texts do not fill a worker; a smaller
+    number that has been set is kept."""
+    if int(spark.conf.get(_BATCH_SETTING, "10000")) > BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+
+
 def pick(df: DataFrame, *columns: tuple[str, str]) -> DataFrame:
     """Only the named columns, each cast to a type: ``pick(df, ("doc_id", "long"))``.
 
@@ -25,10 +36,21 @@ def pick(df: DataFrame, *columns: tuple[str, str]) -> DataFrame:
     return plain.select(*[F.col(f"c{names.index(name)}").cast(kind).alias(name) for name, kind in columns])
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder below ``spark.checkpoint.dir`` that holds all this application writes in between."""
+    return f"{checkpoint_root(spark)}/llm-{spark.sparkContext.applicationId}"
+
+
+def remove_run(spark: SparkSession) -> None:
+    """Remove what this application has written in between. Results that have not been read or stored yet depend on it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shared_table(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written as Parquet below ``spark.checkpoint.dir`` and read again: lineage is cut, files are shared."""
+    """``df`` written as Parquet in the run's folder and read again: lineage is cut, files are shared."""
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/llm-{label}-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._llm_path = path

@@ -29,9 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capledger.session import checkpoint_root
-
-from .common import byte_texts, pick, shared_table, slices
+from .common import byte_texts, pick, run_folder, shared_table, slices
 
 VERSION = b"WARC/1.1\r\n"
 #: What records of both versions begin with, and how they go on.
@@ -382,9 +380,9 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """The pages written to archives in the shared folder and read back."""
+    """The pages written to archives in the run's folder and read back."""
     spark = pages.sparkSession
-    path = f"{checkpoint_root(spark)}/llm-warc-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/warc-{uuid.uuid4().hex}"
     write(pages, path)
     return read(spark, path, payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact",

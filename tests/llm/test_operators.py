@@ -3,8 +3,11 @@
 import base64
 import gzip
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -14,6 +17,7 @@ from capledger.llm import bit_codes, bpe, grid_join, licenses, minhash, mixing,
 from capledger.llm.automata import compile_all
 from capledger.llm.common import components
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 DOCS = "doc_id long, text string, Text string, n_tokens string"
 
 
@@ -34,6 +38,24 @@ def test_components(spark):
     assert components(edges.limit(0)).count() == 0
 
 
+def test_a_run_leaves_one_folder_that_can_be_removed(tmp_path):
+    """In a session of its own, as others may still read what this one would remove."""
+    code = """
+import os, sys
+from capledger.session import build_session
+from capledger.llm import common, warc
+spark = build_session("run", master="local[1]", spark__checkpoint__dir=sys.argv[1], spark__ui__enabled="false")
+pages = spark.createDataFrame([(1, "u", "h")], "page_id long, url string, html string")
+assert warc.round_trip(pages).count() == 1
+assert len(os.listdir(sys.argv[1])) <= 2 and os.path.isdir(common.run_folder(spark))
+common.remove_run(spark)
+assert not os.path.exists(common.run_folder(spark))
+print("removed")
+"""
+    done = subprocess.run([sys.executable, "-c", code, str(tmp_path)], capture_output=True, text=True, timeout=300, cwd=ROOT)
+    assert "removed" in done.stdout, done.stderr[-2000:]
+
+
 # ------------------------------------------------------------------ 1 BPE
 
 BPE_TEXTS = [
