@@ -75,10 +75,7 @@ _OTHER = bytes(
     b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256)
 )
 _TOKEN = re.compile(r"[()]|[A-Za-z0-9.+:-]+")
-#: What an expression may consist of; a full stop at its end belongs to the sentence.
-_RUN = re.compile(r"[ \t]*((?:[()]|[A-Za-z0-9.+:-]+|[ \t]+)*)")
-#: Longer expressions are not tried without their last parts.
-LONGEST = 64
+_NEXT = re.compile(r"[ \t]*([()]|[A-Za-z0-9.+:-]+)")
 _END = re.compile(rb"[\r\n]|\*/|-->")
 
 
@@ -151,48 +148,125 @@ def is_exception(name: str) -> bool:
     return name.lower() in _KNOWN_EXCEPTIONS or name.lower().startswith("additionref-")
 
 
+class _Reader:
+    """Reads an expression token by token and tells of each beginning whether it is an expression itself.
+
+    Values are names, or None for what an operator has made of two values. ``take`` is false as soon as no longer
+    beginning can be an expression either.
+    """
+
+    def __init__(self, values: list[str | None] = (), operators: list[str] = (), operand_next: bool = True, depth: int = 0):
+        self.values, self.operators = list(values), list(operators)
+        self.operand_next, self.depth = operand_next, depth
+
+    def copy(self) -> _Reader:
+        return _Reader(self.values, self.operators, self.operand_next, self.depth)
+
+    def take(self, token: str) -> bool:
+        upper = token.upper()
+        operand = token == "(" or token != ")" and upper not in PRECEDENCE
+        if operand != self.operand_next:
+            return False
+        if token == "(":
+            self.operators.append(token)
+            self.depth += 1
+        elif token == ")":
+            if self.depth == 0 or not self._reduce(0):
+                return False
+            self.operators.pop()
+            self.depth -= 1
+        elif operand:
+            if not (is_licence(token) or is_exception(token)):
+                return False
+            self.values.append(token)
+            self.operand_next = False
+        else:
+            if not self._reduce(PRECEDENCE[upper]):
+                return False
+            self.operators.append(upper)
+            self.operand_next = True
+        return True
+
+    def _reduce(self, precedence: int) -> bool:
+        """Apply the operators since the last open bracket that bind at least as strongly."""
+        while self.operators and self.operators[-1] != "(" and PRECEDENCE[self.operators[-1]] >= precedence:
+            operator, right, left = self.operators.pop(), self.values.pop(), self.values.pop()
+            if operator == "WITH":
+                if not _takes_exception(left, right):
+                    return False
+            elif not all(v is None or is_licence(v) for v in (left, right)):
+                return False
+            self.values.append(None)
+        return True
+
+    def complete(self) -> bool:
+        """Without open brackets operators wait in rising order, so few are left to apply."""
+        if self.operand_next or self.depth:
+            return False
+        rest = self.copy()
+        return rest._reduce(0) and (rest.values[0] is None or is_licence(rest.values[0]))
+
+
 def read_expression(text: str) -> tuple[str, Terms]:
-    """The longest beginning of a text that is an expression, and what it asks for."""
-    run = _RUN.match(text)[1].rstrip()
-    ends = [m.end() for m in _TOKEN.finditer(run)][:LONGEST]
-    for end in reversed(ends):
-        for part in dict.fromkeys((run[:end], run[:end].rstrip("."))):
-            try:
-                return part, evaluate(part)
-            except ExpressionError:
-                continue
-    raise ExpressionError(text)
+    """The longest beginning of a text that is an expression, however long, and what it asks for.
+
+    A full stop at its end belongs to the sentence. Each token is read once.
+    """
+    reader, at, end = _Reader(), 0, 0
+    while found := _NEXT.match(text, at):
+        token, at = found[1], found.end()
+        bare = token.rstrip(".")
+        if bare and bare != token and not reader.depth:  # the sentence may end here
+            last = reader.copy()
+            if last.take(bare) and last.complete():
+                end = found.start(1) + len(bare)
+        if not reader.take(token):
+            break
+        if reader.complete():
+            end = at
+    if not end:
+        raise ExpressionError(text)
+    return text[:end].lstrip(" \t"), evaluate(text[:end])
 
 
 def evaluate(text: str) -> Terms:
     """OR leaves a choice, AND asks for both, WITH adds an exception to the licence before it."""
-    stack: list[Terms | str] = []
+    labels: set[str] = set()
+    stack: list[bool | str] = []  # a name, or whether permissive licences alone satisfy what an operator has made
+
+    def permissive(value: bool | str) -> bool:
+        if isinstance(value, bool):
+            return value
+        if not is_licence(value):
+            raise ExpressionError(text)
+        if value.lower() in NOTHING:
+            return False
+        label = label_of(value)
+        labels.add(label)
+        return label in PERMISSIVE
+
     for token in postfix(text):
         if token not in PRECEDENCE:
             stack.append(token)
             continue
         right, left = stack.pop(), stack.pop()
         if token == "WITH":
-            if not (isinstance(left, str) and isinstance(right, str) and is_exception(right)) or left.lower() in NOTHING:
+            if not _takes_exception(left, right):
                 raise ExpressionError(text)
-            terms = _terms(left)
-            stack.append(Terms(terms.labels | {f"{min(terms.labels)}-with-{right.lower()}"}, terms.permissive))
+            allowed = permissive(left)
+            labels.add(f"{label_of(left)}-with-{right.lower()}")
         else:
-            a, b = _terms(left), _terms(right)
-            allowed = a.permissive or b.permissive if token == "OR" else a.permissive and b.permissive
-            stack.append(Terms(a.labels | b.labels, allowed))
-    return _terms(stack.pop())
-
-
-def _terms(value: Terms | str) -> Terms:
-    if isinstance(value, Terms):
-        return value
-    if not is_licence(value):
-        raise ExpressionError(value)
-    if value.lower() in NOTHING:
-        return Terms(frozenset(), False)
-    label = label_of(value)
-    return Terms(frozenset({label}), label in PERMISSIVE)
+            a, b = permissive(left), permissive(right)
+            allowed = a or b if token == "OR" else a and b
+        stack.append(allowed)
+    allowed = permissive(stack.pop())
+    return Terms(frozenset(labels), allowed)
+
+
+def _takes_exception(left: object, right: object) -> bool:
+    """Whether a value is the name of a licence that the exception behind WITH can be added to."""
+    names = isinstance(left, str) and isinstance(right, str)
+    return names and is_licence(left) and left.lower() not in NOTHING and is_exception(right)
 
 
 class Scanner:

@@ -413,6 +413,16 @@ def _longest_expression(text):
     return None
 
 
+def test_an_expression_of_many_parts_is_read_to_its_end(spark):
+    text = " OR ".join(["MIT"] * 200 + ["(GPL-2.0-only WITH GCC-exception-2.0)", "Zlib"])
+    assert licenses.read_expression(f"{text}. AND then prose")[0] == text
+    got = by_id(licenses.digests(docs_of(spark, [f"SPDX-License-Identifier: {text}", f"SPDX-License-Identifier: {text} OR"])), "labels", "permissive")
+    assert set(got.values()) == {("gpl,gpl-with-gcc-exception-2.0,mit,zlib", True)}
+    many = " AND ".join(f"LicenseRef-{i}" for i in range(20_000))  # each part is read once
+    assert len(licenses.read_expression(many)[1].labels) == 20_000
+    assert licenses.read_expression("(MIT) AND ((BSL-1.0 OR)")[0] == "(MIT)"
+
+
 def test_licenses_agree_with_plain_scans(spark):
     rng = random.Random(3)
     parts = ["MIT", "license", "License", "Apache", "LICENSE", "general", "Public", "lesser", "bsd", "é", "x1", "-", "\n", ".", "ſ", "cc by", "mit\x0blicense"]
