@@ -8,7 +8,8 @@ start again.
 Changes of rows are kept beside the rows they change: a change is a folder of whole rows, or of marks that a key
 is gone, and only touched rows are written. Reading hides base rows by an anti-join with the keys of the changes,
 which are few until ``compact`` folds them in. Tables can be stored by buckets of a column; reading some
-buckets prunes all other files.
+buckets prunes all other files. Writes are numbered in their order, also those of one commit: of several changes
+of a key the last one counts.
 """
 
 from __future__ import annotations
@@ -25,6 +26,9 @@ from capledger.schema import TABLES
 
 BUCKET, COMMIT, GONE = "_bucket", "_commit", "_gone"
 
+#: Writes of one commit have numbers of their own, from this many times its version on.
+WRITES_PER_COMMIT = 1 << 20
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -63,7 +67,7 @@ class Conflict(RuntimeError):
 
 @dataclass(frozen=True)
 class Manifest:
-    """What a version holds: folders of rows and of changes for each table, with the version each came with."""
+    """What a version holds: folders of rows and of changes for each table, with the number of the write each came with."""
 
     version: int = 0
     rows: dict[str, list[tuple[str, int]]] = field(default_factory=dict)
@@ -149,7 +153,7 @@ class Store:
             return rows.select(columns)
         changes = self._folders(name, manifest.changes[name], f"{layout.schema}, {GONE} BOOLEAN", wanted)
         rest = [c for c in changes.columns if c not in layout.key and c != COMMIT]
-        # Of several changes of a key the newest counts. One commit changes a key once.
+        # Of several changes of a key the newest counts. One write changes a key once.
         newest = changes.groupBy(*layout.key).agg(F.max(COMMIT).alias(COMMIT), F.max_by(F.struct(*rest), COMMIT).alias("_row"))
         hiding = newest.select(*[F.col(k).alias(f"_{k}") for k in layout.key], F.col(COMMIT).alias("_since"))
         condition = (F.col("_since") >= F.col(COMMIT))
@@ -167,11 +171,11 @@ class Store:
         return kept.select(columns).unionByName(changed.select(*layout.key, "_row.*").select(columns))
 
     def _folders(self, name: str, folders: list[tuple[str, int]], schema: str, buckets: list[int] | None) -> DataFrame:
-        """All rows of folders, each with the version its folder came with."""
+        """All rows of folders, each with the number of the write its folder came with."""
         full = f"{schema}, {BUCKET} INT"
         if not folders:
             return self.spark.createDataFrame([], f"{full}, {COMMIT} BIGINT")
-        # One scan for all folders; buckets are partitions below each, the version is a column of their files.
+        # One scan for all folders; buckets are partitions below each, the write's number is a column of their files.
         table = f"{self.root}/{name}"
         found = self.spark.read.schema(f"{full}, {COMMIT} BIGINT").option("basePath", table).parquet(*[f"{table}/{f}" for f, _ in folders])
         return found if buckets is None else found.where(F.col(BUCKET).isin(buckets))
@@ -222,7 +226,7 @@ class Transaction:
         self.source, self.number = source, number
         self.rows = {t: list(f) for t, f in start.rows.items()}
         self.changes = {t: list(f) for t, f in start.changes.items()}
-        self.dirty = False
+        self.writes = 0
 
     @property
     def repeated(self) -> bool:
@@ -242,7 +246,7 @@ class Transaction:
         return self.store._read(Manifest(self.start.version, {name: self.rows[name][-1:]}), name)
 
     def change(self, name: str, rows: DataFrame) -> None:
-        """Put whole rows in place of those with the same keys; each key once."""
+        """Put whole rows in place of those with the same keys; each key once. Later writes of a transaction win."""
         self._add(self.changes, name, rows.select(*self.store.layouts[name].columns(), F.lit(False).alias(GONE)))
 
     def remove(self, name: str, keys: DataFrame) -> None:
@@ -259,19 +263,19 @@ class Transaction:
         kind[name] = [*kind.get(name, []), self._write(name, rows)]
 
     def _write(self, name: str, rows: DataFrame) -> tuple[str, int]:
-        layout, version = self.store.layouts[name], self.start.version + 1
+        layout, number = self.store.layouts[name], (self.start.version + 1) * WRITES_PER_COMMIT + self.writes
         folder = f"part={uuid.uuid4().hex}"
         # Rows of a bucket are brought together; large buckets are split over several tasks.
         typed = rows.withColumns({c: F.col(c).cast(t) for c, t in layout.types().items()})
-        placed = typed.withColumn(BUCKET, layout.bucket()).withColumn(COMMIT, F.lit(version).cast("bigint"))
+        placed = typed.withColumn(BUCKET, layout.bucket()).withColumn(COMMIT, F.lit(number).cast("bigint"))
         if layout.bucket_by:
             placed = placed.hint("rebalance", BUCKET)
         placed.write.partitionBy(BUCKET).parquet(f"{self.store.root}/{name}/{folder}")
-        self.dirty = True
-        return folder, version
+        self.writes += 1
+        return folder, number
 
     def commit(self) -> None:
-        if self.dirty or self.source is not None and not self.repeated:
+        if self.writes or self.source is not None and not self.repeated:
             done = dict(self.start.done)
             if self.source is not None:
                 done[self.source] = self.number

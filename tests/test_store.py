@@ -95,6 +95,22 @@ def test_keys_of_several_columns_and_a_read_inside_a_commit(spark, store):
     assert {tuple(r) for r in store.read("pair").collect()} == {(1, "x", 2.0), (1, "y", 1.0)}
 
 
+def test_the_last_write_of_a_commit_counts(spark, store):
+    with store.transaction() as tx:
+        tx.append("t", rows(spark, *[(i, "a") for i in range(400)]))
+    key = lambda *ids: rows(spark, *[(i, "") for i in ids]).select("id", "owner")
+    with store.transaction() as tx:
+        tx.change("t", rows(spark, *[(i, "b") for i in range(0, 400, 2)]).repartition(4))
+        tx.remove("t", key(*range(0, 400, 4)))  # changed and removed in one commit
+        tx.remove("t", key(1, 3))
+        tx.change("t", rows(spark, (3, "c")))  # and the other way round
+        tx.append("t", rows(spark, (1, "again")))  # a key that this commit has removed
+    want = sorted([(i, "b" if i % 2 == 0 else "a") for i in range(400) if i % 4 and i not in (1, 3)] + [(1, "again"), (3, "c")])
+    assert held(store.read("t")) == want
+    store.compact("t")
+    assert held(store.read("t")) == want
+
+
 def test_numbered_commits_are_made_once(spark, store):
     for number in (0, 1, 1, 0):
         with store.transaction("feed", number) as tx:
