@@ -10,7 +10,9 @@ Two exact plans share the work, chosen per company by its number of dated rounds
 
 * up to ``dense_company_rows``: one equi-join on the company with residual predicates, so a
   round meets a bounded number of others;
-* above that: ``operators.dense``, whose cost does not depend on the number of matching pairs.
+* above that, by windows of dates: rounds whose windows hold few others meet these directly, at most
+  ``window_rows`` in each of two windows; for the others ``operators.dense``, whose cost does not depend on
+  the number of matching pairs.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from capledger.session import materialize
 
 DEFAULTS = DedupOptions()
 BROADCAST_COMPANIES = 1_000_000  # ids, some 16 MB; more of them are joined by shuffle
+BROADCAST_WINDOWS = 200_000
 
 
 def match_features(rounds: DataFrame, options: DedupOptions = DEFAULTS) -> DataFrame:
@@ -120,6 +123,57 @@ def _direct_pairs(ordinary: DataFrame, options: DedupOptions) -> DataFrame:
     return _losing_first(ordinary.alias("a").join(ordinary.hint("merge").alias("b"), condition))
 
 
+def _pairs_by_window(crowded: DataFrame, options: DedupOptions) -> tuple[DataFrame, DataFrame | None]:
+    """(matching pairs that meet in windows of few rounds, features of all rounds in crowded windows or None).
+
+    Dates lie in blocks that are as long as close dates can be apart, and a window is a block with the one before it, so two
+    close rounds meet in the window of the later block. A round is in two windows; if one of them is crowded, it is in
+    the second frame. Pairs of two such rounds are left to it, all others are in the first.
+    """
+    placed = crowded.withColumn("block", F.floor(F.col("day") / (options.date_proximity_days + 1)))
+    windows = (
+        placed.groupBy("company_id", "block").agg(F.count("*").alias("n"))
+        .select("company_id", "n", F.explode(F.array(F.col("block"), F.col("block") + 1)).alias("window"))
+        .groupBy("company_id", "window").agg(F.sum("n").alias("n"))
+        .where(F.col("n") > options.window_rows).select("company_id", "window")
+    )
+    windows = materialize(windows)
+    how_many, rest = windows.count(), None
+    if how_many == 0:
+        placed = placed.withColumns({"own": F.lit(False), "next": F.lit(False)})
+    else:
+        for name, step in (("own", 0), ("next", 1)):
+            flagged = windows.select("company_id", (F.col("window") - step).alias("block"), F.lit(True).alias(name))
+            if how_many <= BROADCAST_WINDOWS:
+                flagged = F.broadcast(flagged)
+            placed = placed.join(flagged, ["company_id", "block"], "left").withColumn(name, F.coalesce(name, F.lit(False)))
+        rest = materialize(placed.where(F.col("own") | F.col("next")).select(crowded.columns))
+    met = placed.withColumn("left_out", F.col("own") | F.col("next")).select(
+        *crowded.columns, "block", "left_out", F.explode(F.array_compact(F.array(
+            F.when(~F.col("own"), F.col("block")), F.when(~F.col("next"), F.col("block") + 1)
+        ))).alias("window"),
+    )
+    condition = (
+        (F.col("a.company_id") == F.col("b.company_id"))
+        & (F.col("a.window") == F.col("b.window"))
+        & (F.col("a.id") < F.col("b.id"))
+        & (F.col("a.window") == F.greatest("a.block", "b.block"))
+        & ~(F.col("a.left_out") & F.col("b.left_out"))
+        & _rounds_match(options)
+    )
+    return _losing_first(met.alias("a").join(met.hint("merge").alias("b"), condition)), rest
+
+
+def _pairs_and_rest(rounds: DataFrame, options: DedupOptions) -> tuple[DataFrame, DataFrame | None]:
+    """(company_id, loser_id, winner_id) of all pairs that are formed, and features of the rounds left to ``operators.dense``."""
+    ordinary, crowded = split_by_density(rounds, options)
+    pairs = _direct_pairs(ordinary, options)
+    if crowded is None:
+        return pairs, None
+    near, rest = _pairs_by_window(crowded, options)
+    return pairs.unionByName(near), rest
+
+
 def matching_pairs(rounds: DataFrame, options: DedupOptions = DEFAULTS) -> DataFrame:
     """Every matching pair as (company_id, loser_id, winner_id).
 
@@ -147,39 +201,39 @@ def matching_pairs(rounds: DataFrame, options: DedupOptions = DEFAULTS) -> DataF
 def losers_with_matches(
     rounds: DataFrame, options: DedupOptions = DEFAULTS
 ) -> tuple[DataFrame, DataFrame | None]:
-    """(round_id, winner_id, matches) of every loser, and the pairs per dense company.
+    """(round_id, winner_id, matches) of every loser, and the pairs per company that were not formed.
 
-    ``matches`` counts the better rounds an ordinary company's round matches; those of dense companies are
-    counted as a whole, in the second frame (company_id, pairs), and are 0 here.
+    ``matches`` counts the better rounds that a round was seen to match; pairs in crowded windows of dense companies are
+    counted as a whole, in the second frame (company_id, pairs).
     """
-    ordinary, crowded = split_by_density(rounds, options)
-    found = _direct_pairs(ordinary, options).select(
+    pairs, rest = _pairs_and_rest(rounds, options)
+    found = pairs.select(
         F.col("loser_id").alias("round_id"), "winner_id", F.lit(1).cast("bigint").alias("matches")
     )
-    if crowded is not None:
-        candidates = dense.winner_candidates(crowded, options)
+    if rest is not None:
+        candidates = dense.winner_candidates(rest, options)
         found = found.unionByName(candidates.withColumn("matches", F.lit(0).cast("bigint")))
     lost = found.groupBy("round_id").agg(F.max("winner_id").alias("winner_id"), F.sum("matches").alias("matches"))
-    return lost, None if crowded is None else dense.pair_counts(crowded, options)
+    return lost, None if rest is None else dense.pair_counts(rest, options)
 
 
 def losers(rounds: DataFrame, options: DedupOptions = DEFAULTS) -> DataFrame:
     """(round_id, winner_id) of every round that a better round duplicates."""
-    ordinary, crowded = split_by_density(rounds, options)
-    direct = _direct_pairs(ordinary, options).select(
-        F.col("loser_id").alias("round_id"), "winner_id"
-    )
-    candidates = direct
-    if crowded is not None:
-        candidates = direct.unionByName(dense.winner_candidates(crowded, options))
+    pairs, rest = _pairs_and_rest(rounds, options)
+    candidates = pairs.select(F.col("loser_id").alias("round_id"), "winner_id")
+    if rest is not None:
+        candidates = candidates.unionByName(dense.winner_candidates(rest, options))
     return candidates.groupBy("round_id").agg(F.max("winner_id").alias("winner_id"))
 
 
 def pair_counts(rounds: DataFrame, options: DedupOptions = DEFAULTS) -> DataFrame:
     """(company_id, pairs): number of matching pairs per company that has any."""
-    ordinary, crowded = split_by_density(rounds, options)
-    direct = _direct_pairs(ordinary, options).groupBy("company_id").agg(F.count("*").alias("pairs"))
-    return direct if crowded is None else direct.unionByName(dense.pair_counts(crowded, options))
+    pairs, rest = _pairs_and_rest(rounds, options)
+    counted = pairs.groupBy("company_id").agg(F.count("*").alias("pairs"))
+    if rest is None:
+        return counted
+    both = counted.unionByName(dense.pair_counts(rest, options))
+    return both.groupBy("company_id").agg(F.sum("pairs").alias("pairs"))
 
 
 def mark_duplicates(rounds: DataFrame, losers_df: DataFrame) -> DataFrame:

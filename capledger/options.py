@@ -11,7 +11,9 @@ class DedupOptions:
 
     ``dense_company_rows`` only chooses between two exact plans (see ``operators.dedup``):
     companies with at most this many dated rounds are compared pair by pair, larger ones
-    never are. Of those, companies above ``slice_rows`` have their sorted runs cut into slices.
+    by date windows: rounds in windows of at most ``window_rows`` meet directly, so that a round meets a bounded
+    number of others, all the rest never do. Companies with more than ``slice_rows`` rounds in that rest have their
+    sorted runs cut into slices.
     """
 
     date_proximity_days: int = 90
@@ -19,6 +21,7 @@ class DedupOptions:
     enable_fuzzy_matching: bool = True
     dense_company_rows: int = 1000
     slice_rows: int = 100_000
+    window_rows: int = 32
 
     def __post_init__(self) -> None:
         if self.date_proximity_days < 0 or not 0 <= self.amount_similarity_threshold < 1:

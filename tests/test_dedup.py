@@ -107,3 +107,25 @@ def test_slices_follow_the_size_of_their_company(spark):
     assert len(sizes[1]) == 40 and len(sizes[2]) == 9 and sizes[3] == [50]
     assert max(sizes[1] + sizes[2]) <= 150  # no task holds much more than a slice
     assert dense._large_companies(features, DedupOptions()) is None
+
+
+@pytest.mark.parametrize("seed,n,companies,days,proximity,threshold,slice_rows,window_rows", [
+    (7, 300, 2, 600, 90, 0.10, 25, 0), (8, 250, 1, 900, 20, 0.25, 25, 12), (9, 300, 3, 900, 0, 0.10, 100_000, 0),
+    (10, 300, 4, 400, 90, 0.0, 25, 20), (11, 300, 1, 3000, 90, 0.10, 100_000, 30),
+])
+def test_windows_of_few_and_of_many_rounds_lose_and_repeat_no_pair(spark, seed, n, companies, days, proximity, threshold, slice_rows, window_rows):
+    rows = random_rounds(seed, n, companies, days)
+    rounds = spark.createDataFrame(rows, FUNDING_ROUNDS)
+    options = DedupOptions(proximity, threshold, True, 0, slice_rows, window_rows)
+    pairs, winner = brute_force(rows, proximity, threshold)
+    assert {r.round_id: r.winner_id for r in dedup.losers(rounds, options).collect()} == winner
+    assert {r.company_id: r.pairs for r in dedup.pair_counts(rounds, options).collect()} == {c: len(p) for c, p in pairs.items()}
+    stats = dedup.run_statistics(rounds, options).first()
+    assert (stats.duplicates_removed, stats.distinct_duplicates) == (sum(map(len, pairs.values())), len(winner))
+
+
+def test_rounds_of_few_neighbours_leave_nothing_to_the_sorted_runs(spark):
+    rows = [r for r in random_rounds(12, 400, 40, 2000)]
+    options = DedupOptions(dense_company_rows=0, slice_rows=8)
+    _, rest = dedup._pairs_and_rest(spark.createDataFrame(rows, FUNDING_ROUNDS), options)
+    assert rest is None  # they are not exploded over facets, nodes and slices
