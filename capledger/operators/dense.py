@@ -45,6 +45,7 @@ from capledger.session import materialize
 TIERS = range(9)
 ID_STRIDE = 16
 AMOUNT_SLICES = 64
+BROADCAST_CUT = 10_000  # companies with 255 bounds each, some 20 MB
 _BIG = "decimal(38,0)"
 
 
@@ -103,15 +104,18 @@ class _Grid:
             limit(f"(amount / {keep})", "(x - amount) / x", "array_max"),
         )
 
-    def amount_slice(self, amount: Column) -> Column:
-        return F.floor(F.ln(amount) * AMOUNT_SLICES / self.width)
+    def cuts(self, level: str) -> str:
+        """Slices of a bucket at a level: a node of half the days has half as many, those of a day or two have one."""
+        return f"greatest(1, shiftright({AMOUNT_SLICES}, {self.levels} - {level}))"
+
+    def node(self, block: str, level: str, node: str) -> str:
+        """A node as one number: its block, and its place among the nodes of all levels; with its number of slices."""
+        place = f"{block} * {2 ** (self.levels + 1)} + shiftleft(1, {self.levels} - {level}) + {node}"
+        return f"named_struct('node', CAST({place} AS BIGINT), 'cuts', {self.cuts(level)})"
 
     def own_nodes(self) -> Column:
         """Aligned date nodes holding this day, one per level."""
-        return F.expr(
-            f"transform(sequence(0, {self.levels}), level -> named_struct("
-            "'block', block, 'level', level, 'node', shiftright(offset, level)))"
-        )
+        return F.expr(f"transform(sequence(0, {self.levels}), level -> {self.node('block', 'level', 'shiftright(offset, level)')})")
 
     def near_nodes(self) -> Column:
         """Disjoint date nodes that together hold exactly the close days.
@@ -120,15 +124,14 @@ class _Grid:
         close (the set bits of the offset name their nodes), of the block before it the days
         after this offset (the clear bits).
         """
-        whole = f"array(named_struct('block', block, 'level', {self.levels}, 'node', 0))"
+        whole = f"array({self.node('block', str(self.levels), '0')})"
         if self.levels == 0:
             return F.expr(whole)
+        later = self.node("(block + 1)", "level", "shiftright(offset, level) - 1")
+        earlier = self.node("(block - 1)", "level", "shiftright(offset, level) + 1")
         return F.expr(
             f"concat({whole}, transform(sequence(0, {self.levels - 1}), level -> "
-            "CASE WHEN (shiftright(offset, level) & 1) = 1 "
-            "THEN named_struct('block', block + 1, 'level', level, 'node', shiftright(offset, level) - 1) "
-            "ELSE named_struct('block', block - 1, 'level', level, 'node', shiftright(offset, level) + 1) "
-            "END))"
+            f"CASE WHEN (shiftright(offset, level) & 1) = 1 THEN {later} ELSE {earlier} END))"
         )
 
 
@@ -216,7 +219,8 @@ def _large_companies(features: DataFrame, options: DedupOptions) -> DataFrame |
     quantiles = F.percentile_approx("id", [i / points for i in range(1, points)], 10 * points).alias("bounds")
     n_slices = F.least(F.lit(points), F.ceil(F.col("n") / options.slice_rows)).cast("int")
     bounds = features.join(large.select("company_id"), "company_id", "left_semi").groupBy("company_id").agg(quantiles)
-    return materialize(large.join(bounds, "company_id").select("company_id", n_slices.alias("n_slices"), "bounds"))
+    cut = materialize(large.join(bounds, "company_id").select("company_id", n_slices.alias("n_slices"), "bounds"))
+    return F.broadcast(cut) if cut.count() <= BROADCAST_CUT else cut
 
 
 def _with_id_slice(features: DataFrame, large: DataFrame | None) -> DataFrame:
@@ -264,133 +268,147 @@ def _same_tier_previous(features: DataFrame, grid: _Grid, large: DataFrame | Non
     cell = ["company_id", "tier", "facet", "block"]
     visits = _cell_visits(features, grid, large)
     own_id = F.when(F.col("own"), F.col("id"))
+    # ``place`` is 0 for rounds, -1 and 1 for what is carried into the slice from below and from above.
+    rows = visits.withColumn("place", F.lit(0))
+    if large is not None:
+        rows = rows.unionByName(_carried(features, grid, large, cell).select(rows.columns))
     member = F.when(F.col("own"), F.struct("id", "day", "amount"))
-    in_order = f"IGNORE NULLS OVER (PARTITION BY {', '.join(cell)}, slice ORDER BY id)"
-    seen = visits.withColumns({"own_id": own_id, "member": member}).select(
-        *visits.columns,
+    in_order = f"IGNORE NULLS OVER (PARTITION BY {', '.join(cell)}, slice ORDER BY place, id)"
+    seen = rows.withColumns({"own_id": own_id, "member": member}).select(
+        *rows.columns,
         F.expr(f"lag(own_id) {in_order}").alias("previous_id"),
         F.expr(f"lead(member) {in_order}").alias("next_member"),
-    )
-
-    def visitor_matches(m: str) -> Column:
-        close = F.abs(F.col("day") - F.col(f"{m}.day")) <= grid.days
-        similar = amounts_are_similar(F.col("amount"), F.col(f"{m}.amount"), grid.threshold)
-        return close & (~F.col("facet").startswith("a:") | similar)
-
-    in_slice = seen.where(
-        F.when(F.col("own"), F.col("previous_id").isNotNull()).otherwise(visitor_matches("next_member"))
+    ).where(F.col("place") == 0)
+    m = F.col("next_member")
+    close = F.abs(F.col("day") - m["day"]) <= grid.days
+    similar = amounts_are_similar(F.col("amount"), m["amount"], grid.threshold)
+    visitor_matches = close & (~F.col("facet").startswith("a:") | similar)
+    return seen.where(
+        F.when(F.col("own"), F.col("previous_id").isNotNull()).otherwise(visitor_matches)
     ).select(
-        F.when(F.col("own"), F.col("id")).otherwise(F.col("next_member.id")).alias("round_id"),
+        F.when(F.col("own"), F.col("id")).otherwise(m["id"]).alias("round_id"),
         F.when(F.col("own"), F.col("previous_id")).otherwise(F.col("id")).alias("winner_id"),
     )
-    if large is None:
-        return in_slice
-
-    # Only runs that are cut have something to carry.
-    cut = _cell_visits(features.join(large.select("company_id"), "company_id", "left_semi"), grid, large)
-    carried = Window.partitionBy(*cell)
-    up = carried.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    down = carried.orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
-    slices = (
+
+
+def _carried(features: DataFrame, grid: _Grid, large: DataFrame, cell: list[str]) -> DataFrame:
+    """For slices of cells: the last member of the slices before (``place`` -1) and the first of those behind (1).
+
+    Only slices that can use them get them: members look back, visitors look ahead.
+    """
+    keys = large.select("company_id")
+    cut = _cell_visits(features.join(keys, "company_id", "left_semi"), grid, large)
+    own_id = F.when(F.col("own"), F.col("id"))
+    backward = Window.partitionBy(*cell).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    forward = Window.partitionBy(*cell).orderBy("slice").rowsBetween(1, Window.unboundedFollowing)
+    ends = (
         cut.groupBy(*cell, "slice")
-        .agg(F.min(member).alias("first_member"), F.max(own_id).alias("last_id"))
-        .select(
-            *cell, "slice", "first_member",
-            F.last("last_id", ignorenulls=True).over(up).alias("previous_id"),
-            F.last("first_member", ignorenulls=True).over(down).alias("next_member"),
+        .agg(
+            F.max(own_id).alias("last_id"), F.min(own_id).alias("first_id"), F.min_by("day", own_id).alias("first_day"),
+            F.min_by("amount", own_id).alias("first_amount"), F.max(~F.col("own")).alias("visited"),
         )
     )
-    first_of_slice = slices.where(
-        F.col("first_member").isNotNull() & F.col("previous_id").isNotNull()
-    ).select(F.col("first_member.id").alias("round_id"), F.col("previous_id").alias("winner_id"))
-    open_visitors = seen.where(~F.col("own") & F.col("next_member").isNull()).drop(
-        "previous_id", "next_member"
+    first = F.when(F.col("first_id").isNotNull(), F.struct(
+        F.col("first_id").alias("id"), F.col("first_day").alias("day"), F.col("first_amount").alias("amount")
+    ))
+    over = ends.withColumn("first", first).select(
+        *cell, "slice",
+        F.when(F.col("first_id").isNotNull(), F.max("last_id").over(backward)).alias("before"),
+        F.when(F.col("visited"), F.first("first", ignorenulls=True).over(forward)).alias("behind"),
     )
-    later = slices.where(F.col("next_member").isNotNull()).select(*cell, "slice", "next_member")
-    across = (
-        open_visitors.join(later, [*cell, "slice"])
-        .where(visitor_matches("next_member"))
-        .select(F.col("next_member.id").alias("round_id"), F.col("id").alias("winner_id"))
-    )
-    return in_slice.unionByName(first_of_slice).unionByName(across)
+    nothing = F.lit(None)
+    both = F.array_compact(F.array(
+        F.when(F.col("before").isNotNull(), F.struct(
+            F.lit(-1).alias("place"), F.col("before").alias("id"), nothing.cast("int").alias("day"), nothing.cast("double").alias("amount"),
+        )),
+        F.when(F.col("behind").isNotNull(), F.struct(
+            F.lit(1).alias("place"), F.col("behind.id").alias("id"), F.col("behind.day").alias("day"), F.col("behind.amount").alias("amount"),
+        )),
+    ))
+    return over.select(*cell, "slice", F.lit(True).alias("own"), F.inline(both))
 
 
 def _running(
-    events: DataFrame, keys: list[str], combine: Callable[[Column], Column], values: list[str], cut: bool
+    events: DataFrame, keys: list[str], combine: Callable[[Column], Column], values: dict[str, Column], cut: bool,
+    pick: Callable[[list[Column]], Column],
 ) -> DataFrame:
-    """Queries with each value combined over the data at or below their ``coord``.
+    """Queries with what ``pick`` takes of the values combined over the data at or below their ``coord``.
 
-    ``in_{value}`` runs in ``coord`` order within a slice, ``up_{value}`` carries the totals of
-    the earlier slices of the run; null where nothing is ``cut``.
+    ``inside`` is taken in ``coord`` order within a slice, ``before`` from the earlier slices of the run. Runs that are
+    not cut have no number of a slice.
     """
-    data = {v: F.when(~F.col("is_query"), F.col(v)) for v in values}
-    inside = (
+    data = {v: F.when(~F.col("is_query"), c) for v, c in values.items()}
+    run = (
         Window.partitionBy(*keys, "slice").orderBy("coord", "is_query")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    earlier = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    queries = events.select("*", *[combine(c).over(inside).alias(f"in_{v}") for v, c in data.items()])
+    queries = (
+        events.select("*", *[combine(c).over(run).alias(v) for v, c in data.items()]).where(F.col("is_query"))
+        .withColumn("inside", pick([F.col(v) for v in values])).drop(*values)
+    )
     if not cut:
-        return queries.where(F.col("is_query")).select("*", *[F.lit(None).cast(events.schema[v].dataType).alias(f"up_{v}") for v in values])
-    slices = events.groupBy(*keys, "slice").agg(*[combine(c).alias(v) for v, c in data.items()])
-    totals = slices.select(
-        *keys, "slice", *[combine(F.col(v)).over(earlier).alias(f"up_{v}") for v in values]
+        return queries.withColumn("before", F.lit(None).cast(queries.schema["inside"].dataType))
+    earlier = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (
+        events.where(F.col("slice").isNotNull()).groupBy(*keys, "slice")
+        .agg(*[combine(c).alias(v) for v, c in data.items()], F.max("is_query").alias("asked"))
+        .select(*keys, "slice", "asked", *[combine(F.col(v)).over(earlier).alias(v) for v in values])
+        .where(F.col("asked") & F.coalesce(*[F.col(v) for v in values]).isNotNull()).drop("asked")
     )
-    return queries.where(F.col("is_query")).join(totals, [*keys, "slice"])
+    return queries.join(totals, [*keys, "slice"], "left").withColumn("before", pick([F.col(v) for v in values])).drop(*values)
+
+
+_NODE = ["bucket", "node"]
 
 
 def _border_events(
-    points: DataFrame, grid: _Grid, keep: list[str], downward: bool, large: DataFrame | None
+    points: DataFrame, grid: _Grid, keep: list[str], downward: bool, large: DataFrame | None,
+    gives: str = "true", asks: str = "true",
 ) -> DataFrame:
     """Data and queries for amounts similar across a bucket border.
 
     Upward, a point asks its higher neighbour buckets for amounts up to its upper limit;
-    downward (coordinates negated) its lower ones for amounts down to its lower limit.
+    downward (coordinates negated) its lower ones for amounts down to its lower limit. The points that ``gives`` holds for
+    are data, those that ``asks`` holds for ask. Rows are many and hold little: a bucket and its direction are one number.
     """
     low, high = grid.amount_range()
     ready = grid.place(points).withColumns({
         "low": low, "high": high, "own_nodes": grid.own_nodes(), "near_nodes": grid.near_nodes(),
     })
     if large is None:
-        ready = ready.withColumns({f"{c}_slice": F.lit(0).cast("bigint") for c in ("low", "amount", "high")})
+        ready = ready.withColumn("is_cut", F.lit(False))
     else:
-        ready = ready.join(large.select("company_id", F.lit(True).alias("is_cut")), "company_id", "left").withColumns({
-            f"{c}_slice": F.when(F.col("is_cut"), grid.amount_slice(F.col(c))).otherwise(0) for c in ("low", "amount", "high")
-        })
+        ready = ready.join(large.select("company_id", F.lit(True).alias("is_cut")), "company_id", "left")
     sides = [(1, "high", "filter(sequence(bucket, highest), b -> b > bucket)")]
     if downward:
         sides.append((-1, "low", "filter(sequence(lowest, bucket), b -> b < bucket)"))
     parts = []
     for sign, limit, neighbours in sides:
-        for is_query, buckets, nodes, at in (
-            ("false", "array(bucket)", "own_nodes", "amount"), ("true", neighbours, "near_nodes", limit),
+        for is_query, wanted, buckets, nodes, at in (
+            ("false", gives, "array(bucket)", "own_nodes", "amount"), ("true", asks, neighbours, "near_nodes", limit),
         ):
-            parts.append(
+            place = f"CASE WHEN is_cut AND n.cuts > 1 THEN CAST({sign} * floor(ln({at}) * n.cuts / {grid.width!r}D) AS BIGINT) END"
+            rows = (
                 f"flatten(transform({buckets}, b -> transform({nodes}, n -> named_struct("
-                f"'sign', {sign}, 'bucket', b, 'block', n.block, 'level', n.level, 'node', n.node, "
-                f"'is_query', {is_query}, 'coord', {sign} * {at}, 'slice', {sign} * {at}_slice))))"
+                f"'bucket', CAST(2 * b + {int(sign > 0)} AS BIGINT), 'node', n.node, "
+                f"'is_query', {is_query}, 'coord', {sign} * {at}, 'slice', {place}))))"
             )
+            parts.append(f"CASE WHEN {wanted} THEN {rows} ELSE array() END")
     return ready.select(*keep, F.expr(f"inline(concat({', '.join(parts)}))"))
 
 
-_NODE = ["sign", "bucket", "block", "level", "node"]
-
-
 def _better_tier_across_border(features: DataFrame, grid: _Grid, large: DataFrame | None) -> DataFrame:
-    point = ["company_id", "day", "amount"]
-    better = [f"better{t}" for t in range(1, 10)]
     positive = features.where(F.col("amount") > 0)
-    points = positive.groupBy(*point).agg(*_top_id_per_tier()).select(*point, *_top_ids_better_than())
-    events = _border_events(points, grid, point + better, downward=True, large=large)
-    best = (
-        _running(events, ["company_id", *_NODE], F.max, better, large is not None)
-        .groupBy(*point)
-        .agg(*[F.max(F.greatest(f"in_{b}", f"up_{b}")).alias(b) for b in better])
-        .select(*point, F.array(*better).alias("best"))
+    events = _border_events(
+        positive, grid, ["company_id", "id", "tier"], downward=True, large=large,
+        gives=f"tier IN ({', '.join(map(str, TIERS))})", asks="tier > 0",
     )
-    return positive.where(F.col("tier") > 0).join(best, point).select(
-        F.col("id").alias("round_id"), _for_own_tier().alias("winner_id")
+    better = {f"better{t}": F.when(F.col("tier") < t, F.col("id")) for t in range(1, 10)}
+    best = _running(
+        events, ["company_id", *_NODE], F.max, better, large is not None,
+        lambda ids: F.get(F.array(*ids), F.col("tier") - 1),
     )
+    return best.select(F.col("id").alias("round_id"), F.greatest("inside", "before").alias("winner_id"))
 
 
 def winner_candidates(features: DataFrame, options: DedupOptions) -> DataFrame:
@@ -480,8 +498,10 @@ def pair_counts(features: DataFrame, options: DedupOptions) -> DataFrame:
         events = _border_events(
             scoped, grid, ["company_id", "name", "sign_of", "n"], downward=False, large=large
         )
-        counted = _running(events, ["company_id", "name", "sign_of", *_NODE], F.sum, ["n"], large is not None)
-        seen = F.coalesce("in_n", F.lit(0)) + F.coalesce("up_n", F.lit(0))
+        counted = _running(
+            events, ["company_id", "name", "sign_of", *_NODE], F.sum, {"below": F.col("n")}, large is not None, lambda sums: sums[0]
+        )
+        seen = F.coalesce("inside", F.lit(0)) + F.coalesce("before", F.lit(0))
         parts.append(counted.select("company_id", (
             F.col("sign_of").cast(_BIG) * (F.col("n").cast(_BIG) * seen.cast(_BIG)) * 2
         ).cast(_BIG).alias("twice")))
