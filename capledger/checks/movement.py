@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import uuid
 from functools import reduce
 
@@ -129,14 +130,21 @@ def quota_breaches_stream(spark, root):
     )
 
 
+#: A landed file holds about as many rows at most; larger batches consist of several files.
+ROWS_PER_FILE = 250_000
+
+
+def landed_stream(rows: DataFrame, path: str, batches: int, *order) -> DataFrame:
+    """Rows landed as files by ranges of an order, and read as a stream of a number of batches."""
+    files = max(1, math.ceil(rows.count() / (batches * ROWS_PER_FILE)))
+    rows.repartitionByRange(batches * files, *order).write.parquet(path)
+    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
 def arriving_rounds(spark, root, base):
     """The rounds as a stream of landed files."""
-    landed = f"{base}/landed"
-    shapes.rounds(spark, root).withColumn("source_url", F.get("source_urls", F.lit(0))).repartitionByRange(
-        2, "created_at"
-    ).write.parquet(landed)
-    schema = spark.read.parquet(landed).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    rounds = shapes.rounds(spark, root).withColumn("source_url", F.get("source_urls", F.lit(0)))
+    return landed_stream(rounds, f"{base}/landed", 2, "created_at")
 
 
 @query(sql("SELECT id, company_id, winner_id FROM t_rounds LEFT JOIN t_losers ON id = round_id"))
@@ -152,9 +160,8 @@ def first_arrivals_stream(spark, root):
     """Every round lands twice, newest days first and in several batches; one arrival of each is kept."""
     base = workspace(spark)
     rounds = shapes.rounds(spark, root)
-    rounds.unionByName(rounds).repartitionByRange(4, F.desc("created_at"), F.rand(1)).write.parquet(f"{base}/landed")
-    schema = spark.read.parquet(f"{base}/landed").schema
-    kept = round_stream.first_arrivals(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landed"))
+    arrivals = landed_stream(rounds.unionByName(rounds), f"{base}/landed", 4, F.desc("created_at"), F.rand(1))
+    kept = round_stream.first_arrivals(arrivals)
     (
         kept.select("id", "company_id", "date").writeStream.format("parquet")
         .option("path", f"{base}/kept").option("checkpointLocation", f"{base}/checkpoint")
@@ -171,9 +178,7 @@ def recollected_arrivals_stream(spark, root):
     base = workspace(spark)
     rounds = shapes.rounds(spark, root)
     later = rounds.withColumn("id", -F.col("id")).withColumn("created_at", F.expr("created_at + INTERVAL 40 YEARS"))
-    rounds.unionByName(later).repartitionByRange(4, "created_at", F.rand(1)).write.parquet(f"{base}/landed")
-    schema = spark.read.parquet(f"{base}/landed").schema
-    arrivals = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landed")
+    arrivals = landed_stream(rounds.unionByName(later), f"{base}/landed", 4, "created_at", F.rand(1))
     (
         round_stream.first_arrivals(arrivals, round_stream.CONTENT).writeStream.format("parquet")
         .option("path", f"{base}/kept").option("checkpointLocation", f"{base}/checkpoint")
@@ -190,10 +195,9 @@ def resumed_usage_stream(spark, root):
     """The stream breaks in its third batch, after the state was updated; a second run goes on from its checkpoint."""
     base = workspace(spark)
     events = shapes.table(spark, root, "events")
-    events.repartitionByRange(5, "ts").write.parquet(f"{base}/landed")
+    source = landed_stream(events, f"{base}/landed", 5, "ts")
 
     def calls():
-        source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landed")
         return usage_stream.daily_usage_stream(source.selectExpr(*shapes.CALL_COLUMNS))
 
     def breaking(batch, batch_id):

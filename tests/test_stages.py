@@ -162,3 +162,17 @@ def test_restarted_usage_stream_equals_the_batch(spark, tmp_path):
     batch = daily_usage(spark.read.parquet(f"{tmp_path}/landed/*"))
     as_set = lambda df: {tuple(r) for r in df.select(sorted(batch.columns)).collect()}
     assert as_set(streamed) == as_set(batch)
+
+
+def test_landed_batches_of_many_rows_are_several_files(spark, tmp_path, monkeypatch):
+    from capledger.checks import movement
+
+    monkeypatch.setattr(movement, "ROWS_PER_FILE", 100)
+    rows = spark.range(1900).withColumn("day", F.col("id") % 400)
+    arrivals = movement.landed_stream(rows, f"{tmp_path}/landed", 2, "day")
+    sizes = [spark.read.parquet(str(f)).count() for f in (tmp_path / "landed").glob("*.parquet")]
+    assert len(sizes) > 10 and sum(sizes) == 1900 and max(sizes) < 400  # no task writes or reads half of all rows
+    batches = []
+    stream = arrivals.writeStream.option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True)
+    stream.foreachBatch(lambda batch, number: batches.append(batch.count())).start().awaitTermination()
+    assert len(batches) == 2 and sum(batches) == 1900
