@@ -11,6 +11,7 @@ from capledger.checks.registry import query
 from capledger.checks.shapes import sql, table
 from capledger.functions import dates, numbers, search, text
 from capledger.operators import entities, rounds as records
+from capledger.session import spread
 from capledger.sources import filings as filing_source, search as search_source
 
 
@@ -32,7 +33,7 @@ def close_dates(spark, root):
     )
     ordered = shapes.rounds(spark, root).select(F.col("id").alias("l_orderkey"), "date")
     close = dates.dates_are_close(F.col("date"), F.col("shipped"), 90).alias("is_close")
-    return lines.join(ordered, "l_orderkey").groupBy("l_orderkey", "l_linenumber", close).agg(
+    return spread(lines, "l_orderkey").join(ordered, "l_orderkey").groupBy("l_orderkey", "l_linenumber", close).agg(
         F.count("*").alias("lines")
     )
 

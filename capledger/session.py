@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: What one task of a join or an aggregation that ``spread`` prepares holds, about.
+ROWS_PER_TASK = 500_000
+
+
 def build_session(app_name: str = "capledger", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library relies on; keyword overrides use ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name)
@@ -53,3 +58,14 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and return it with its lineage cut."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *keys: str, like: DataFrame | None = None) -> DataFrame:
+    """``df`` by ``keys`` over as many tasks as its rows ask for, so that a task's memory does not grow with the table.
+
+    ``like`` is a table of about as many rows that is cheaper to count. Where the session's number of tasks is
+    enough, the shuffles are left to Spark.
+    """
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = math.ceil((df if like is None else like).count() / ROWS_PER_TASK)
+    return df.repartition(tasks, *keys) if tasks > usual else df

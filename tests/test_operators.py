@@ -202,3 +202,16 @@ def test_orphans_count_rows_per_missing_key(spark):
     child = spark.createDataFrame([(1,), (5,), (5,), (None,)], "parent_id BIGINT")
     parent = spark.createDataFrame([(1,)], "id BIGINT")
     assert [tuple(r) for r in quality.orphan_keys(child, "parent_id", parent).collect()] == [(5, 2)]
+
+
+def test_large_tables_are_spread_over_more_tasks(spark, monkeypatch):
+    from capledger import session
+
+    rows = spark.range(3000).selectExpr("id % 900 AS key")
+    assert session.spread(rows, "key") is rows
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    wide = session.spread(rows, "key")
+    assert wide.rdd.getNumPartitions() == 30
+    assert max(r["count"] for r in wide.groupBy(F.spark_partition_id()).count().collect()) < 400
+    counted = wide.join(spark.range(0, 900, 2).selectExpr("id AS key"), "key", "left_anti").groupBy("key").count()
+    assert {(r.key, r["count"]) for r in counted.collect()} == {(k, 4 if k < 300 else 3) for k in range(1, 900, 2)}
