@@ -12,6 +12,7 @@ from capledger.checks.shapes import sql, table
 from capledger.operators import dedup, entities, quality, ranking, reporting, resolve
 from capledger.operators import rounds as records, status as stage_status
 from capledger.plans import stages
+from capledger.session import spread
 from capledger.sources import filings as filing_source, search as search_source
 
 
@@ -644,6 +645,7 @@ def rows_after_cascading_delete(spark, root):
         "companies": F.col("id").cast("string"), "processing_status": F.col("company_id").cast("string"),
         "funding_rounds": F.col("id").cast("string"), "round_investors": F.concat_ws("-", "round_id", "investor_id"), "sources": F.col("url"),
     }
-    kept = quality.delete_companies(_tables(spark, root), gone)
-    parts = [kept[n].groupBy(k.alias("key")).agg(F.count("*").alias("n")).select(F.lit(n).alias("table_name"), "key", "n") for n, k in keys.items()]
+    tables = _tables(spark, root)
+    kept = quality.delete_companies(tables, gone)
+    parts = [spread(kept[n].select(k.alias("key")), "key", like=tables[n]).groupBy("key").agg(F.count("*").alias("n")).select(F.lit(n).alias("table_name"), "key", "n") for n, k in keys.items()]
     return reduce(DataFrame.unionByName, parts)

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from capledger.schema import FOREIGN_KEYS, MAX_LENGTH, NOT_NULL, UNIQUE_KEYS, ForeignKey
+from capledger.session import spread
 
 
 def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_key: str = "id") -> DataFrame:
@@ -77,12 +78,14 @@ def delete_companies(tables: dict[str, DataFrame], gone: DataFrame) -> dict[str,
     company = gone.select(F.col("id").alias("company_id")).distinct()
     rounds = tables["funding_rounds"]
     gone_rounds = rounds.join(company, "company_id", "left_semi").select(F.col("id").alias("round_id"))
+    # The keys are spread as the table asks for: the optimizer would put off spreading the table itself behind the join.
+    lost = {name: spread(gone_rounds, "round_id", like=tables[name]) for name in ("round_investors", "sources")}
     return {
         "companies": tables["companies"].join(gone.select("id"), "id", "left_anti"),
         "funding_rounds": rounds.join(company, "company_id", "left_anti").select(rounds.columns),
         "processing_status": tables["processing_status"].join(company, "company_id", "left_anti")
         .select(tables["processing_status"].columns),
-        "round_investors": tables["round_investors"].join(gone_rounds, "round_id", "left_anti"),
-        "sources": tables["sources"].join(gone_rounds, "round_id", "left_anti")
+        "round_investors": tables["round_investors"].join(lost["round_investors"], "round_id", "left_anti"),
+        "sources": tables["sources"].join(lost["sources"], "round_id", "left_anti")
         .select(tables["sources"].columns),
     }

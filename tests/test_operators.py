@@ -215,3 +215,24 @@ def test_large_tables_are_spread_over_more_tasks(spark, monkeypatch):
     assert max(r["count"] for r in wide.groupBy(F.spark_partition_id()).count().collect()) < 400
     counted = wide.join(spark.range(0, 900, 2).selectExpr("id AS key"), "key", "left_anti").groupBy("key").count()
     assert {(r.key, r["count"]) for r in counted.collect()} == {(k, 4 if k < 300 else 3) for k in range(1, 900, 2)}
+
+
+def test_a_cascading_delete_spreads_its_joins(spark, monkeypatch):
+    from capledger import session
+
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 10)
+    ids = lambda n, text: spark.range(n).selectExpr(*text.split("; "))
+    tables = {
+        "companies": ids(9, "id"), "processing_status": ids(9, "id AS company_id"), "funding_rounds": ids(60, "id; id % 9 AS company_id"),
+        "round_investors": ids(240, "id % 60 AS round_id; id AS investor_id"), "sources": ids(120, "id; id % 60 AS round_id"),
+    }
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = quality.delete_companies(tables, spark.range(3))
+        plans = {n: kept[n]._jdf.queryExecution().executedPlan().toString() for n in ("round_investors", "sources")}
+        assert {n: df.count() for n, df in kept.items()} == {
+            "companies": 6, "processing_status": 6, "funding_rounds": 39, "round_investors": 156, "sources": 78,
+        }
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(round_id" in plans["sources"] and ", 12)" in plans["sources"] and ", 24)" in plans["round_investors"]
