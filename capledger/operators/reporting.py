@@ -51,10 +51,10 @@ def investor_names(round_investors: DataFrame, investors: DataFrame) -> DataFram
     A round's text is one value of the result and holds each of its investors once.
     """
     names = investors.select(F.col("id").alias("investor_id"), "name")
-    ordered = F.array_sort(F.collect_list(F.struct("investor_id", "name")))
+    # Repeated links fall together in the set: they need no shuffle of their own.
+    ordered = F.array_sort(F.collect_set(F.struct("investor_id", "name")))
     return (
-        round_investors.dropDuplicates(["round_id", "investor_id"]).join(names, "investor_id")
-        .groupBy("round_id")
+        round_investors.join(names, "investor_id").groupBy("round_id")
         .agg(F.array_join(F.transform(ordered, lambda i: i["name"]), ", ").alias("investors"))
     )
 

@@ -176,3 +176,18 @@ def test_landed_batches_of_many_rows_are_several_files(spark, tmp_path, monkeypa
     stream = arrivals.writeStream.option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True)
     stream.foreachBatch(lambda batch, number: batches.append(batch.count())).start().awaitTermination()
     assert len(batches) == 2 and sum(batches) == 1900
+
+
+def test_an_export_leaves_only_its_formats_and_no_uncompressed_copy(spark, tmp_path):
+    from capledger.session import checkpoint_root
+
+    kept = lambda: set(glob.glob(f"{checkpoint_root(spark)}/**/rdd-*", recursive=True)) | set(glob.glob(f"{checkpoint_root(spark)}/capledger-export-*"))
+    before = kept()
+    rows = spark.range(50).selectExpr("concat('Company ', id) AS `Company Name`", "CAST(id AS DOUBLE) AS `Amount Raised (USD)`")
+    written = export.export_all(rows, ExportOptions(output_directory=str(tmp_path)), dt.datetime(2024, 1, 1))
+    assert sorted(written) == ["csv", "excel", "json"] and spark.read.parquet(written["excel"]).count() == 50
+    assert kept() == before
+    links = spark.createDataFrame([(1, 2), (1, 2), (1, 1), (2, 2)], "round_id BIGINT, investor_id BIGINT")
+    names = reporting.investor_names(links, spark.createDataFrame([(1, "B"), (2, "A")], "id BIGINT, name STRING"))
+    assert {tuple(r) for r in names.collect()} == {(1, "B, A"), (2, "A")}
+    assert names._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
