@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from capledger.functions.numbers import number_from_text, unpadded_cik
@@ -32,41 +34,64 @@ def index_rows(index_json: Column) -> Column:
 
 
 # Comments, processing instructions and the document type say nothing; character data counts where it needs no escape.
-_UNSPOKEN = r"(?s)<!--.*?-->|<\?.*?\?>|<!DOCTYPE(?:[^<>\[]|\[.*?\]\s*(?=>))*>"
+_UNSPOKEN = r"(?s)<(?:!--.*?-->|\?.*?\?>|!DOCTYPE(?:[^<>\[]|\[.*?\]\s*(?=>))*>)"
 _PLAIN_DATA, _OTHER_DATA = r"<!\[CDATA\[([^<&\]]*)\]\]>", r"(?s)<!\[CDATA\[.*?\]\]>"
 _TAG = r"""<(?:[^<>"']++|"[^"]*+"|'[^']*+')++>"""
 _DECLARED = r"""\sxmlns(?::([^\s=]+))?\s*=\s*(?:"([^"]*)"|'([^']*)')"""
 _ATTRIBUTE = r"""\s([^\s=:]+):[^\s=]+\s*=\s*["']"""
 
+_OFFERING_TAGS = ("offeringData", "totalOfferingAmount")
 _BINDINGS = "array<struct<depth: int, prefix: string, uri: string>>"
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it is named there: a one-element transform binds it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _tags(document: Column) -> Column:
     """The tags of a document in order, each with the text up to the next one."""
-    plain = F.regexp_replace(document, _UNSPOKEN, "")
-    plain = F.regexp_replace(F.regexp_replace(plain, _PLAIN_DATA, "$1"), _OTHER_DATA, "?")
-
-    def read(token: Column) -> Column:
-        tag = F.regexp_extract(token, _TAG, 0)
-        name = F.regexp_extract(tag, r"^</?([^\s/>]+)", 1)
-        # Values are taken out, so that what looks like an attribute inside one is none.
-        bare = F.regexp_replace(tag, r"""=\s*("[^"]*"|'[^']*')""", "=''")
-        declared = F.transform(
+    spoken = F.when(
+        F.contains(document, F.lit("<!")) | F.contains(document, F.lit("<?")), F.regexp_replace(document, _UNSPOKEN, "")
+    ).otherwise(document)
+    plain = _once(spoken, lambda d: F.when(
+        F.contains(d, F.lit("<![CDATA[")), F.regexp_replace(F.regexp_replace(d, _PLAIN_DATA, "$1"), _OTHER_DATA, "?")
+    ).otherwise(d))
+
+    def declared(tag: Column) -> Column:
+        return F.transform(
             F.regexp_extract_all(tag, F.lit(_DECLARED), F.lit(0)),
             lambda d: F.struct(
                 F.regexp_extract(d, _DECLARED, 1).alias("prefix"),
                 F.concat(F.regexp_extract(d, _DECLARED, 2), F.regexp_extract(d, _DECLARED, 3)).alias("uri"),
             ),
         )
+
+    def used(tag: Column) -> Column:
+        # Values are taken out, so that what looks like an attribute inside one is none.
+        bare = F.regexp_replace(tag, r"""=\s*("[^"]*"|'[^']*')""", "=''")
+        return F.filter(F.regexp_extract_all(bare, F.lit(_ATTRIBUTE), F.lit(1)), lambda p: ~p.isin("xmlns", "xml"))
+
+    def read(tag: Column, text: Column, name: Column) -> Column:
+        # Most tags have no attribute.
+        with_values, prefixed, local = F.contains(tag, F.lit("=")), F.contains(name, F.lit(":")), F.substring_index(name, ":", -1)
         return F.struct(
-            F.startswith(token, F.lit("</")).alias("closes"), F.endswith(tag, F.lit("/>")).alias("empty"),
-            F.when(F.contains(name, F.lit(":")), F.substring_index(name, ":", 1)).otherwise("").alias("prefix"),
-            F.substring_index(name, ":", -1).alias("local"), declared.alias("declared"),
-            F.filter(F.regexp_extract_all(bare, F.lit(_ATTRIBUTE), F.lit(1)), lambda p: ~p.isin("xmlns", "xml")).alias("used"),
-            F.substring(token, F.length(tag) + 1, F.length(token)).alias("text"),
+            F.startswith(tag, F.lit("</")).alias("closes"), F.endswith(tag, F.lit("/>")).alias("empty"),
+            (~with_values & ~prefixed & ~name.isin(*_OFFERING_TAGS)).alias("quiet"),
+            F.when(prefixed, F.substring_index(name, ":", 1)).otherwise("").alias("prefix"), local.alias("local"),
+            F.when(with_values, declared(tag)).otherwise(F.array().cast("array<struct<prefix: string, uri: string>>")).alias("declared"),
+            F.when(with_values, used(tag)).otherwise(F.array().cast("array<string>")).alias("used"),
+            text.alias("text"),
         )
 
-    return F.transform(F.regexp_extract_all(plain, F.lit(_TAG + "[^<]*+"), F.lit(0)), read)
+    def with_text(document: Column) -> Column:
+        parts = [F.regexp_extract_all(document, F.lit(f"({_TAG})([^<]*+)"), F.lit(i)).alias(n) for i, n in ((1, "tag"), (2, "text"))]
+        return F.arrays_zip(*parts)
+
+    return F.transform(
+        _once(plain, with_text),
+        lambda t: _once(F.regexp_extract(t["tag"], r"^</?([^\s/>]+)", 1), lambda name: read(t["tag"], t["text"], name)),
+    )
 
 
 def _walk(tags: Column) -> Column:
@@ -84,25 +109,28 @@ def _walk(tags: Column) -> Column:
 
     def opened(state: Column, tag: Column) -> Column:
         depth = state["depth"] + 1
-        bindings = F.concat(
+        bindings = F.when(F.size(tag["declared"]) == 0, state["bindings"]).otherwise(F.concat(
             state["bindings"],
             F.transform(tag["declared"], lambda d: F.struct(depth.alias("depth"), d["prefix"].alias("prefix"), d["uri"].alias("uri"))),
-        ).cast(_BINDINGS)
-        uri = bound(bindings, tag["prefix"])
-        own = F.coalesce(uri == OFFERING_NAMESPACE, F.lit(False))
-        starts = own & (tag["local"] == "offeringData") & (depth > 1) & (state["at"] == 0)
-        takes = own & (tag["local"] == "totalOfferingAmount") & (state["at"] > 0) & ~state["taken"]
-        unbound = ((tag["prefix"] != "") & (tag["prefix"] != "xml") & (F.coalesce(uri, F.lit("")) == "")) | F.exists(
-            tag["used"], lambda p: F.coalesce(bound(bindings, p), F.lit("")) == ""
-        )
-        return F.struct(
-            F.when(tag["empty"], state["depth"]).otherwise(depth).alias("depth"),
-            F.when(tag["empty"], state["bindings"]).otherwise(bindings).alias("bindings"),
-            F.when(starts, F.when(tag["empty"], -1).otherwise(depth)).otherwise(state["at"]).alias("at"),
-            (state["taken"] | takes).alias("taken"),
-            F.when(takes, F.when(~tag["empty"], tag["text"])).otherwise(state["amount"]).alias("amount"),
-            (state["bad"] | unbound).alias("bad"),
-        )
+        ).cast(_BINDINGS))
+
+        def entered(bindings: Column, uri: Column) -> Column:
+            own = F.coalesce(uri == OFFERING_NAMESPACE, F.lit(False))
+            starts = (state["at"] == 0) & (tag["local"] == _OFFERING_TAGS[0]) & own & (depth > 1)
+            takes = (state["at"] > 0) & ~state["taken"] & (tag["local"] == _OFFERING_TAGS[1]) & own
+            unbound = ((tag["prefix"] != "") & (tag["prefix"] != "xml") & (F.coalesce(uri, F.lit("")) == "")) | F.exists(
+                tag["used"], lambda p: F.coalesce(bound(bindings, p), F.lit("")) == ""
+            )
+            return F.struct(
+                F.when(tag["empty"], state["depth"]).otherwise(depth).alias("depth"),
+                F.when(tag["empty"], state["bindings"]).otherwise(bindings).alias("bindings"),
+                F.when(starts, F.when(tag["empty"], -1).otherwise(depth)).otherwise(state["at"]).alias("at"),
+                (state["taken"] | takes).alias("taken"),
+                F.when(takes, F.when(~tag["empty"], tag["text"])).otherwise(state["amount"]).alias("amount"),
+                (state["bad"] | unbound).alias("bad"),
+            )
+
+        return _once(bindings, lambda held: _once(bound(held, tag["prefix"]), lambda uri: entered(held, uri)))
 
     def closed(state: Column) -> Column:
         return F.struct(
@@ -112,7 +140,14 @@ def _walk(tags: Column) -> Column:
             state["taken"].alias("taken"), state["amount"].alias("amount"), state["bad"].alias("bad"),
         )
 
-    return F.aggregate(tags, nothing, lambda state, tag: F.when(tag["closes"], closed(state)).otherwise(opened(state, tag)))
+    def passed(state: Column) -> Column:
+        return F.struct((state["depth"] + 1).alias("depth"), *[state[f].alias(f) for f in ("bindings", "at", "taken", "amount", "bad")])
+
+    # Tags without prefix, attribute and an offering's name say nothing but how deep the next ones stand.
+    return F.aggregate(tags, nothing, lambda state, tag: (
+        F.when(tag["closes"], closed(state)).when(tag["quiet"], F.when(tag["empty"], state).otherwise(passed(state)))
+        .otherwise(opened(state, tag))
+    ))
 
 
 def offering(document: Column) -> Column:
@@ -123,15 +158,17 @@ def offering(document: Column) -> Column:
     that are not bound, or a document without offering data. A missing or unreadable amount is null; the amount's text ends
     at a tag inside it.
     """
-    # The parser tells whether the document is well-formed; documents that cannot hold offering data are not walked.
+    # The parser tells whether a document is well-formed, once; documents that cannot hold offering data are not walked.
     parsed = F.from_xml(document, "offeringData STRING, _corrupt_record STRING", {"ignoreNamespace": "true"})
     may_hold = F.contains(document, F.lit("offeringData")) & F.contains(document, F.lit(OFFERING_NAMESPACE))
 
-    def read(walked: Column) -> Column:
-        found = F.coalesce((walked["at"] != 0) & ~walked["bad"] & parsed["_corrupt_record"].isNull(), F.lit(False))
+    def holds(walked: Column) -> Column:
+        return F.coalesce((walked["at"] != 0) & ~walked["bad"] & parsed["_corrupt_record"].isNull(), F.lit(False))
+
+    def read(walked: Column, found: Column) -> Column:
         return F.struct(
             found.alias("is_offering"), F.when(found, number_from_text(walked["amount"])).alias("amount")
         )
 
-    # A one-element transform binds the walk, so it is done once.
-    return F.get(F.transform(F.array(F.when(may_hold, _walk(_tags(document)))), read), F.lit(0))
+    walk = F.when(may_hold, _walk(_tags(document)))
+    return _once(walk, lambda walked: _once(holds(walked), lambda found: read(walked, found)))

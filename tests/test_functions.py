@@ -179,3 +179,14 @@ def test_offerings_agree_with_a_namespace_aware_parser(spark):
     got = column(spark, documents, "STRING", filings.offering)
     assert [(r.is_offering, r.amount) for r in got] == want
     assert len({w[0] for w in want}) == 2 and sum(n is not None for _, n in want) > 10
+
+
+def test_offering_documents_are_read_and_parsed_once(spark):
+    from capledger.functions.filings import OFFERING_NAMESPACE, _TAG, offering
+
+    text = f'<e xmlns="{OFFERING_NAMESPACE}"><a><offeringData><b/><totalOfferingAmount>5</totalOfferingAmount></offeringData></a></e>'
+    read = spark.createDataFrame([(text,)], "document string").select(offering(F.col("document")).alias("o"))
+    assert read.first().o == (True, 5.0)
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml(") + plan.count("xmltostructs(") == 1
+    assert plan.count(_TAG) <= 2  # tags, and the text behind each
