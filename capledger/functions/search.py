@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from capledger.functions.text import strip
 from capledger.schema import RESPONSE_ROUND
 
 # Query templates.
@@ -87,7 +86,7 @@ def prompt(company: Column, blocks: Column) -> Column:
 
 def array_slice(response: Column) -> Column:
     """From the first ``[`` to the last ``]``; null when there is no such slice."""
-    return F.nullif(F.regexp_extract(strip(response), r"(?s)\[.*\]", 0), F.lit(""))
+    return F.nullif(F.regexp_extract(response, r"(?s)\[.*\]", 0), F.lit(""))
 
 
 def response_rounds(response: Column) -> Column:

@@ -1,12 +1,13 @@
 """The four stages over stored tables. Each returns new tables for the caller to write.
 
 Results that several outputs of a stage derive from (resolved ids, extracted rounds, marks)
-are written to the checkpoint folder, so documents and answers are read once. Every stage takes only companies whose flag for it is not set, so running it again after an
+are written once, by default to the checkpoint folder (``keep``), so documents and answers are read once. Every stage takes only companies whose flag for it is not set, so running it again after an
 interruption continues where the written status left off.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -61,14 +62,14 @@ def register_companies(
 
 def collect_filings(
     companies: DataFrame, status: DataFrame, investors: DataFrame, directory: DataFrame,
-    indexes: DataFrame, documents: DataFrame, now: Column,
+    indexes: DataFrame, documents: DataFrame, now: Column, keep: Callable[[DataFrame], DataFrame] = materialize,
 ) -> Collected:
     """Stage 2: resolve ids, read filing indexes (cik, payload) and documents
     (cik, accession_number, document)."""
     todo = pending_work(companies, status, 2).select("id")
     pending = companies.join(todo, "id", "left_semi")
     unresolved = pending.where(~has_text(F.col("cik"))).select("id", "name")
-    resolved = materialize(resolve_companies(unresolved, directory)).where(
+    resolved = keep(resolve_companies(unresolved, directory)).where(
         F.col("cik").isNotNull()
     ).select(
         "id", F.col("cik").alias("found_cik"), F.col("official_name").alias("found_name"),
@@ -85,20 +86,20 @@ def collect_filings(
         F.col("id").alias("company_id"), F.col("name").alias("company_name"), "cik"
     )
     filed = offering_filings(filings(indexes)).join(documents, ["cik", "accession_number"])
-    rounds = materialize(round_rows(form_d_records(owners.join(filed, "cik")), SEC, HIGH, now))
+    rounds = keep(round_rows(form_d_records(owners.join(filed, "cik")), SEC, HIGH, now))
     return _collected(rounds, filing_sources(rounds, now), investors, status, todo, updated, 2, now)
 
 
 def collect_search(
     companies: DataFrame, status: DataFrame, investors: DataFrame, hits: DataFrame,
-    responses: DataFrame, strategy: str, now: Column,
+    responses: DataFrame, strategy: str, now: Column, keep: Callable[[DataFrame], DataFrame] = materialize,
 ) -> Collected:
     """Stage 3: rounds in model answers (company_id, response), described by search hits."""
     todo = pending_work(companies, status, 3)
     answers = responses.join(
         todo.select(F.col("id").alias("company_id"), F.col("name").alias("company_name")), "company_id"
     )
-    rounds = materialize(round_rows(response_records(answers), WEB, MEDIUM, now))
+    rounds = keep(round_rows(response_records(answers), WEB, MEDIUM, now))
     sources = web_sources(rounds, hits, strategy, now)
     return _collected(rounds, sources, investors, status, todo, companies, 3, now)
 

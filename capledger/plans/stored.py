@@ -11,7 +11,6 @@ from capledger.operators import dedup, status as stage_status
 from capledger.operators.entities import created_investors, investor_links
 from capledger.options import DedupOptions
 from capledger.plans import stages
-from capledger.session import materialize
 from capledger.sources.store import Store, Transaction
 
 
@@ -21,7 +20,7 @@ def register_companies(store: Store, names: DataFrame, now: Column) -> None:
         known = tx.read("companies")
         fresh = names.select("name").where(F.col("name").isNotNull()).distinct().join(known, "name", "left_anti")
         created, status = stages.register_companies(fresh, known.limit(0), tx.read("processing_status").limit(0), now)
-        created = materialize(created)
+        created = tx.keep(created)
         tx.append("companies", created)
         tx.append("processing_status", stage_status.initial_status(created, now).select(status.columns))
 
@@ -29,14 +28,14 @@ def register_companies(store: Store, names: DataFrame, now: Column) -> None:
 def _pending(tx: Transaction, stage: int) -> tuple[DataFrame, DataFrame]:
     """Companies whose flag of a stage is not set, and their status rows."""
     flag = stage_status.STAGES[stage][0]
-    status = materialize(tx.read("processing_status").where(~F.col(flag)))
+    status = tx.keep(tx.read("processing_status").where(~F.col(flag)))
     companies = tx.read("companies").join(status.select(F.col("company_id").alias("id")), "id", "left_semi")
     return companies, status
 
 
 def _save(tx: Transaction, done: stages.Collected, known: DataFrame, now: Column) -> None:
-    named = materialize(done.named)
-    created = materialize(created_investors(known, named, now))
+    named = tx.keep(done.named)
+    created = tx.keep(created_investors(known, named, now))
     tx.append("funding_rounds", done.rounds)
     tx.append("sources", done.sources)
     tx.append("investors", created)
@@ -49,7 +48,7 @@ def collect_filings(store: Store, directory: DataFrame, indexes: DataFrame, docu
     with store.transaction() as tx:
         companies, status = _pending(tx, 2)
         investors = tx.read("investors")
-        done = stages.collect_filings(companies, status, investors, directory, indexes, documents, now)
+        done = stages.collect_filings(companies, status, investors, directory, indexes, documents, now, tx.keep)
         _save(tx, done, investors, now)
         tx.change("companies", done.companies.where(F.col("updated_at") == now))
 
@@ -59,7 +58,7 @@ def collect_search(store: Store, hits: DataFrame, responses: DataFrame, strategy
     with store.transaction() as tx:
         companies, status = _pending(tx, 3)
         investors = tx.read("investors")
-        done = stages.collect_search(companies, status, investors, hits, responses, strategy, now)
+        done = stages.collect_search(companies, status, investors, hits, responses, strategy, now, tx.keep)
         _save(tx, done, investors, now)
 
 
@@ -67,8 +66,9 @@ def merge_rounds(store: Store, now: Column, options: DedupOptions = dedup.DEFAUL
     """Stage 4: marks of the rounds of companies not merged yet, and their counts."""
     with store.transaction() as tx:
         status = tx.read("processing_status")
-        pending = materialize(dedup.pending_rounds(tx.read("funding_rounds"), status))
-        lost = materialize(dedup.losers(pending, options))
+        # Not kept: a version's files stay as they are, and most steps read few of the columns.
+        pending = dedup.pending_rounds(tx.read("funding_rounds"), status)
+        lost = tx.keep(dedup.losers(pending, options))
         losing = pending.join(lost.select(F.col("round_id").alias("id")), "id", "left_semi").select(pending.columns)
         tx.change("funding_rounds", dedup.mark_duplicates(losing, lost))
         counts = dedup.unique_rounds_per_company(dedup.mark_duplicates(pending, lost))

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from capledger.schema import TABLES
 
 BUCKET, COMMIT, GONE = "_bucket", "_commit", "_gone"
+DRAFTS = "_drafts"
 
 #: Writes of one commit have numbers of their own, from this many times its version on.
 WRITES_PER_COMMIT = 1 << 20
@@ -193,8 +194,11 @@ class Store:
         A numbered commit of a source is made once: check ``transaction.repeated`` when a stream may deliver again.
         """
         own = Transaction(self, self.manifest(), source, number)
-        yield own
-        own.commit()
+        try:
+            yield own
+            own.commit()
+        finally:
+            own.discard()
 
     def compact(self, name: str) -> None:
         """Fold the changes of a table into one new folder of rows."""
@@ -202,7 +206,8 @@ class Store:
             own.replace(name, own.read(name))
 
     def vacuum(self, keep: int = 2) -> list[str]:
-        """Remove all but the last versions, and folders that none of them names; writers must be at rest."""
+        """Remove all but the last versions, folders that none of them names and drafts; writers must be at rest."""
+        self._files.delete(self._path(f"{self.root}/{DRAFTS}"), True)
         versions = self._versions()
         kept = [self.manifest(v) for v in versions[-keep:]]
         named = {(t, f) for m in kept for kind in (m.rows, m.changes) for t, own in kind.items() for f, _ in own}
@@ -227,6 +232,7 @@ class Transaction:
         self.rows = {t: list(f) for t, f in start.rows.items()}
         self.changes = {t: list(f) for t, f in start.changes.items()}
         self.writes = 0
+        self.drafts: list[str] = []
 
     @property
     def repeated(self) -> bool:
@@ -237,6 +243,22 @@ class Transaction:
         """The table as this transaction leaves it so far."""
         return self.store._read(Manifest(self.start.version, self.rows, self.changes), name, buckets)
 
+    def keep(self, rows: DataFrame) -> DataFrame:
+        """``rows`` evaluated once, for several writes of this transaction; later steps read only the columns they need.
+
+        They lie beside the tables and are gone when the transaction ends, whether it commits or not.
+        """
+        draft = f"{self.store.root}/{DRAFTS}/{uuid.uuid4().hex}"
+        self.drafts.append(draft)
+        rows.write.parquet(draft)
+        return self.store.spark.read.schema(rows.schema).parquet(draft)
+
+    def discard(self) -> None:
+        """Remove what was kept."""
+        for draft in self.drafts:
+            self.store._files.delete(self.store._path(draft), True)
+        self.drafts = []
+
     def append(self, name: str, rows: DataFrame) -> None:
         """Add rows whose keys are new."""
         self._add(self.rows, name, rows.select(self.store.layouts[name].columns()))

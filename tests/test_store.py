@@ -137,6 +137,39 @@ def test_reading_some_buckets_prunes_the_files_of_all_others(spark, store):
     assert files  # listed before pruning; the scans above carry the filter on the partition column
 
 
+def test_what_a_transaction_keeps_is_gone_at_its_end(spark, store):
+    drafts = f"{store.root}/_drafts"
+    with store.transaction() as tx:
+        kept = tx.keep(rows(spark, (1, "a"), (2, "b")))
+        tx.append("t", kept.where("id = 1"))
+        assert held(kept) == [(1, "a"), (2, "b")] and len(os.listdir(drafts)) == 1
+    assert held(store.read("t")) == [(1, "a")] and not os.listdir(drafts)
+    with pytest.raises(ZeroDivisionError), store.transaction() as tx:
+        tx.keep(rows(spark, (3, "c")))
+        raise ZeroDivisionError
+    assert not os.listdir(drafts)
+
+
+def test_a_collection_makes_no_checkpoints_and_keeps_no_drafts(spark, tmp_path, monkeypatch):
+    """What several writes of a stage read lies in Parquet, of which each reads its columns only."""
+    store = Store(spark, str(tmp_path / "all"))
+    now = F.lit(T0)
+    answers = [(1, 'x [{"round_name": "Seed", "all_investors": ["A", "B"], "source_url": "u"}, {"round_name": "Seed"}]'), (2, "[]")]
+
+    def refused(*_, **__):
+        raise AssertionError("checkpoint")
+
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", refused)
+    stored.register_companies(store, spark.createDataFrame([("X",), ("Y",)], "name STRING"), now)
+    ids = {r.name: r.id for r in store.read("companies").collect()}
+    responses = spark.createDataFrame([(ids["XY"[i - 1]], a) for i, a in answers], "company_id BIGINT, response STRING")
+    hits = spark.createDataFrame([], "company_id BIGINT, query_no INT, rank INT, title STRING, url STRING, snippet STRING")
+    stored.collect_search(store, hits, responses, "round_robin", now)
+    assert [store.read(t).count() for t in ("funding_rounds", "sources", "investors", "round_investors")] == [2, 1, 2, 2]
+    assert {r.stage3_rounds_found for r in store.read("processing_status").collect()} == {0, 2}
+    assert not os.listdir(f"{store.root}/_drafts")
+
+
 def test_a_merge_writes_the_rows_it_touches_only(spark, tmp_path):
     store = Store(spark, str(tmp_path / "s"))
     columns = store_module.LAYOUTS["funding_rounds"].schema
