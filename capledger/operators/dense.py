@@ -95,43 +95,39 @@ class _Grid:
         the neighbouring doubles are tried with the similarity rule itself.
         """
         def limit(estimate: str, rule: str, pick: str) -> Column:
-            steps = f"transform(sequence(-8, 8), k -> {estimate} + {estimate} * (k * {2.0 ** -53!r}D))"
-            return F.expr(f"{pick}(filter({steps}, x -> {rule} <= {self.threshold!r}D))")
+            near = [f"({estimate} + {estimate} * ({k} * {2.0 ** -53!r}D))" for k in range(-8, 9)]
+            return F.expr(f"{pick}({', '.join(f'CASE WHEN {rule.format(x=x)} <= {self.threshold!r}D THEN {x} END' for x in near)})")
 
         keep = f"(1 - {self.threshold!r}D)"
         return (
-            limit(f"(amount * {keep})", "(amount - x) / amount", "array_min"),
-            limit(f"(amount / {keep})", "(x - amount) / x", "array_max"),
+            limit(f"(amount * {keep})", "(amount - {x}) / amount", "least"),
+            limit(f"(amount / {keep})", "({x} - amount) / {x}", "greatest"),
         )
 
     def cuts(self, level: str) -> str:
         """Slices of a bucket at a level: a node of half the days has half as many, those of a day or two have one."""
         return f"greatest(1, shiftright({AMOUNT_SLICES}, {self.levels} - {level}))"
 
-    def node(self, block: str, level: str, node: str) -> str:
-        """A node as one number: its block, and its place among the nodes of all levels; with its number of slices."""
-        place = f"{block} * {2 ** (self.levels + 1)} + shiftleft(1, {self.levels} - {level}) + {node}"
-        return f"named_struct('node', CAST({place} AS BIGINT), 'cuts', {self.cuts(level)})"
+    def node(self, block: str, node: str) -> str:
+        """A node of ``level`` as one number: its block, and its place among the nodes of all levels."""
+        return f"CAST(({block}) * {2 ** (self.levels + 1)} + shiftleft(1, {self.levels} - level) + {node} AS BIGINT)"
 
-    def own_nodes(self) -> Column:
-        """Aligned date nodes holding this day, one per level."""
-        return F.expr(f"transform(sequence(0, {self.levels}), level -> {self.node('block', 'level', 'shiftright(offset, level)')})")
+    def own_node(self) -> str:
+        """The aligned date node of ``level`` that holds this day."""
+        return self.node("block", "shiftright(offset, level)")
 
-    def near_nodes(self) -> Column:
-        """Disjoint date nodes that together hold exactly the close days.
+    def near_node(self) -> str:
+        """The node of ``level`` among disjoint ones that together hold exactly the close days.
 
         The own block is close as a whole. Of the next block the days before this offset are
         close (the set bits of the offset name their nodes), of the block before it the days
         after this offset (the clear bits).
         """
-        whole = f"array({self.node('block', str(self.levels), '0')})"
-        if self.levels == 0:
-            return F.expr(whole)
-        later = self.node("(block + 1)", "level", "shiftright(offset, level) - 1")
-        earlier = self.node("(block - 1)", "level", "shiftright(offset, level) + 1")
-        return F.expr(
-            f"concat({whole}, transform(sequence(0, {self.levels - 1}), level -> "
-            f"CASE WHEN (shiftright(offset, level) & 1) = 1 THEN {later} ELSE {earlier} END))"
+        later = self.node("block + 1", "shiftright(offset, level) - 1")
+        earlier = self.node("block - 1", "shiftright(offset, level) + 1")
+        return (
+            f"CASE WHEN level = {self.levels} THEN {self.node('block', '0')} "
+            f"WHEN (shiftright(offset, level) & 1) = 1 THEN {later} ELSE {earlier} END"
         )
 
 
@@ -372,29 +368,34 @@ def _border_events(
     are data, those that ``asks`` holds for ask. Rows are many and hold little: a bucket and its direction are one number.
     """
     low, high = grid.amount_range()
-    ready = grid.place(points).withColumns({
-        "low": low, "high": high, "own_nodes": grid.own_nodes(), "near_nodes": grid.near_nodes(),
-    })
+    ready = grid.place(points).withColumns({"low": low, "high": high})
     if large is None:
         ready = ready.withColumn("is_cut", F.lit(False))
     else:
         ready = ready.join(large.select("company_id", F.lit(True).alias("is_cut")), "company_id", "left")
-    sides = [(1, "high", "filter(sequence(bucket, highest), b -> b > bucket)")]
+    # Buckets, directions and levels are rows of their own, so that all else is plain arithmetic on them.
+    asked = ready.select("*", F.explode(F.sequence("lowest" if downward else "bucket", "highest")).alias("other"))
     if downward:
-        sides.append((-1, "low", "filter(sequence(lowest, bucket), b -> b < bucket)"))
-    parts = []
-    for sign, limit, neighbours in sides:
-        for is_query, wanted, buckets, nodes, at in (
-            ("false", gives, "array(bucket)", "own_nodes", "amount"), ("true", asks, neighbours, "near_nodes", limit),
-        ):
-            place = f"CASE WHEN is_cut AND n.cuts > 1 THEN CAST({sign} * floor(ln({at}) * n.cuts / {grid.width!r}D) AS BIGINT) END"
-            rows = (
-                f"flatten(transform({buckets}, b -> transform({nodes}, n -> named_struct("
-                f"'bucket', CAST(2 * b + {int(sign > 0)} AS BIGINT), 'node', n.node, "
-                f"'is_query', {is_query}, 'coord', {sign} * {at}, 'slice', {place}))))"
-            )
-            parts.append(f"CASE WHEN {wanted} THEN {rows} ELSE array() END")
-    return ready.select(*keep, F.expr(f"inline(concat({', '.join(parts)}))"))
+        signs = F.expr("CASE WHEN other > bucket THEN array(1) WHEN other < bucket THEN array(-1) ELSE array(1, -1) END")
+        asked = asked.select("*", F.explode(signs).alias("sign"))
+    else:
+        asked = asked.withColumn("sign", F.lit(1))
+    levels = F.array(*[F.lit(level) for level in range(grid.levels + 1)])
+    rows = (
+        asked.withColumn("is_query", F.expr("other <> bucket")).where(f"CASE WHEN is_query THEN {asks} ELSE {gives} END")
+        .withColumn("at", F.expr("CASE WHEN NOT is_query THEN amount WHEN sign > 0 THEN high ELSE low END"))
+        .select("*", F.explode(levels).alias("level"))
+    )
+    return rows.select(
+        *keep,
+        F.expr("CAST(2 * other + CASE WHEN sign > 0 THEN 1 ELSE 0 END AS BIGINT) AS bucket"),
+        F.expr(f"CASE WHEN is_query THEN {grid.near_node()} ELSE {grid.own_node()} END AS node"),
+        "is_query", F.expr("sign * at AS coord"),
+        F.expr(
+            f"CASE WHEN is_cut AND {grid.cuts('level')} > 1 THEN "
+            f"CAST(sign * floor(ln(at) * {grid.cuts('level')} / {grid.width!r}D) AS BIGINT) END AS slice"
+        ),
+    )
 
 
 def _better_tier_across_border(features: DataFrame, grid: _Grid, large: DataFrame | None) -> DataFrame:
@@ -450,6 +451,32 @@ def _name_classes() -> Column:
     return F.when(F.col("name_key").isNotNull(), F.array(whole)).otherwise(keywords)
 
 
+def _pairs_below(events: DataFrame, keys: list[str], cut: bool) -> DataFrame:
+    """Per slice of a run, ``pairs`` of its queries with the data at or below their ``coord``, each weighted by ``n``.
+
+    Only sums are asked for, so one sorted pass gives what a slice holds and asks for, and earlier slices are carried over
+    between these sums. Rows are sorted by a number of their slice first: it tells most of them apart without reading
+    the keys, of which the first are the same for most rows.
+    """
+    slices = ["number", *keys, "slice"]
+    run = Window.partitionBy(*slices).orderBy("coord", "is_query").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    asked = F.when(F.col("is_query"), F.col("n"))
+    sums = (
+        events.withColumn("number", F.xxhash64(*keys, "slice"))
+        .withColumn("below", F.sum(F.when(~F.col("is_query"), F.col("n"))).over(run))
+        .groupBy(*slices).agg(
+            F.sum(asked * F.col("below")).alias("inside"), F.sum(asked).alias("asked"), F.max("below").alias("held"),
+        )
+    )
+    if cut:
+        earlier = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+        before = F.when(F.col("slice").isNotNull(), F.sum("held").over(earlier))
+        sums = sums.withColumn("before", F.col("asked") * before)
+    else:
+        sums = sums.withColumn("before", F.lit(0))
+    return sums.select(*keys, (F.coalesce("inside", F.lit(0)) + F.coalesce("before", F.lit(0))).alias("pairs")).where(F.col("pairs") > 0)
+
+
 def pair_counts(features: DataFrame, options: DedupOptions) -> DataFrame:
     """(company_id, pairs): pairs matching by name, plus by amount, minus by both."""
     grid = _Grid(options)
@@ -498,12 +525,9 @@ def pair_counts(features: DataFrame, options: DedupOptions) -> DataFrame:
         events = _border_events(
             scoped, grid, ["company_id", "name", "sign_of", "n"], downward=False, large=large
         )
-        counted = _running(
-            events, ["company_id", "name", "sign_of", *_NODE], F.sum, {"below": F.col("n")}, large is not None, lambda sums: sums[0]
-        )
-        seen = F.coalesce("inside", F.lit(0)) + F.coalesce("before", F.lit(0))
+        counted = _pairs_below(events, ["company_id", "name", "sign_of", *_NODE], large is not None)
         parts.append(counted.select("company_id", (
-            F.col("sign_of").cast(_BIG) * (F.col("n").cast(_BIG) * seen.cast(_BIG)) * 2
+            F.col("sign_of").cast(_BIG) * F.col("pairs").cast(_BIG) * 2
         ).cast(_BIG).alias("twice")))
     total = reduce(DataFrame.unionByName, parts).groupBy("company_id").agg(
         (F.sum("twice") / 2).cast("bigint").alias("pairs")

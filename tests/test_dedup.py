@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from capledger.operators import dedup
 from capledger.options import DedupOptions
@@ -129,3 +130,30 @@ def test_rounds_of_few_neighbours_leave_nothing_to_the_sorted_runs(spark):
     options = DedupOptions(dense_company_rows=0, slice_rows=8)
     _, rest = dedup._pairs_and_rest(spark.createDataFrame(rows, FUNDING_ROUNDS), options)
     assert rest is None  # they are not exploded over facets, nodes and slices
+
+
+def test_pairs_across_bucket_borders_are_counted_without_a_lambda(spark):
+    """Event rows are as many as a point's nodes; interpreted functions over arrays of them took most of the time."""
+    from capledger.operators import dense
+
+    grid = dense._Grid(DedupOptions())
+    points = spark.range(200).selectExpr("1L AS company_id", "CAST(id * 7 AS INT) AS day", "1000D + id * id AS amount", "1 AS n")
+    events = dense._border_events(points, grid, ["company_id", "n"], downward=False, large=None)
+    assert "lambdafunction" not in events._jdf.queryExecution().optimizedPlan().toString()
+    asked = {r.is_query: r["count"] for r in events.groupBy("is_query").count().collect()}
+    assert asked[False] == (grid.levels + 1) * 200 and asked[True] >= asked[False]
+
+
+def test_pairs_below_equal_a_join_of_queries_and_data(spark):
+    from capledger.operators import dense
+
+    events = spark.range(600).selectExpr(
+        "id % 3 AS run", "id % 2 = 0 AS is_query", "CAST((id * 37) % 101 AS DOUBLE) AS coord", "id % 4 + 1 AS n",
+    ).withColumn("slice", F.expr("CASE WHEN run < 2 THEN CAST(floor(coord / 20) AS BIGINT) END"))
+    want = events.alias("q").join(events.alias("d"), F.expr(
+        "q.run = d.run AND q.is_query AND NOT d.is_query AND d.coord <= q.coord"
+    )).groupBy("q.run").agg(F.sum(F.expr("q.n * d.n")).alias("pairs"))
+    got = dense._pairs_below(events, ["run"], True).groupBy("run").agg(F.sum("pairs").alias("pairs"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    whole = dense._pairs_below(events.withColumn("slice", F.lit(None).cast("bigint")), ["run"], False)
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, want.collect()))
