@@ -9,6 +9,7 @@ from capledger.checks.movement import workspace
 from capledger.checks.registry import query
 from capledger.checks.shapes import sql, table
 from capledger.plans import stored
+from capledger.session import sized
 from capledger.sources.search import search_hits
 from capledger.sources.store import Store
 
@@ -143,8 +144,8 @@ _EXTRACTED = """
 
 def _collected_per_company(store: Store) -> DataFrame:
     rounds = store.read("funding_rounds").select("id", "company_id", F.col("amount_raised_usd").cast("decimal(18,2)").alias("amount"))
-    sources = store.read("sources").groupBy(F.col("round_id").alias("id")).agg(F.count("*").alias("n_sources"))
-    links = store.read("round_investors").groupBy(F.col("round_id").alias("id")).agg(F.count("*").alias("n_links"))
+    sources = sized(store.read("sources"), store.count_at_most("sources")).groupBy(F.col("round_id").alias("id")).agg(F.count("*").alias("n_sources"))
+    links = sized(store.read("round_investors"), store.count_at_most("round_investors")).groupBy(F.col("round_id").alias("id")).agg(F.count("*").alias("n_links"))
     return rounds.join(sources, "id", "left").join(links, "id", "left").groupBy("company_id").agg(
         F.count("*").alias("n"), F.sum("amount").cast("double").alias("amount"), F.coalesce(F.sum("n_sources"), F.lit(0)).alias("n_sources"),
         F.coalesce(F.sum("n_links"), F.lit(0)).alias("n_links"),
@@ -197,6 +198,7 @@ def repeated_collection(spark, root):
         F.bool_or(F.col("date").isNull() & (F.col("marked") > 0)).alias("undated_marked"),
     )
     kept = rounds.where("NOT is_duplicate").select("company_id").distinct().withColumn("kept_one", F.lit(True))
+    checked, kept = (sized(df, store.count_at_most("companies")) for df in (checked, kept))
     return _collected_per_company(store).join(checked, "company_id").join(kept, "company_id", "left").select(
         "company_id", F.col("n").alias("n_rounds"), "n_sources", "n_links", "contents", "all_dated_marked", "undated_marked", "kept_one",
     )

@@ -24,7 +24,7 @@ from capledger.functions.numbers import comparable_amount, completeness
 from capledger.functions.text import keyword_mask, normalized_name
 from capledger.operators import dense
 from capledger.options import DedupOptions
-from capledger.session import materialize
+from capledger.session import materialize, sized
 
 DEFAULTS = DedupOptions()
 BROADCAST_COMPANIES = 1_000_000  # ids, some 16 MB; more of them are joined by shuffle
@@ -267,7 +267,7 @@ def companies_with_rounds(rounds: DataFrame) -> DataFrame:
 def pending_rounds(rounds: DataFrame, status: DataFrame) -> DataFrame:
     """Rounds of companies whose merge stage is not done."""
     done = status.where(F.col("stage4_merged")).select("company_id")
-    return rounds.join(done, "company_id", "left_anti").select(rounds.columns)
+    return rounds.join(sized(done), "company_id", "left_anti").select(rounds.columns)
 
 
 def deduplicate_with_statistics(

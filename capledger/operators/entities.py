@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from capledger.functions.text import strip, text_or_null
+from capledger.session import sized
 
 
 def key_of(*columns: str | Column) -> Column:
@@ -49,7 +50,7 @@ def upsert_companies(existing: DataFrame, incoming: DataFrame, now: Column) -> D
 
 def new_names(known: DataFrame, incoming: DataFrame) -> DataFrame:
     """Distinct incoming names that are not known yet."""
-    return incoming.select("name").distinct().join(known.select("name"), "name", "left_anti")
+    return incoming.select("name").distinct().join(sized(known.select("name")), "name", "left_anti")
 
 
 def exploded_investors(rounds: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from capledger.operators.rounds import (
 )
 from capledger.operators.status import apply_completions, initial_status, pending_work
 from capledger.options import DedupOptions
-from capledger.session import materialize
+from capledger.session import materialize, sized
 from capledger.sources.filings import filings, offering_filings
 
 
@@ -95,7 +95,7 @@ def collect_search(
     responses: DataFrame, strategy: str, now: Column, keep: Callable[[DataFrame], DataFrame] = materialize,
 ) -> Collected:
     """Stage 3: rounds in model answers (company_id, response), described by search hits."""
-    todo = pending_work(companies, status, 3)
+    todo = sized(pending_work(companies, status, 3))
     answers = responses.join(
         todo.select(F.col("id").alias("company_id"), F.col("name").alias("company_name")), "company_id"
     )

@@ -11,6 +11,7 @@ from capledger.operators import dedup, status as stage_status
 from capledger.operators.entities import created_investors, investor_links
 from capledger.options import DedupOptions
 from capledger.plans import stages
+from capledger.session import sized
 from capledger.sources.store import Store, Transaction
 
 
@@ -28,7 +29,7 @@ def register_companies(store: Store, names: DataFrame, now: Column) -> None:
 def _pending(tx: Transaction, stage: int) -> tuple[DataFrame, DataFrame]:
     """Companies whose flag of a stage is not set, and their status rows."""
     flag = stage_status.STAGES[stage][0]
-    status = tx.keep(tx.read("processing_status").where(~F.col(flag)))
+    status = sized(tx.keep(tx.read("processing_status").where(~F.col(flag))))
     companies = tx.read("companies").join(status.select(F.col("company_id").alias("id")), "id", "left_semi")
     return companies, status
 
@@ -36,10 +37,11 @@ def _pending(tx: Transaction, stage: int) -> tuple[DataFrame, DataFrame]:
 def _save(tx: Transaction, done: stages.Collected, known: DataFrame, now: Column) -> None:
     named = tx.keep(done.named)
     created = tx.keep(created_investors(known, named, now))
+    ids = sized(known.unionByName(created), tx.count_at_most("investors") + created.count())
     tx.append("funding_rounds", done.rounds)
     tx.append("sources", done.sources)
     tx.append("investors", created)
-    tx.append("round_investors", investor_links(named, known.unionByName(created)))
+    tx.append("round_investors", investor_links(named, ids))
     tx.change("processing_status", done.status)
 
 
@@ -68,12 +70,13 @@ def merge_rounds(store: Store, now: Column, options: DedupOptions = dedup.DEFAUL
         status = tx.read("processing_status")
         # Not kept: a version's files stay as they are, and most steps read few of the columns.
         pending = dedup.pending_rounds(tx.read("funding_rounds"), status)
-        lost = tx.keep(dedup.losers(pending, options))
+        lost = sized(tx.keep(dedup.losers(pending, options)))
         losing = pending.join(lost.select(F.col("round_id").alias("id")), "id", "left_semi").select(pending.columns)
         tx.change("funding_rounds", dedup.mark_duplicates(losing, lost))
         counts = dedup.unique_rounds_per_company(dedup.mark_duplicates(pending, lost))
         log = counts.select("company_id", now.alias("at"), F.lit(True).alias("completed"), F.col("unique_rounds").alias("counted"))
         touched = status.join(counts.select("company_id"), "company_id", "left_semi").select(status.columns)
+        touched = sized(touched, tx.count_at_most("processing_status"))
         tx.change("processing_status", stage_status.apply_completions(touched, log, 4))
 
 
@@ -96,4 +99,5 @@ def complete_stage(store: Store, log: DataFrame, stage: int) -> None:
     with store.transaction() as tx:
         status = tx.read("processing_status")
         touched = status.join(log.select("company_id"), "company_id", "left_semi").select(status.columns)
+        touched = sized(touched, tx.count_at_most("processing_status"))
         tx.change("processing_status", stage_status.apply_completions(touched, log, stage))

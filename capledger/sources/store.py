@@ -7,7 +7,7 @@ start again.
 
 Changes of rows are kept beside the rows they change: a change is a folder of whole rows, or of marks that a key
 is gone, and only touched rows are written. Reading hides base rows by an anti-join with the keys of the changes,
-which are few until ``compact`` folds them in. Tables can be stored by buckets of a column; reading some
+which are few until ``compact`` folds them in; where they are many, they are not broadcast. Tables can be stored by buckets of a column; reading some
 buckets prunes all other files. Writes are numbered in their order, also those of one commit: of several changes
 of a key the last one counts.
 """
@@ -23,6 +23,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from capledger.schema import TABLES
+from capledger.session import sized
 
 BUCKET, COMMIT, GONE = "_bucket", "_commit", "_gone"
 DRAFTS = "_drafts"
@@ -99,6 +100,7 @@ class Store:
         self._path = hadoop.Path
         self._files = hadoop.Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
         self._context = hadoop.FileContext.getFileContext(self._files.getUri(), spark._jsc.hadoopConfiguration())
+        self._counts: dict[str, int] = {}  # rows of folders, which never change
 
     # -------------------------------------------------------------- versions
 
@@ -157,6 +159,7 @@ class Store:
         # Of several changes of a key the newest counts. One write changes a key once.
         newest = changes.groupBy(*layout.key).agg(F.max(COMMIT).alias(COMMIT), F.max_by(F.struct(*rest), COMMIT).alias("_row"))
         hiding = newest.select(*[F.col(k).alias(f"_{k}") for k in layout.key], F.col(COMMIT).alias("_since"))
+        hiding = sized(hiding, self.count(name, manifest.changes[name]))
         condition = (F.col("_since") >= F.col(COMMIT))
         for k in layout.key:
             condition &= F.col(k) == F.col(f"_{k}")
@@ -167,8 +170,10 @@ class Store:
         for k in layout.key:
             again &= F.col(k) == F.col(f"_{k}")
         changed = newest.where(~F.col(f"_row.{GONE}"))
-        if max(v for _, v in manifest.rows.get(name, [("", 0)])) > min(v for _, v in manifest.changes[name]):
-            changed = changed.join(later.where(F.col("_again") > min(v for _, v in manifest.changes[name])), again, "left_anti")
+        first = min(v for _, v in manifest.changes[name])
+        added = [(f, v) for f, v in manifest.rows.get(name, []) if v > first]
+        if added:
+            changed = changed.join(sized(later.where(F.col("_again") > first), self.count(name, added)), again, "left_anti")
         return kept.select(columns).unionByName(changed.select(*layout.key, "_row.*").select(columns))
 
     def _folders(self, name: str, folders: list[tuple[str, int]], schema: str, buckets: list[int] | None) -> DataFrame:
@@ -181,6 +186,20 @@ class Store:
         found = self.spark.read.schema(f"{full}, {COMMIT} BIGINT").option("basePath", table).parquet(*[f"{table}/{f}" for f, _ in folders])
         return found if buckets is None else found.where(F.col(BUCKET).isin(buckets))
 
+    def count(self, name: str, folders: list[tuple[str, int]]) -> int:
+        """Rows in folders of a table; each folder is counted once."""
+        for folder, _ in folders:
+            if folder not in self._counts:
+                self._counts[folder] = self.spark.read.schema(f"{COMMIT} BIGINT").parquet(f"{self.root}/{name}/{folder}").count()
+        return sum(self._counts[f] for f, _ in folders)
+
+    def count_at_most(self, name: str) -> int:
+        """At least as many as the newest version of a table has rows."""
+        return self._count_at_most(self.manifest(), name)
+
+    def _count_at_most(self, manifest: Manifest, name: str) -> int:
+        return self.count(name, manifest.rows.get(name, []) + manifest.changes.get(name, []))
+
     def buckets_of(self, name: str, rows: DataFrame) -> list[int]:
         """The buckets that rows belong to: at most as many numbers as the table has buckets."""
         return [r[0] for r in rows.select(self.layouts[name].bucket()).distinct().collect()]
@@ -243,6 +262,10 @@ class Transaction:
         """The table as this transaction leaves it so far."""
         return self.store._read(Manifest(self.start.version, self.rows, self.changes), name, buckets)
 
+    def count_at_most(self, name: str) -> int:
+        """At least as many as the table has rows, as this transaction leaves it so far."""
+        return self.store._count_at_most(Manifest(self.start.version, self.rows, self.changes), name)
+
     def keep(self, rows: DataFrame) -> DataFrame:
         """``rows`` evaluated once, for several writes of this transaction; later steps read only the columns they need.
 

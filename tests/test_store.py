@@ -227,3 +227,33 @@ def test_merge_stream_reads_touched_buckets_and_survives_a_repeated_batch(spark,
     assert rounds.count() == 8
     want = {r.round_id: r.winner_id for r in dedup.losers(rounds).collect()}
     assert {r.id: r.winner_id for r in store.read("marks").collect()} == {i: want.get(i) for i in (1, 2, 3, 4, 5, 6, 7, 9)}
+
+
+def test_large_tables_are_not_broadcast_however_small_their_files(spark, store, monkeypatch):
+    from capledger.operators.dedup import pending_rounds
+    from capledger.operators.entities import new_names
+
+    def plan(df):
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    with store.transaction() as tx:
+        tx.append("t", spark.range(3000).selectExpr("id", "id % 5 AS owner", "'a' AS value"))
+    with store.transaction() as tx:
+        tx.change("t", spark.range(2000).selectExpr("id", "id % 5 AS owner", "'b' AS value"))
+    with store.transaction() as tx:
+        tx.append("t", spark.range(3000, 4500).selectExpr("id", "id % 5 AS owner", "'c' AS value"))
+    assert "BroadcastHashJoin" in plan(store.read("t"))  # of few rows they may be
+    monkeypatch.setattr("capledger.session.BROADCAST_ROWS", 1000)
+    assert "BroadcastHashJoin" not in plan(store.read("t"))
+    assert {r.value: r["count"] for r in store.read("t").groupBy("value").count().collect()} == {"a": 1000, "b": 2000, "c": 1500}
+    assert store.count("t", store.manifest().changes["t"]) == 2000 and store.count_at_most("t") == 6500
+
+    path = f"{store.root}-names"
+    spark.range(2000).selectExpr("concat('n', id) AS name", "id AS company_id", "id % 2 = 0 AS stage4_merged").write.parquet(path)
+    known = spark.read.parquet(path)
+    fresh = new_names(known, spark.createDataFrame([("n1",), ("new",)], "name STRING"))
+    assert "BroadcastHashJoin" not in plan(fresh) and [r.name for r in fresh.collect()] == ["new"]
+    monkeypatch.setattr("capledger.session.BROADCAST_ROWS", 900)
+    left = pending_rounds(spark.createDataFrame([(1,), (2,), (5000,)], "company_id BIGINT"), known)
+    assert "BroadcastHashJoin" not in plan(left) and sorted(r.company_id for r in left.collect()) == [1, 5000]
