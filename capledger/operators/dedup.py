@@ -17,6 +17,8 @@ Two exact plans share the work, chosen per company by its number of dated rounds
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from capledger.functions.dates import day_number, parsed_date
@@ -24,7 +26,7 @@ from capledger.functions.numbers import comparable_amount, completeness
 from capledger.functions.text import keyword_mask, normalized_name
 from capledger.operators import dense
 from capledger.options import DedupOptions
-from capledger.session import materialize, sized
+from capledger.session import ROWS_PER_TASK, kept, materialize, sized
 
 DEFAULTS = DedupOptions()
 BROADCAST_COMPANIES = 1_000_000  # ids, some 16 MB; more of them are joined by shuffle
@@ -92,25 +94,25 @@ def split_by_density(
     """(features of ordinary companies, features of dense companies or None if there are none).
 
     Counts open rounds per company in one job over two columns. Dense companies are the
-    exception: only when some exist are their features written to the checkpoint folder, as
+    exception: only when some exist are their features written beside the checkpoints, as
     several steps read them. The list of dense companies is counted, and broadcast when short.
     """
     dense_companies = materialize(
         rounds.where(~F.col("is_duplicate")).groupBy("company_id").count()
         .where(F.col("count") > options.dense_company_rows)
-        .select("company_id")
     )
     features = match_features(rounds, options)
-    how_many = dense_companies.count()
+    how_many, n_rounds = dense_companies.agg(F.count("*"), F.sum("count")).first()
     if how_many == 0:
         return features, None
+    dense_companies = dense_companies.select("company_id")
     if how_many <= BROADCAST_COMPANIES:
         dense_companies = F.broadcast(dense_companies)
     ordinary = features.join(dense_companies, "company_id", "left_anti")
     crowded = features.join(dense_companies, "company_id", "left_semi")
-    # Each of these rounds is expanded many times over: spread them evenly first.
-    tasks = int(rounds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return ordinary, materialize(crowded.repartition(tasks, "id"))
+    # Each of these rounds is expanded many times over: every task is to read some of them.
+    tasks = rounds.sparkSession.sparkContext.defaultParallelism
+    return ordinary, kept(crowded, min(ROWS_PER_TASK, math.ceil(n_rounds / tasks)))
 
 
 def _direct_pairs(ordinary: DataFrame, options: DedupOptions) -> DataFrame:
@@ -147,7 +149,9 @@ def _pairs_by_window(crowded: DataFrame, options: DedupOptions) -> tuple[DataFra
             if how_many <= BROADCAST_WINDOWS:
                 flagged = F.broadcast(flagged)
             placed = placed.join(flagged, ["company_id", "block"], "left").withColumn(name, F.coalesce(name, F.lit(False)))
-        rest = materialize(placed.where(F.col("own") | F.col("next")).select(crowded.columns))
+        rest = placed.where(F.col("own") | F.col("next")).select(crowded.columns)
+        if how_many > BROADCAST_WINDOWS:
+            rest = kept(rest)
     met = placed.withColumn("left_out", F.col("own") | F.col("next")).select(
         *crowded.columns, "block", "left_out", F.explode(F.array_compact(F.array(
             F.when(~F.col("own"), F.col("block")), F.when(~F.col("next"), F.col("block") + 1)

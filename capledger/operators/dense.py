@@ -16,7 +16,7 @@ Terms
 
 Winners are the largest id of three kinds of candidates
   1. better tier, shared facet: largest id per (facet, day, tier), then a date-range window
-     over at most one row per calendar day;
+     over at most one row per calendar day, looked up by each round's names, amount bucket and day;
   2. same tier, smaller id: the previous member of a shared cell, or a round of a neighbouring
      cell that falls between that member and this round. Ids between two consecutive members
      belong to one gap only, so each round is tried against one member per neighbouring cell;
@@ -24,6 +24,12 @@ Winners are the largest id of three kinds of candidates
      fixed number of aligned nodes, and inside each node a running maximum in amount order
      answers "largest id up to this amount".
 
+The first kind comes from aggregates alone and is ``known`` of each round before the other two, whose sorted runs hold
+several rows per round. A round takes part in these only if it can still gain: it asks for a smaller id of its
+tier if that may be larger than what is known, and across a bucket border if a neighbour bucket holds a larger id within its
+days. Rounds answer only if their id is larger than what is known to some round that asks near them. Of a large company
+the known winners are mostly near the largest ids, so that few rounds are left in the runs.
+
 Runs of companies above ``slice_rows`` are cut into slices (ranges of ids or amounts, as many as the company's
 own size asks for) whose summaries are carried over, so that no task has to hold a whole cell of them. Without such
 companies nothing is cut or carried.
@@ -40,12 +46,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from capledger.functions.numbers import amounts_are_similar
 from capledger.functions.text import ROUND_KEYWORDS
 from capledger.options import DedupOptions
-from capledger.session import materialize
+from capledger.session import ROWS_PER_TASK, kept, materialize
 
 TIERS = range(9)
 ID_STRIDE = 16
 AMOUNT_SLICES = 64
 BROADCAST_CUT = 10_000  # companies with 255 bounds each, some 20 MB
+LOOKUP_ROWS = 200_000  # rows with up to 18 ids each, some 50 MB; larger lookups are joined by shuffle
+VISITS = 16  # rows of a round in the cells it visits, about
+_LEAST = -(1 << 63)
 _BIG = "decimal(38,0)"
 
 
@@ -181,24 +190,86 @@ def _top_ids_better_than() -> list[Column]:
     ]
 
 
-def _for_own_tier() -> Column:
+def _for_own_tier(best: str) -> Column:
     """The entry of ``best`` that belongs to this round's tier (none for tier 0)."""
-    return F.get("best", F.col("tier") - 1)
+    return F.get(best, F.col("tier") - 1)
+
+
+def _merged_bests() -> Column:
+    """``better1`` to ``better9`` of several rows as one array."""
+    return F.array(*[F.max(f"better{t}") for t in range(1, 10)])
+
+
+def _lookup(df: DataFrame) -> DataFrame:
+    """``df`` evaluated once, and broadcast by joins if it has few rows."""
+    table = kept(df)
+    return F.broadcast(table) if table.count() <= LOOKUP_ROWS else table.hint("merge")
+
+
+def _spot(grid: _Grid) -> Column:
+    """What rounds of similar amounts share: their bucket, without tolerance the amount itself."""
+    return F.when(F.col("positive"), F.col("bucket" if grid.tolerant else "amount"))
+
+
+_NAMED = ["mask", "name_key", "negative"]
 
 
-def _better_tier_by_facet(features: DataFrame, grid: _Grid) -> DataFrame:
-    keys = ["company_id", "facet", "day"]
-    by_facet = features.select("company_id", "id", "day", "tier", F.explode(_facets(grid)).alias("facet"))
-    per_day = by_facet.groupBy(*keys).agg(*_top_id_per_tier()).select(*keys, *_top_ids_better_than())
-    near = (
-        Window.partitionBy("company_id", "facet").orderBy("day").rangeBetween(-grid.days, grid.days)
+def _better_by_name(placed: DataFrame, grid: _Grid) -> DataFrame:
+    """(company_id, day, mask, name_key, negative, best): largest ids of better tiers under any facet of these names."""
+    keys, facet = ["company_id", "day", *_NAMED], ["company_id", "facet"]
+    near = Window.partitionBy(*facet).orderBy("day").rangeBetween(-grid.days, grid.days)
+    tops = placed.groupBy(*keys).agg(*_top_id_per_tier()).withColumn(
+        "amount", F.when(F.col("negative"), F.lit(-1.0))
+    ).withColumn("facet", F.explode(_name_facets())).drop("amount")
+    per_day = tops.groupBy(*facet, "day").agg(*[F.max(f"top{t}").alias(f"top{t}") for t in TIERS])
+    best = per_day.select(*facet, "day", *_top_ids_better_than()).select(
+        *facet, "day", *[F.max(f"better{t}").over(near).alias(f"better{t}") for t in range(1, 10)]
     )
-    best = per_day.select(
-        *keys, F.array(*[F.max(f"better{t}").over(near) for t in range(1, 10)]).alias("best")
+    return tops.select(*keys, "facet").join(best, [*facet, "day"]).groupBy(*keys).agg(_merged_bests().alias("by_name"))
+
+
+def _better_by_amount(placed: DataFrame, grid: _Grid) -> DataFrame:
+    """(company_id, day, spot, by_amount, beside): largest ids of better tiers of this bucket, and of the two beside it."""
+    keys = ["company_id", "spot", "day"]
+    near = Window.partitionBy("company_id", "spot").orderBy("day").rangeBetween(-grid.days, grid.days)
+    tops = placed.where("positive").groupBy(*keys).agg(*_top_id_per_tier())
+    if grid.tolerant:
+        # The buckets beside are asked at days on which they hold nothing, too.
+        both = tops.withColumn("step", F.explode(F.array(*map(F.lit, (-1, 0, 1)))))
+        own = F.col("step") == 0
+        tops = both.withColumn("spot", F.col("spot") + F.col("step")).groupBy(*keys).agg(
+            *[F.max(F.when(own, F.col(f"top{t}"))).alias(f"top{t}") for t in TIERS]
+        )
+    best = tops.select(*keys, *_top_ids_better_than()).select(
+        *keys, *[F.max(f"better{t}").over(near).alias(f"better{t}") for t in range(1, 10)]
     )
-    return by_facet.where(F.col("tier") > 0).join(best, keys).select(
-        F.col("id").alias("round_id"), _for_own_tier().alias("winner_id")
+    if not grid.tolerant:
+        return best.select(*keys, F.array(*[f"better{t}" for t in range(1, 10)]).alias("by_amount"), F.lit(None).cast("array<bigint>").alias("beside"))
+    stepped = best.withColumn("step", F.explode(F.array(*map(F.lit, (-1, 0, 1))))).withColumn("spot", F.col("spot") + F.col("step"))
+    return stepped.groupBy(*keys).agg(
+        F.array(*[F.max(F.when(F.col("step") == 0, F.col(f"better{t}"))) for t in range(1, 10)]).alias("by_amount"),
+        F.array(*[F.max(F.when(F.col("step") != 0, F.col(f"better{t}"))) for t in range(1, 10)]).alias("beside"),
+    ).join(placed.where("positive").select(*keys).distinct(), keys, "left_semi")
+
+
+def _with_known(features: DataFrame, grid: _Grid) -> DataFrame:
+    """Add ``known``, the largest id of a better tier that shares a facet, and ``beside``: no id of a better tier whose amount
+    is similar across a bucket border is larger."""
+    placed = grid.place(features).withColumn("spot", _spot(grid)).withColumn("negative", F.coalesce(F.col("amount") < 0, F.lit(False)))
+    names = _lookup(_better_by_name(placed, grid))
+    amounts = _lookup(_better_by_amount(placed, grid))
+    same = [placed[c].eqNullSafe(names[c]) for c in _NAMED] + [placed[c] == names[c] for c in ("company_id", "day")]
+    found = placed.join(names, reduce(Column.__and__, same), "left").select(placed["*"], "by_name").join(
+        amounts, ["company_id", "spot", "day"], "left"
     )
+    beside = _for_own_tier("beside")
+    if grid.tolerant:
+        # At the edge of a bucket rounding may reach a bucket further.
+        further = (F.col("lowest") < F.col("bucket") - 1) | (F.col("highest") > F.col("bucket") + 1)
+        beside = F.when(further & (F.col("tier") > 0), F.lit((1 << 63) - 1)).otherwise(beside)
+    return kept(found.select(
+        *features.columns, F.greatest(_for_own_tier("by_name"), _for_own_tier("by_amount")).alias("known"), beside.alias("beside"),
+    ))
 
 
 def _large_companies(features: DataFrame, options: DedupOptions) -> DataFrame | None:
@@ -236,8 +307,8 @@ def _with_id_slice(features: DataFrame, large: DataFrame | None) -> DataFrame:
     )
 
 
-def _cell_visits(features: DataFrame, grid: _Grid, large: DataFrame | None) -> DataFrame:
-    """Each round once in every cell it belongs to (``own``) or borders on."""
+def _visited(grid: _Grid) -> Column:
+    """All cells that a round belongs to (``own``) or borders on."""
     def visits(facet: Column, own_facet: Column) -> Column:
         return F.array(*[
             F.struct(
@@ -254,24 +325,53 @@ def _cell_visits(features: DataFrame, grid: _Grid, large: DataFrame | None) -> D
         ))
     else:
         by_amount = visits(grid.amount_facet(), F.lit(True))
-    all_visits = F.when(F.col("positive"), F.concat(by_name, by_amount)).otherwise(by_name)
-    return _with_id_slice(features, large).select(
-        "company_id", "tier", "id", "day", "amount", "slice", F.explode(all_visits).alias("visit"),
-    ).select("company_id", "tier", "visit.*", "slice", "id", "day", "amount")
+    return F.when(F.col("positive"), F.concat(by_name, by_amount)).otherwise(by_name)
 
 
-def _same_tier_previous(features: DataFrame, grid: _Grid, large: DataFrame | None) -> DataFrame:
-    cell = ["company_id", "tier", "facet", "block"]
-    visits = _cell_visits(features, grid, large)
-    own_id = F.when(F.col("own"), F.col("id"))
+_CELL = ["company_id", "tier", "facet", "block"]
+
+
+def _of_same_tier(known: DataFrame, grid: _Grid) -> DataFrame:
+    """The rounds that may gain by a smaller id of their tier, and those whose id one of them may gain.
+
+    These are told by block: ids between the least that is known to a round that asks in this block or one beside it, and
+    the largest id of such rounds.
+    """
+    placed = known.withColumn("block", F.expr(f"floor(day / {grid.block_days})"))
+    asking = placed.where(~F.coalesce(F.col("known") >= F.col("id"), F.lit(False))).select(
+        "company_id", "tier", F.explode(F.array(*[F.col("block") + step for step in (-1, 0, 1)])).alias("block"), "known", "id",
+    )
+    span = asking.groupBy("company_id", "tier", "block").agg(
+        F.min(F.coalesce("known", F.lit(_LEAST))).alias("above"), F.max("id").alias("up_to"),
+    )
+    return kept(
+        placed.join(_lookup(span), ["company_id", "tier", "block"])
+        .where((F.col("id") > F.col("above")) & (F.col("id") <= F.col("up_to")))
+        .select("company_id", "tier", "id", "day", "amount", "mask", "name_key")
+    )
+
+
+def _same_tier_previous(rounds: DataFrame, grid: _Grid, large: DataFrame | None) -> DataFrame:
     # ``place`` is 0 for rounds, -1 and 1 for what is carried into the slice from below and from above.
-    rows = visits.withColumn("place", F.lit(0))
+    rows = _with_id_slice(rounds, large).withColumns({
+        "place": F.lit(0), "facet": F.lit(None).cast("string"), "in_block": F.lit(None).cast("bigint"),
+    })
     if large is not None:
-        rows = rows.unionByName(_carried(features, grid, large, cell).select(rows.columns))
+        carried = _carried(rounds, grid, large).withColumnRenamed("block", "in_block")
+        rows = rows.unionByName(carried.withColumns({"mask": F.lit(0), "name_key": F.lit(None).cast("string")}).select(rows.columns))
+    # A slice is brought together before its rounds visit their cells, so that visits are sorted but never shuffled.
+    tasks = max(int(rounds.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(rounds.count() * VISITS / ROWS_PER_TASK))
+    together = grid.place(rows.repartition(tasks, "company_id", "slice"))
+    carried_to = F.array(F.struct("facet", F.col("in_block").alias("block"), F.lit(True).alias("own")))
+    visits = together.select(
+        "company_id", "tier", "id", "day", "amount", "slice", "place",
+        F.explode(F.when(F.col("place") == 0, _visited(grid)).otherwise(carried_to)).alias("visit"),
+    ).select("company_id", "tier", "visit.*", "slice", "place", "id", "day", "amount")
+    own_id = F.when(F.col("own"), F.col("id"))
     member = F.when(F.col("own"), F.struct("id", "day", "amount"))
-    in_order = f"IGNORE NULLS OVER (PARTITION BY {', '.join(cell)}, slice ORDER BY place, id)"
-    seen = rows.withColumns({"own_id": own_id, "member": member}).select(
-        *rows.columns,
+    in_order = f"IGNORE NULLS OVER (PARTITION BY {', '.join(_CELL)}, slice ORDER BY place, id)"
+    seen = visits.withColumns({"own_id": own_id, "member": member}).select(
+        *visits.columns,
         F.expr(f"lag(own_id) {in_order}").alias("previous_id"),
         F.expr(f"lead(member) {in_order}").alias("next_member"),
     ).where(F.col("place") == 0)
@@ -287,13 +387,16 @@ def _same_tier_previous(features: DataFrame, grid: _Grid, large: DataFrame | Non
     )
 
 
-def _carried(features: DataFrame, grid: _Grid, large: DataFrame, cell: list[str]) -> DataFrame:
+def _carried(rounds: DataFrame, grid: _Grid, large: DataFrame) -> DataFrame:
     """For slices of cells: the last member of the slices before (``place`` -1) and the first of those behind (1).
 
     Only slices that can use them get them: members look back, visitors look ahead.
     """
+    cell = _CELL
     keys = large.select("company_id")
-    cut = _cell_visits(features.join(keys, "company_id", "left_semi"), grid, large)
+    cut = _with_id_slice(grid.place(rounds.join(keys, "company_id", "left_semi")), large).select(
+        "company_id", "tier", "id", "day", "amount", "slice", F.explode(_visited(grid)).alias("visit"),
+    ).select("company_id", "tier", "visit.*", "slice", "id", "day", "amount")
     own_id = F.when(F.col("own"), F.col("id"))
     backward = Window.partitionBy(*cell).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     forward = Window.partitionBy(*cell).orderBy("slice").rowsBetween(1, Window.unboundedFollowing)
@@ -398,18 +501,49 @@ def _border_events(
     )
 
 
-def _better_tier_across_border(features: DataFrame, grid: _Grid, large: DataFrame | None) -> DataFrame:
-    positive = features.where(F.col("amount") > 0)
-    events = _border_events(
-        positive, grid, ["company_id", "id", "tier"], downward=True, large=large,
-        gives=f"tier IN ({', '.join(map(str, TIERS))})", asks="tier > 0",
+def _across_border(known: DataFrame, grid: _Grid) -> DataFrame:
+    """The rounds that may gain by an amount across a bucket border (``asks``), and those whose id one of them may gain (``gives``).
+
+    The latter are told by bucket, day and tier: their id is larger than the least that is known to a round of a worse tier
+    that asks there.
+    """
+    placed = grid.place(known.where("amount > 0")).withColumn("held", F.coalesce("known", F.lit(_LEAST))).withColumn(
+        "asks", F.coalesce(F.col("beside") > F.col("held"), F.lit(False))
+    )
+    places = ["company_id", "bucket", "day"]
+    asked = placed.where("asks").select(
+        "company_id", F.explode(F.sequence("lowest", "highest")).alias("bucket"), "day", "tier", "held", F.lit(False).alias("here")
+    )
+    there = placed.select(*places, "tier", F.lit(None).cast("bigint").alias("held"), F.lit(True).alias("here"))
+    near = Window.partitionBy("company_id", "bucket").orderBy("day").rangeBetween(-grid.days, grid.days)
+    least = (
+        asked.unionByName(there).groupBy(*places)
+        .agg(F.max("here").alias("here"), *[F.min(F.when(F.col("tier") > t, F.col("held"))).alias(f"least{t}") for t in TIERS])
+        .select(*places, "here", F.array(*[F.min(f"least{t}").over(near) for t in TIERS]).alias("least"))
+        .where(F.col("here") & F.col("least")[0].isNotNull()).drop("here")
     )
+    gives = F.coalesce(F.col("id") > F.get("least", F.col("tier")), F.lit(False))
+    return kept(
+        placed.join(_lookup(least), places, "left").withColumn("gives", gives).where("asks OR gives")
+        .select("company_id", "id", "day", "amount", "tier", "held", "asks", "gives")
+    )
+
+
+def _better_tier_across_border(points: DataFrame, grid: _Grid, large: DataFrame | None) -> DataFrame:
+    keep, node = ["company_id", "id", "tier", "held"], ["company_id", *_NODE]
     better = {f"better{t}": F.when(F.col("tier") < t, F.col("id")) for t in range(1, 10)}
-    best = _running(
-        events, ["company_id", *_NODE], F.max, better, large is not None,
+    data = _border_events(points.where("gives"), grid, keep, downward=True, large=large, asks="false")
+    queries = _border_events(points.where("asks"), grid, keep, downward=True, large=large, gives="false")
+    # Nodes are asked only where the largest of their ids is a gain.
+    bests = _lookup(data.groupBy(*node).agg(F.array(*[F.max(c) for c in better.values()]).alias("best")))
+    asked = queries.join(bests, node).where(_for_own_tier("best") > F.col("held")).select(data.columns)
+    found = _running(
+        data.unionByName(asked), node, F.max, better, large is not None,
         lambda ids: F.get(F.array(*ids), F.col("tier") - 1),
     )
-    return best.select(F.col("id").alias("round_id"), F.greatest("inside", "before").alias("winner_id"))
+    return found.select(
+        F.col("id").alias("round_id"), F.greatest("inside", "before").alias("winner_id"), "held"
+    ).where(F.col("winner_id") > F.col("held")).drop("held")
 
 
 def winner_candidates(features: DataFrame, options: DedupOptions) -> DataFrame:
@@ -418,10 +552,15 @@ def winner_candidates(features: DataFrame, options: DedupOptions) -> DataFrame:
     A constant number of rows per round, all of them true matches with a better round.
     """
     grid = _Grid(options)
-    placed, large = grid.place(features), _large_companies(features, options)
-    found = [_better_tier_by_facet(placed, grid), _same_tier_previous(placed, grid, large)]
+    known = _with_known(features, grid)
+    same = _of_same_tier(known, grid)
+    found = [
+        known.select(F.col("id").alias("round_id"), F.col("known").alias("winner_id")),
+        _same_tier_previous(same, grid, _large_companies(same, options)),
+    ]
     if grid.tolerant:
-        found.append(_better_tier_across_border(features, grid, large))
+        points = _across_border(known, grid)
+        found.append(_better_tier_across_border(points, grid, _large_companies(points, options)))
     return reduce(DataFrame.unionByName, found).where(F.col("winner_id").isNotNull())
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +64,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def kept(df: DataFrame, file_rows: int = ROWS_PER_TASK) -> DataFrame:
+    """``df`` written once as Parquet beside the checkpoints, in files of at most so many rows, which are read by several tasks.
+
+    For tables of many narrow rows: a checkpoint of them is several times as large. The files go when the session's
+    JVM ends.
+    """
+    spark = df.sparkSession
+    folder = f"{checkpoint_root(spark).rstrip('/')}/kept-{uuid.uuid4().hex}"
+    df.write.option("maxRecordsPerFile", max(1, file_rows)).parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def spread(df: DataFrame, *keys: str, like: DataFrame | None = None) -> DataFrame:
     """``df`` by ``keys`` over as many tasks as its rows ask for, so that a task's memory does not grow with the table.
 

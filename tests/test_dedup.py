@@ -157,3 +157,33 @@ def test_pairs_below_equal_a_join_of_queries_and_data(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     whole = dense._pairs_below(events.withColumn("slice", F.lit(None).cast("bigint")), ["run"], False)
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, want.collect()))
+
+
+@pytest.mark.parametrize("order", ["random", "day"])
+def test_only_rounds_that_can_gain_are_expanded(spark, order):
+    """Runs hold several rows per round; of a large company most winners follow from aggregates, whatever the ids follow."""
+    from capledger.operators import dense
+
+    rng = random.Random(5)
+    made = []
+    for _ in range(3000):
+        day = (dt.date(2019, 1, 1) + dt.timedelta(days=rng.randrange(1000))).isoformat()
+        made.append((rng.choice(["Seed", "Series A", "Series B", "Form D"]), day, round(10 ** rng.uniform(4, 6), 2), rng.choice([None, 5.0]), rng.choice(["HIGH", "LOW"])))
+    if order == "day":
+        made.sort(key=lambda r: r[1])
+    rows = [(i, 1, name, day, a, pre, None, None, "WEB_SEARCH", conf, None, None, None, False, None, None, None) for i, (name, day, a, pre, conf) in enumerate(made)]
+    rounds = spark.createDataFrame(rows, FUNDING_ROUNDS)
+    options = DedupOptions(dense_company_rows=0, slice_rows=400)
+    want = {r.round_id: r.winner_id for r in dedup.losers(rounds, DedupOptions(dense_company_rows=len(rows))).collect()}
+    features = dedup.match_features(rounds, options)
+    assert {r.round_id: r.winner_id for r in dedup.losers(rounds, options).collect()} == want
+
+    grid = dense._Grid(options)
+    known = dense._with_known(features, grid)
+    same, points = dense._of_same_tier(known, grid), dense._across_border(known, grid)
+    asks, gives = points.where("asks").count(), points.where("gives").count()
+    assert same.count() < 0.4 * len(rows) and asks < 0.15 * len(rows) and gives < 0.15 * len(rows), (same.count(), asks, gives)
+    # Before a slice is brought together no round is exploded over the cells it visits.
+    plan = dense._same_tier_previous(same, grid, dense._large_companies(same, options))._jdf.queryExecution().executedPlan().toString()
+    visits = plan[:plan.index("REPARTITION_BY_NUM")]
+    assert "Generate explode" in visits and "Exchange hashpartitioning" not in visits.replace("Exchange hashpartitioning(company_id", "", 1)
